@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,3 +57,15 @@ def words_in(text: Column) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def slices(sizes: Iterable[int], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many characters or bytes, one text at least: bounds what a worker holds at a time."""
+    a = total = i = 0
+    for i, n in enumerate(sizes, 1):
+        if total and total + n > most:
+            yield a, i - 1
+            a, total = i - 1, 0
+        total += n
+    if a < i:
+        yield a, i

@@ -11,32 +11,38 @@ are kept; an empty table gives no rows; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import chain, repeat
+from pathlib import Path
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import slices, written
 
 CAPACITY = 1024
 END_ID = 2
 #: Rows that one (length, bucket) window numbers, about, and buckets at most beside one a length; then windows grow.
 BUCKET_ROWS = 500
 MOST_BUCKETS = 100_000
-#: Space-delimited words whose ids a worker remembers, and text in one tokenizer call.
-CACHE_WORDS = 300_000
-SLICE_CHARS = 2_000_000
+#: Space-delimited words whose ids a worker remembers; when full it keeps those it has.
+CACHE_WORDS = 500_000
+#: Fixed value: how this byte-level BPE splits text.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: White space apart from the single space and line feed that the word cache can treat.
-_RARE_SPACE = re.compile("[\\t\\v\\f\\r\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\0]")
-_DOUBLE = ("  ", "\n\n", " \n", "\n ")
+#: Texts that the word cache can't treat: other white space than single spaces and line feeds, the marker.
+_RARE = r"[ \n][ \n]|[\t\x0b\f\r\x1c-\x1f\x00]|[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Bytes of text that are looked up at a time: the more, the fewer distinct words a byte; a worker holds about 20 times this.
+SLICE = 8_000_000
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -47,12 +53,26 @@ PIECES = T.StructType([
 ])
 
 
+def _byte_ranks(path: str) -> dict[bytes, int] | None:
+    """The vocabulary of a byte-level BPE file as ranks, if its ids stand in the order of its merges; else null."""
+    model = json.loads(Path(path).read_text(encoding="utf-8"))["model"]
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    ids = [model["vocab"]["".join(m)] for m in merges]
+    if ids != sorted(ids) or ids and ids[0] < 256:
+        return None
+    return {bytes(byte[c] for c in token): n for token, n in model["vocab"].items() if all(c in byte for c in token) and (len(token) == 1 or n <= ids[-1])}
+
+
 class WordCache:
     """Token ids of texts, through ids remembered for space-delimited words.
 
     A byte-level BPE splits text before it merges: a single space between two other characters always
     starts a new part with what follows it, so ids of " word" don't depend on the neighbours. Texts with
-    other or doubled white space, or with a special token's string, go to the tokenizer as a whole.
+    other or doubled white space, or with a special token's string, go to the tokenizer as a whole. Words
+    are merged by ranks read from the same file where its ids allow that, which gives the same ids faster.
     """
 
     def __init__(self, path: str, most: int = CACHE_WORDS):
@@ -62,66 +82,71 @@ class WordCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.most = most
-        self.clear()
-
-    def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.flat = np.empty(0, np.uint32)
-        self.first = np.empty(0, np.int64)
-        self.count = np.empty(0, np.int64)
+        self.first = self.count = np.empty(0, np.int64)
+        self._words = lambda words: [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        if ranks := _byte_ranks(path):
+            import tiktoken
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            encode = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            self._words = lambda words: [*map(encode, words)]
 
-    def _add(self, keys: list[str]) -> None:
-        ids = self._encode([k[1:] if k[:1] == "\0" else " " + k for k in keys])
+    def _rows(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._words([k[1:] if k[:1] == "\0" else " " + k for k in keys])
         count = np.fromiter(map(len, ids), np.int64, len(ids))
-        first = len(self.flat) + np.cumsum(count) - count
-        self.index.update(zip(keys, range(len(self.first), len(self.first) + len(keys)), strict=True))
-        self.flat = np.concatenate([self.flat, np.fromiter((x for i in ids for x in i), np.uint32, int(count.sum()))])
-        self.first, self.count = np.concatenate([self.first, first]), np.concatenate([self.count, count])
-
-    def _whole(self, text: str) -> bool:
-        return any(x in text for x in _DOUBLE) or _RARE_SPACE.search(text) is not None or any(x in text for x in self.special)
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum())), count
+
+    def _look_up(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of words, one after the other, and how many each has."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
+        flat, first, count = self.flat, self.first, self.count
+        if (gone := np.flatnonzero(at < 0)).size:
+            fresh = [distinct[i] for i in gone.tolist()]
+            at[gone] = len(first) + np.arange(len(fresh))
+            more, n = self._rows(fresh)
+            first = np.concatenate([first, len(flat) + np.cumsum(n) - n])
+            flat, count = np.concatenate([flat, more]), np.concatenate([count, n])
+            if len(first) <= self.most:
+                self.index.update(zip(fresh, at[gone].tolist(), strict=True))
+                self.flat, self.first, self.count = flat, first, count
+        at = at[coded.indices.to_numpy(zero_copy_only=False)]
+        n = count[at]
+        ends = np.cumsum(n)
+        return flat[np.repeat(first[at] - (ends - n), n) + np.arange(int(ends[-1]))], n
+
+    def _whole(self, texts: pa.StringArray) -> np.ndarray:
+        odd = "|".join([_RARE, *(re.escape(x) for x in self.special)])
+        return pc.match_substring_regex(texts, odd).to_numpy(zero_copy_only=False)
+
+    def ids(self, texts: pa.StringArray) -> list[np.ndarray]:
         """The ids of each text, as uint32."""
-        if len(self.index) > self.most:
-            self.clear()
-        out: list[np.ndarray | None] = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if self._whole(t)]
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True) if whole else ():
-            out[i] = np.array(ids, np.uint32)
-        plain = [i for i, x in enumerate(out) if x is None and texts[i]]
-        for i in (i for i, x in enumerate(out) if x is None and not texts[i]):
-            out[i] = np.empty(0, np.uint32)
-        if not plain:
-            return out
-        # the first word has no space before it; the marker keeps it apart from the same word after a space
-        parts = [("\0" + texts[i]).split(" ") for i in plain]
-        words = [w for p in parts for w in p]
-        if missing := {w for w in words if w not in self.index}:
-            self._add(sorted(missing))
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        count = self.count[at]
-        ends = np.cumsum(count)
-        flat = self.flat[np.repeat(self.first[at] - (ends - count), count) + np.arange(int(ends[-1]))]
-        stops = ends[np.cumsum([len(p) for p in parts]) - 1]
-        for i, a, b in zip(plain, [0, *stops[:-1]], stops, strict=True):
-            out[i] = flat[a:b]
+        out = [np.empty(0, np.uint32)] * len(texts)
+        odd = self._whole(texts)
+        if whole := np.flatnonzero(odd).tolist():
+            for i, e in zip(whole, self.tokenizer.encode_batch([texts[i].as_py() for i in whole], add_special_tokens=False), strict=True):
+                out[i] = np.array(e.ids, np.uint32)
+        plain = np.flatnonzero(~odd & (pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0))
+        if plain.size:
+            # the first word has no space before it; the marker keeps it apart from the same word after a space
+            parts = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\0"), texts.take(pa.array(plain)), ""), " ")
+            flat, n = self._look_up(parts.flatten())
+            stops = np.cumsum(n)[np.cumsum(pc.list_value_length(parts).to_numpy()) - 1]
+            for i, a, b in zip(plain.tolist(), [0, *stops[:-1]], stops, strict=True):
+                out[i] = flat[a:b]
         return out
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about SLICE_CHARS, one text at least."""
-    a = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > SLICE_CHARS:
-            yield a, i
-            a, size = i, 0
-        size += len(t)
-    if a < len(texts):
-        yield a, len(texts)
+_CACHES: dict[str, WordCache] = {}
+
+
+def word_cache(path: str) -> WordCache:
+    """One cache a worker process, which serves its tasks one after the other."""
+    if path not in _CACHES:
+        _CACHES[path] = WordCache(path)
+    return _CACHES[path]
 
 
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -135,23 +160,26 @@ def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
 def tokenize(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """A row for each piece of each document: doc_id, piece, start, length and ids_crc32, with ``ids`` on demand."""
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordCache(tokenizer_path)
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = word_cache(tokenizer_path)
         for batch in batches:
-            texts, keys = batch["text"].fillna("").tolist(), batch["doc_id"].astype("Int64")
-            for a, b in _slices(texts):
-                rows = []
-                for i, ids in enumerate(cache.ids(texts[a:b]), a):
-                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
+            texts, keys = pc.fill_null(batch.column("text"), "").cast(pa.string()), batch.column("doc_id")
+            sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+            for a, b in slices(sizes, SLICE):
+                rows, parts = [], []
+                for i, ids in enumerate(cache.ids(texts.slice(a, b - a)), a):
+                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4", copy=False)
                     for k, (start, length) in enumerate(piece_bounds(len(ids), capacity)):
                         part = ids[start : start + length]
-                        rows.append((i, k, start, length, zlib.crc32(part.tobytes()), *([part.astype(np.int32)] if keep_ids else ())))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else [])])
-                out["doc_id"] = keys.iloc[out["doc_id"].to_numpy()].array
-                yield out[[f.name for f in schema]]
+                        rows.append((i, k, start, length, zlib.crc32(part)))
+                        if keep_ids:
+                            parts.append(part.astype(np.int32))
+                at, piece, start, length, crc = np.array(rows, np.int64).T
+                columns = [keys.take(pa.array(at)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)]
+                yield pa.RecordBatch.from_arrays([*columns, *([pa.array(parts, pa.list_(pa.int32()))] if keep_ids else [])], schema.names)
 
     schema = T.StructType([*PIECES.fields, *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if keep_ids else [])])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(pieces, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(pieces, schema)
 
 
 def plan_best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
