@@ -5,10 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import exact_top_k
+
+    return exact_top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id % 20 = 0", k=20)
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urlfilter import dated_list, dated_pages, judge
+
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    return judge(dated_pages(pages), dated_list(pages)).select("page_id", "url", "fetched_on", "blocked", "action", "pattern", "category", "listed_on")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -18,8 +32,54 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(tokenize(docs, public_tokenizers.path("byte_bpe_50k.json"))).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    mixed = mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import held_out, predict, train
+
+    model = train(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return predict(table(spark, sf_dir, "documents", "doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linededup import drop_recurring_lines
+
+    kept = drop_recurring_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import secret_report
+
+    return secret_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_top_k": op1_exact_top_k,
+    "op3_url_filter": op3_url_filter,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_source_mixing": op6_source_mixing,
+    "op8_language_id": op8_language_id,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+}
