@@ -39,6 +39,12 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id % 50 = 0", k=5)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import held_out, predict, train
 
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_source_mixing": op6_source_mixing,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_scan": op10_secret_scan,
