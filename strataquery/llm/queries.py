@@ -23,6 +23,12 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(dated_pages(pages), dated_list(pages)).select("page_id", "url", "fetched_on", "blocked", "action", "pattern", "category", "listed_on")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), n=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -68,6 +74,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op3_url_filter": op3_url_filter,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_source_mixing": op6_source_mixing,
     "op7_nearest_neighbours": op7_nearest_neighbours,
