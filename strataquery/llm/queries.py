@@ -16,6 +16,12 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id % 20 = 0", k=20)
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .urlfilter import dated_list, dated_pages, judge
 
@@ -73,6 +79,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
