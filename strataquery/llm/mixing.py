@@ -119,18 +119,40 @@ def round_copies(items: DataFrame, fan_in: int = FAN_IN, seed: int = SEED) -> Da
     return out
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES, fan_in: int = FAN_IN, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target and copies for each row of docs (doc_id, text, source)."""
+def _item_copies(docs: DataFrame, weights: Sequence[int], most: int, fan_in: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(source, doc_id, size, rows, copies) for each kind of row, with copies for all rows of it together; and the targets."""
     sizes = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words_in(F.col("text")).alias("size"))
     items = written(sizes.groupBy("source", "doc_id", "size").agg(F.count("*").alias("rows")), "sizes")
     targets = written(source_targets(items.select("source", (F.col("size") * F.col("rows")).alias("size")), weights, most), "targets")
     ratio = F.when(F.col("t.source_size") > 0, F.col("t.target") / F.col("t.source_size")).otherwise(0.0)
-    # the copies of equal rows are one item: rows times the ratio, in words of one row
     joined = items.alias("i").join(targets.alias("t"), F.col("i.source").eqNullSafe(F.col("t.source")))
-    ideal = joined.select("i.source", "i.doc_id", "i.size", "i.rows", F.least(ratio, F.lit(float(most))).alias("ratio")).select("source", "doc_id", "size", "rows", (F.col("ratio") * F.col("rows")).alias("ideal"))
-    copies = round_copies(ideal, fan_in, seed)
-    copies = copies.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
-    each = F.expr("copies div rows") + (F.col("row") < F.col("copies") % F.col("rows")).cast("long")
-    out = copies.select("source", "doc_id", "size", each.alias("copies"))
+    # equal rows are one item: rows times the ratio, in words of one row
+    ideal = joined.select("i.source", "i.doc_id", "i.size", "i.rows", (F.least(ratio, F.lit(float(most))) * F.col("i.rows")).alias("ideal"))
+    return round_copies(ideal, fan_in, seed), targets
+
+
+def _share(row: Column) -> Column:
+    """The copies of the row-th (from 0) of an item's rows."""
+    return F.expr("copies div rows") + (row < F.col("copies") % F.col("rows")).cast("long")
+
+
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES, fan_in: int = FAN_IN, seed: int = SEED) -> DataFrame:
+    """doc_id, source, size, source_size, target and copies for each row of docs (doc_id, text, source)."""
+    items, targets = _item_copies(docs, weights, most, fan_in, seed)
+    copies = items.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
+    out = copies.select("source", "doc_id", "size", _share(F.col("row")).alias("copies"))
     same = F.col("c.source").eqNullSafe(F.col("t.source"))
     return out.alias("c").join(targets.alias("t"), same).select("c.doc_id", "c.source", "c.size", "t.source_size", "t.target", "c.copies")
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES, fan_in: int = FAN_IN, seed: int = SEED) -> DataFrame:
+    """The rows of docs, each as often as the mix takes it, with their columns."""
+    items, _ = _item_copies(docs, weights, most, fan_in, seed)
+    items = written(items.where("copies > 0"), "copies")
+    key = [F.col("doc_id").cast("long"), F.col("source").cast("string"), words_in(F.col("text"))]
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *[k.alias(f"k{i}") for i, k in enumerate(key)])
+    same = F.col("d.k0").eqNullSafe(F.col("i.doc_id")) & F.col("d.k1").eqNullSafe(F.col("i.source")) & (F.col("d.k2") == F.col("i.size"))
+    met = rows.alias("d").join(items.alias("i"), same)
+    place = F.row_number().over(Window.partitionBy("i.doc_id", "i.source", "i.size").orderBy(F.lit(0))) - 1
+    times = met.select("d.row", "i.rows", "i.copies", place.alias("place")).withColumn("times", _share(F.col("place")))
+    return times.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))).alias("copy")).select("row.*")
