@@ -8,7 +8,7 @@ becomes integral. So a source's expected words never change on the way, and only
 Pairs meet in a reduction tree: hashed groups of about ``fan_in`` documents of a source fold into one
 residual each, residuals meet in the next level, and so on; a level is a fan_in-th of the one below, and no
 task ever holds more than some groups. Within a group large documents go first, which leaves small
-residuals. Random numbers are hashes of ids, level and seed: reruns agree.
+residuals, and a source's last group is folded some times, of which the least residual counts. Random numbers are hashes of ids, level and seed: reruns agree.
 
 Defined cases: a null or empty text has size 0 and is taken 0 times; a null source is a source, last in
 order; repeated rows count as one item of that multiplicity, whose copies its rows share as evenly as they
@@ -27,6 +27,8 @@ from .common import words_in, written
 
 FAN_IN = 128
 MOST_COPIES = 3
+#: Independent foldings of a source's last group, of which the one with the least residual counts.
+TRIALS = 16
 SEED = 20240501
 WEIGHTS = (1, 2, 3)
 
@@ -61,7 +63,7 @@ def _chance(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
-def _fold(items: Column, level: int, seed: int) -> Column:
+def _fold(items: Column, level: int, seed: int, trial: Column) -> Column:
     """Folds items, large first, into struct(last: the residual, done: the items made integral)."""
 
     def settle(item: Column, p: Column | float) -> Column:
@@ -71,7 +73,7 @@ def _fold(items: Column, level: int, seed: int) -> Column:
         a = acc["last"]
         pa, pb, wa, wb = a["p"], b["p"], a["size"].cast("double"), b["size"].cast("double")
         up, down = F.least(wa * (1 - pa), wb * pb), F.least(wa * pa, wb * (1 - pb))
-        lift = _chance(a["doc_id"], a["size"], b["doc_id"], b["size"], F.lit(level), F.lit(seed)) * (up + down) < down
+        lift = _chance(a["doc_id"], a["size"], b["doc_id"], b["size"], F.lit(level), F.lit(seed), trial) * (up + down) < down
         a_done = F.when(lift, wa * (1 - pa) <= wb * pb).otherwise(wa * pa <= wb * (1 - pb))
         moved = F.when(lift, up).otherwise(-down)
         done = F.when(a_done, settle(a, F.when(lift, 1.0).otherwise(0.0))).otherwise(settle(b, F.when(lift, 0.0).otherwise(1.0)))
@@ -82,6 +84,18 @@ def _fold(items: Column, level: int, seed: int) -> Column:
     return F.aggregate(F.slice(items, 2, F.size(items)), first, step)
 
 
+def _residual(item: Column) -> Column:
+    """Words by which a source misses its target if this item is its last."""
+    return F.abs(item["p"] - F.round(item["p"])) * item["size"]
+
+
+def _best_fold(items: Column, level: int, seed: int, trials: Column) -> Column:
+    """Of so many independent foldings the one with the least residual."""
+    folds = F.transform(F.sequence(F.lit(0), trials - 1), lambda t: _fold(items, level, seed, t))
+    keyed = F.transform(folds, lambda f, t: F.struct(_residual(f["last"]).alias("r"), t.alias("t"), f.alias("f")))
+    return F.array_min(keyed)["f"]
+
+
 def _large_first(items: Column) -> Column:
     key = F.transform(items, lambda x: F.struct((-x["size"]).alias("k"), F.xxhash64(x["doc_id"]).alias("h"), x.alias("x")))
     return F.transform(F.array_sort(key), lambda x: x["x"])
@@ -103,8 +117,10 @@ def round_copies(items: DataFrame, fan_in: int = FAN_IN, seed: int = SEED) -> Da
         if most is None:
             break
         same = F.col("g.source").eqNullSafe(F.col("o.source"))
-        dealt = open_items.alias("o").join(groups.alias("g"), same).select("o.source", "o.item", F.pmod(F.xxhash64("o.item.doc_id", "o.item.size", F.lit(level), F.lit(seed)), "g.groups").alias("bucket"))
-        folded = dealt.groupBy("source", "bucket").agg(F.collect_list("item").alias("items")).select("source", _fold(_large_first(F.col("items")), level, seed).alias("f"))
+        dealt = open_items.alias("o").join(groups.alias("g"), same).select("o.source", "o.item", F.pmod(F.xxhash64("o.item.doc_id", "o.item.size", F.lit(level), F.lit(seed)), "g.groups").alias("bucket"), "g.groups")
+        grouped = dealt.groupBy("source", "bucket", "groups").agg(F.collect_list("item").alias("items")).select("source", "groups", _large_first(F.col("items")).alias("items"))
+        trials = F.when(F.col("groups") == 1, TRIALS).otherwise(1)
+        folded = grouped.select("source", _best_fold(F.col("items"), level, seed, trials).alias("f"))
         folded = written(folded, f"level-{level}")
         done.append(folded.select("source", F.explode("f.done").alias("x")).select("source", "x.doc_id", "x.size", "x.rows", (F.col("x.whole") + F.round("x.p").cast("long")).alias("copies")))
         open_items = folded.select("source", F.col("f.last").alias("item"))
