@@ -249,9 +249,11 @@ def held_out(doc_id: str = "doc_id"):
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """Fits on at most ``train_rows`` labelled rows that aren't held out. Rows of rare labels come first, so that labels share the sample about evenly."""
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    place = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 40)) * F.col("n")
-    picked = rows.select("doc_id", "lang", "text").join(counts, "lang").orderBy(place, "doc_id", "text").limit(train_rows).select("text", "lang").collect()
+    # a few labels: their counts weigh a hash, and only the picked rows leave their tasks
+    counts = rows.groupBy("lang").count().collect()
+    weight = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], float(r["count"]))])[F.col("lang")] if counts else F.lit(1.0)
+    place = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 40)) * weight
+    picked = rows.select("doc_id", "lang", "text").orderBy(place, "doc_id", "text").limit(train_rows).select("text", "lang").collect()
     texts, langs = [r["text"] for r in picked], [r["lang"] for r in picked]
     return fit(texts, langs) if picked else Model([], {}, np.zeros((1, 0), np.float32), np.zeros((0, 0), np.float32))
 
