@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +71,27 @@ def slices(sizes: Iterable[int], most: int = 2_000_000) -> Iterator[tuple[int, i
         total += n
     if a < i:
         yield a, i
+
+
+def bitmap_of(indexes: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of fixed size from distinct numbers below 2**bits (column i)."""
+    part_bits = bits - 6
+
+    def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(1 << part_bits, np.uint8)
+        flags[rows["i"].to_numpy() & ((1 << part_bits) - 1)] = 1
+        return pd.DataFrame({"part": [key[0]], "bits": [np.packbits(flags).tobytes()]})
+
+    parts = indexes.groupBy(F.shiftright("i", part_bits).alias("part")).applyInPandas(fill, "part long, bits binary").collect()
+    out = np.zeros((64, (1 << part_bits) // 8), np.uint8)
+    for p in parts:
+        out[p["part"]] = np.frombuffer(p["bits"], np.uint8)
+    return out.ravel()
+
+
+def in_bitmap(bitmap: np.ndarray, i: np.ndarray) -> np.ndarray:
+    return (bitmap[i >> 3] >> (7 - (i & 7)).astype(np.uint8)) & 1 > 0
+
+
+def low_bits(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h & np.uint64((1 << bits) - 1)).astype(np.int64)

@@ -7,7 +7,8 @@ the window in which such a neighbour's home can lie is the document's first size
 shingles: it is replicated to those regions. The order puts shingles that few documents hold first (counts
 come from a sketch of fixed size over all documents), so regions hold few documents.
 
-Regions with one member set are dropped but for one. A region that is too large for a task recurses: pivot
+Regions with one member set are dropped but for one, and members without a partner that sizes and class
+counts (a contraction of the metric) allow, before any set is fetched. A region that is too large for a task recurses: pivot
 documents are drawn from it, members go to the region of their nearest pivot, and to those pivots whose
 distance is within twice the radius of that, which by the triangle inequality holds every pair together. A
 region that stays too large (copies that differ little are all near all pivots) is joined as pairs of
@@ -17,13 +18,13 @@ In a region each document not yet linked is compared exactly, by sets, with the
 task returns links that span what it finds. Components come from these links by alternating stars.
 
 Defined cases: null texts and texts without words have no shingles and are linked with nothing; repeated
-rows belong to one class and are returned each; a component of null ids alone has a null id; an empty table
-gives no rows; other columns are ignored.
+rows belong to one class and are returned each; a class of null ids alone is linked with nothing and has a
+null id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import bitmap_of, in_bitmap, low_bits, written
 from .components import connected_components
 from .shingles import mix, set_key, shingle_sets
 
@@ -40,6 +41,11 @@ SKETCH_BITS = 18
 #: Shingles that the sets of a region may hold together, for one task.
 REGION_SHINGLES = 2_000_000
 REGION_PIVOTS = 16
+#: Classes of shingles whose counts make a signature, and members that a region has at most for all their signatures to be compared.
+CLASSES = 64
+SIGNED_MEMBERS = 2000
+#: Bits of the filters that carry shared pivots and wanted sets to passes over all documents; they let more pass, never fewer.
+FILTER_BITS = 24
 
 
 def least_overlap(size: int, percent: int) -> int:
@@ -51,38 +57,47 @@ def _texts(batch: pa.RecordBatch) -> pa.StringArray:
     return pc.fill_null(batch.column("text"), "").cast(pa.string())
 
 
+def signature(values: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles by class of their hash.
+
+    Two sets share at most the sum of the smaller counts: a metric that never exceeds the Jaccard distance.
+    """
+    return np.bincount((values >> np.uint64(58)).astype(np.int64), minlength=CLASSES).astype(np.uint32)
+
+
 def describe(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, size, a, b of each row (kind 0), and parts of each task's sketch (kind 1: a is the part, counts its counters)."""
+    """doc_id, size, a, b and signature of each row (kind 0), and parts of each task's sketch (kind 1: a is the part, data its counters)."""
+    names = ["kind", "doc_id", "size", "a", "b", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-        names = ["kind", "doc_id", "size", "a", "b", "counts"]
         for batch in batches:
-            size, a, b = [], [], []
+            size, a, b, signed = [], [], [], []
             for x in shingle_sets(_texts(batch), n):
-                np.add.at(sketch, (x & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), 1)
+                np.add.at(sketch, low_bits(x, SKETCH_BITS), 1)
                 k = set_key(x)
                 size.append(len(x))
                 a.append(k[0])
                 b.append(k[1])
-            m = len(size)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(m, np.int32)), batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(m, pa.binary())], names)
+                signed.append(signature(x).tobytes())
+            columns = [pa.array(np.zeros(len(size), np.int32)), batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(signed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names)
         if sketch.any():
             parts = sketch.reshape(64, -1)
-            m = len(parts)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(np.arange(m)), pa.nulls(m, pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], names)
+            none = pa.nulls(len(parts), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(parts), np.int32)), none, none, pa.array(np.arange(len(parts))), none, pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "kind int, doc_id long, size long, a long, b long, counts binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "kind int, doc_id long, size long, a long, b long, data binary")
 
 
 def sketch_of(described: DataFrame) -> np.ndarray:
     """The counters of all documents; their number is fixed, whatever the corpus."""
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"a": [key[0]], "counts": [sum(np.frombuffer(c, np.int64) for c in rows["counts"]).tobytes()]})
+        return pd.DataFrame({"a": [key[0]], "data": [sum(np.frombuffer(c, np.int64) for c in rows["data"]).tobytes()]})
 
-    parts = described.where("kind = 1").groupBy("a").applyInPandas(add, "a long, counts binary").orderBy("a").collect()
-    return np.concatenate([np.frombuffer(p["counts"], np.int64) for p in parts]) if parts else np.zeros(1 << SKETCH_BITS, np.int64)
+    parts = described.where("kind = 1").groupBy("a").applyInPandas(add, "a long, data binary").orderBy("a").collect()
+    return np.concatenate([np.frombuffer(p["data"], np.int64) for p in parts]) if parts else np.zeros(1 << SKETCH_BITS, np.int64)
 
 
 def windows(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> DataFrame:
@@ -95,7 +110,7 @@ def windows(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> DataFr
             pivots, keys, sizes = [], [], []
             for x in shingle_sets(_texts(batch), n):
                 if len(x):
-                    order = np.lexsort((x, counts[(x & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]))
+                    order = np.lexsort((x, counts[low_bits(x, SKETCH_BITS)]))
                     pivots.append(x[order[: len(x) - least_overlap(len(x), percent) + 1]].view(np.int64))
                     keys.append(set_key(x)[0])
                     sizes.append(len(x))
@@ -137,6 +152,26 @@ def _links(keys: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple
     return found
 
 
+def _fitting(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Members of a region that may link to another by the bound that sizes and signatures give."""
+
+    def fitting(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("size").reset_index(drop=True)
+        size, counts = rows["size"].to_numpy(), np.stack([np.frombuffer(x, np.uint32) for x in rows["data"]]).astype(np.int64)
+        keep = np.zeros(len(rows), bool)
+        for i in range(len(rows) - 1):
+            # sizes rise, so partners stand in a run after i
+            end = int(np.searchsorted(percent * size[i + 1 :], 100 * size[i], side="right"))
+            most = np.minimum(counts[i], counts[i + 1 : i + 1 + end]).sum(1)
+            fits = 100 * most >= percent * (size[i] + size[i + 1 : i + 1 + end] - most)
+            if fits.any():
+                keep[i] = True
+                keep[i + 1 : i + 1 + end] |= fits
+        return rows.loc[keep, ["region", "a", "size"]]
+
+    return fitting
+
+
 def _join_region(percent: int):
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("a").sort_values("a")
@@ -216,28 +251,45 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
     Documents link whose sets of n-word shingles have a Jaccard similarity of ``percent`` or more. A class
     holds the documents of one set and is named by its smallest id, a component by the smallest id in it.
     """
+    spark = docs.sparkSession
     described = written(describe(docs, n), "described")
-    rows = described.where("kind = 0").select("doc_id", "size", "a", "b")
-    classes = written(rows.where("size > 0").groupBy("a", "b", "size").agg(F.min("doc_id").alias("class_id")), "classes")
+    rows = described.where("kind = 0").select("doc_id", "size", "a", "b", "data")
+    classes = written(rows.where("size > 0").groupBy("a", "b", "size").agg(F.min("doc_id").alias("class_id"), F.first("data").alias("data")), "classes")
     entered = written(windows(docs, n, percent, sketch_of(described)), "windows")
     # regions that two sets enter at least
     shared = entered.groupBy("pivot").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low <> high").select("pivot")
-    entered = written(entered.join(shared, "pivot", "left_semi").distinct(), "shared")
+    shared = written(shared, "shared")
+    low = f"& {(1 << FILTER_BITS) - 1}"
+    marked = spark.sparkContext.broadcast(bitmap_of(shared.select(F.expr(f"pivot {low}").alias("i")).distinct(), FILTER_BITS))
+
+    def pass_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(marked.value, low_bits(batch.column("pivot").to_numpy().view(np.uint64), FILTER_BITS))))
+
+    entered = written(entered.mapInArrow(pass_shared, entered.schema).join(shared, "pivot", "left_semi").distinct(), "entered")
     # of regions with the same members one is enough
     seal = entered.groupBy("pivot").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("a")).alias("x"), F.sum(F.shiftrightunsigned(F.xxhash64("a", F.lit(1)), 24)).alias("s"))
-    one = seal.groupBy("m", "x", "s").agg(F.min("pivot").alias("pivot")).select("pivot")
-    regions = written(entered.join(one, "pivot").select(F.col("pivot").alias("region"), "a", "size"), "regions")
-    wanted = regions.select("a").distinct().join(classes, "a").select("class_id").distinct()
+    one = seal.groupBy("m", "x", "s").agg(F.min("pivot").alias("pivot")).select("pivot", "m")
+    kept = written(entered.join(one, "pivot").select(F.col("pivot").alias("region"), "a", "size", "m"), "kept")
+    signed = kept.where(F.col("m") <= SIGNED_MEMBERS).join(classes.select("a", "size", "data"), ["a", "size"]).select("region", "a", "size", "data")
+    fitting = signed.groupBy("region").applyInPandas(_fitting(percent), "region long, a long, size long")
+    regions = written(fitting.union(kept.where(F.col("m") > SIGNED_MEMBERS).select("region", "a", "size")), "regions")
+    wanted = written(regions.select("a").distinct(), "wanted")
+    sought = spark.sparkContext.broadcast(bitmap_of(wanted.select(F.expr(f"a {low}").alias("i")).distinct(), FILTER_BITS))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for batch in batches:
-            found = [*shingle_sets(_texts(batch), n)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(x)[0] for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())], ["a", "members"])
-
-    source = docs.select(F.col("doc_id").cast("long").alias("class_id"), F.col("text").cast("string"))
-    members = source.where("class_id IS NOT NULL").join(wanted, "class_id", "left_semi").select("text").mapInArrow(sets, "a long, members binary")
-    nulls = source.where("class_id IS NULL").select("text").mapInArrow(sets, "a long, members binary")
-    members = written(members.union(nulls).groupBy("a").agg(F.first("members").alias("members")), "sets")
+            out = []
+            for x in shingle_sets(_texts(batch), n):
+                a = set_key(x)[0]
+                if in_bitmap(sought.value, np.int64(a & ((1 << FILTER_BITS) - 1))) and a not in given:
+                    given.add(a)
+                    out.append((a, x.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["a", "members"])
+
+    members = docs.select(F.col("text").cast("string")).mapInArrow(sets, "a long, members binary").join(wanted, "a", "left_semi")
+    members = written(members.groupBy("a").agg(F.first("members").alias("members")), "sets")
     links = written(link_regions(regions, members, percent, limit), "links")
     name = classes.select("a", "class_id").groupBy("a").agg(F.min("class_id").alias("class_id"))
     named = links.join(name, "a").select("b", F.col("class_id").alias("u")).join(name.withColumnRenamed("a", "b"), "b").select("u", F.col("class_id").alias("v"))

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import bitmap_of, in_bitmap, low_bits, slices, written
 from .shingles import _bytes_of, _powers, mix, running_hash
 
 LENGTH = 200
@@ -88,30 +88,6 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def _bitmap(indexes: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of fixed size from distinct numbers below 2**bits (column i)."""
-    part_bits = bits - 6
-
-    def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        flags = np.zeros(1 << part_bits, np.uint8)
-        flags[rows["i"].to_numpy() & ((1 << part_bits) - 1)] = 1
-        return pd.DataFrame({"part": [key[0]], "bits": [np.packbits(flags).tobytes()]})
-
-    parts = indexes.groupBy(F.shiftright("i", part_bits).alias("part")).applyInPandas(fill, "part long, bits binary").collect()
-    out = np.zeros((64, (1 << part_bits) // 8), np.uint8)
-    for p in parts:
-        out[p["part"]] = np.frombuffer(p["bits"], np.uint8)
-    return out.ravel()
-
-
-def _in_bitmap(bitmap: np.ndarray, i: np.ndarray) -> np.ndarray:
-    return (bitmap[i >> 3] >> (7 - (i & 7)).astype(np.uint8)) & 1 > 0
-
-
-def _low(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h & np.uint64((1 << bits) - 1)).astype(np.int64)
-
-
 def _codes(rows: np.ndarray) -> np.ndarray:
     """Rows of a byte matrix as fixed-length strings, for sorting."""
     return np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel()
@@ -152,7 +128,7 @@ class RunBuilder:
 
     def add(self, data: np.ndarray, offsets: np.ndarray, found: dict[str, np.ndarray], row_ids: np.ndarray) -> None:
         o_max, o_min = found["at"] - found["lo"], found["at"] - found["hi"]
-        hot = _in_bitmap(self.hot, _low(found["hash"], self.hot_bits))
+        hot = in_bitmap(self.hot, low_bits(found["hash"], self.hot_bits))
         if hot.any():
             # one item a window
             each = np.where(hot, o_max - o_min + 1, 1)
@@ -372,7 +348,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
                 data, offsets = _bytes_of(texts.slice(a, b - a))
                 found = anchors(data, offsets, length, gram)
                 # some starts of suffixes to draw splitters from, by hash: the same ones wherever they stand
-                sample = np.flatnonzero(_low(found["hash"] >> np.uint64(32), 8) == 0)
+                sample = np.flatnonzero(low_bits(found["hash"] >> np.uint64(32), 8) == 0)
                 starts = [None] * len(found["at"])
                 for i in sample.tolist():
                     starts[i] = data[found["at"][i] : found["at"][i] + gram].tobytes()
@@ -380,9 +356,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
 
     counted = source.mapInArrow(hashes, "hash long, start binary").groupBy("hash").agg(F.count("*").alias("n"), F.first("start", True).alias("start"))
     counted = written(counted.where("n > 1"), "anchors")
-    bitmap = _bitmap(counted.select(F.expr(f"hash & {(1 << BITMAP_BITS) - 1}").alias("i")).distinct(), BITMAP_BITS)
+    bitmap = bitmap_of(counted.select(F.expr(f"hash & {(1 << BITMAP_BITS) - 1}").alias("i")).distinct(), BITMAP_BITS)
     hot_bits = 20
-    hot = _bitmap(counted.where(F.col("n") > hot_count).select(F.expr(f"hash & {(1 << hot_bits) - 1}").alias("i")).distinct(), hot_bits)
+    hot = bitmap_of(counted.where(F.col("n") > hot_count).select(F.expr(f"hash & {(1 << hot_bits) - 1}").alias("i")).distinct(), hot_bits)
     total = counted.agg(F.sum("n")).first()[0] or 0
     parts = max(1, min(SPLITTER_SAMPLE, -(-total // range_items)))
     drawn = sorted(bytes(r["start"]) for r in counted.where("start IS NOT NULL").orderBy(F.xxhash64("hash")).limit(SPLITTER_SAMPLE).select("start").collect())
@@ -406,7 +382,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
             for a, b in slices(np.diff(_bytes_of(texts)[1])):
                 data, offsets = _bytes_of(texts.slice(a, b - a))
                 found = anchors(data, offsets, length, gram)
-                keep = _in_bitmap(marked, _low(found["hash"], BITMAP_BITS))
+                keep = in_bitmap(marked, low_bits(found["hash"], BITMAP_BITS))
                 if keep.any():
                     builder.add(data, offsets, {k: v[keep] for k, v in found.items()}, row_ids[a:b])
                 if builder.n >= run_items:
