@@ -103,4 +103,30 @@ ORACLE_SQL: dict[str, str] = {
             SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    "op3_url_filter": """
+        WITH u AS (
+            SELECT page_id, url, CASE WHEN page_id IS NOT NULL THEN DATE '2023-01-01' + CAST(((page_id * 37) % 730 + 730) % 730 AS INTEGER) END AS fetched_on,
+                lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host,
+                regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)/', 1) AS segment
+            FROM pages
+        ), v AS (
+            SELECT row_number() OVER () AS r, page_id, url, fetched_on, host, CASE WHEN segment = '' THEN '' ELSE host || '/' || segment || '/' END AS prefix FROM u
+        ), h AS (SELECT pattern, md5(pattern) AS h FROM (SELECT DISTINCT host AS pattern FROM v WHERE host <> '')),
+        p AS (SELECT pattern, md5(pattern) AS h FROM (SELECT DISTINCT prefix AS pattern FROM v WHERE prefix <> '')),
+        e AS (
+            SELECT * FROM (VALUES ('host', 'spam-farm.example.org', 'block', 'spam', DATE '2023-02-01'), ('host', 'spam-farm.example.org', 'remove', NULL, DATE '2023-08-01'),
+                ('host', 'spam-farm.example.org', 'block', 'spam', DATE '2024-01-15'), ('host', 'cheap-pills.example.com', 'block', 'pharma', DATE '2023-04-10'),
+                ('host', 'casino.example.net', 'block', 'gambling', DATE '2023-06-01')) AS t(kind, pattern, action, category, listed_on)
+            UNION ALL SELECT 'host', pattern, 'block', 'hashed', DATE '2023-01-01' + CAST('0x' || substr(h, 2, 2) AS INTEGER) FROM h WHERE substr(h, 1, 1) IN ('0', '1', '2', '3')
+            UNION ALL SELECT 'host', pattern, 'remove', NULL, DATE '2023-01-01' + CAST('0x' || substr(h, 2, 2) AS INTEGER) + CAST('0x' || substr(h, 4, 2) AS INTEGER) + 1 FROM h WHERE substr(h, 1, 1) IN ('0', '1', '2', '3') AND substr(h, 6, 1) < '8'
+            UNION ALL SELECT 'prefix', pattern, 'allow', 'trusted', DATE '2023-01-01' + CAST('0x' || substr(h, 2, 2) AS INTEGER) FROM p WHERE substr(h, 1, 1) IN ('e', 'f')
+        ), d AS (
+            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kind, pattern, listed_on ORDER BY CASE action WHEN 'block' THEN 2 WHEN 'allow' THEN 1 ELSE 0 END DESC, category DESC) AS n FROM e) WHERE n = 1
+        ), i AS (SELECT *, coalesce(lead(listed_on) OVER (PARTITION BY kind, pattern ORDER BY listed_on), DATE '9999-12-31') AS valid_to FROM d),
+        m AS (
+            SELECT r, action, pattern, category, listed_on, row_number() OVER (PARTITION BY r ORDER BY kind = 'prefix' DESC, length(pattern) DESC, pattern DESC) AS n
+            FROM v JOIN i ON action <> 'remove' AND fetched_on >= listed_on AND fetched_on < valid_to
+                AND (kind = 'prefix' AND pattern = prefix OR kind = 'host' AND (pattern = host OR ends_with(host, '.' || pattern)) AND (contains(pattern, '.') OR pattern = host))
+        )
+        SELECT page_id, url, fetched_on, coalesce(action = 'block', false) AS blocked, action, pattern, category, listed_on FROM v LEFT JOIN (SELECT * FROM m WHERE n = 1) USING (r)""",
 }
