@@ -52,6 +52,11 @@ def drop_written(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def about(key: Column, rows: int, of: int | Column) -> Column:
+    """Whether a row is among about ``rows`` of ``of``, by a hash of its key: the same rows each time, and no task gathers more than its share."""
+    return F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 40)) < F.lit(float(1 << 40)) * rows / of
+
+
 def words_in(text: Column) -> Column:
     """The number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import about, slices
 
 UNKNOWN = "und"
 #: Labelled rows that the model is fitted on, at most.
@@ -249,13 +249,15 @@ def held_out(doc_id: str = "doc_id"):
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """Fits on at most ``train_rows`` labelled rows that aren't held out. Rows of rare labels come first, so that labels share the sample about evenly."""
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # a few labels: their counts weigh a hash, and only the picked rows leave their tasks
+    # a few labels: their counts set each one's rate, and a little more than the sample leaves its tasks
     counts = rows.groupBy("lang").count().collect()
-    weight = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], float(r["count"]))])[F.col("lang")] if counts else F.lit(1.0)
-    place = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 40)) * weight
-    picked = rows.select("doc_id", "lang", "text").orderBy(place, "doc_id", "text").limit(train_rows).select("text", "lang").collect()
+    if not counts:
+        return Model([], {}, np.zeros((1, 0), np.float32), np.zeros((0, 0), np.float32))
+    of = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], float(r["count"] * len(counts)))])[F.col("lang")]
+    near = rows.select("doc_id", "lang", "text").where(about(F.col("doc_id"), train_rows * 5 // 4, of))
+    picked = near.orderBy(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) * of, "doc_id", "text").limit(train_rows).select("text", "lang").collect()
     texts, langs = [r["text"] for r in picked], [r["lang"] for r in picked]
-    return fit(texts, langs) if picked else Model([], {}, np.zeros((1, 0), np.float32), np.zeros((0, 0), np.float32))
+    return fit(texts, langs)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
