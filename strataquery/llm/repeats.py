@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, in_bitmap, low_bits, slices, written
+from .common import about, bitmap_of, in_bitmap, low_bits, slices, written
 from .shingles import _bytes_of, _powers, mix, running_hash
 
 LENGTH = 200
@@ -361,7 +361,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
     hot = bitmap_of(counted.where(F.col("n") > hot_count).select(F.expr(f"hash & {(1 << hot_bits) - 1}").alias("i")).distinct(), hot_bits)
     total = counted.agg(F.sum("n")).first()[0] or 0
     parts = max(1, min(SPLITTER_SAMPLE, -(-total // range_items)))
-    drawn = sorted(bytes(r["start"]) for r in counted.where("start IS NOT NULL").orderBy(F.xxhash64("hash")).limit(SPLITTER_SAMPLE).select("start").collect())
+    starts = counted.where("start IS NOT NULL").select("hash", "start")
+    drawn = sorted(bytes(r["start"]) for r in starts.where(about(F.col("hash"), SPLITTER_SAMPLE, max(1, starts.count()))).collect())
     cuts = [drawn[len(drawn) * i // parts] for i in range(1, parts)] if drawn else []
     splitters = np.array(sorted(set(cuts)), f"S{gram}")
     sent = spark.sparkContext.broadcast((bitmap, hot, splitters))
