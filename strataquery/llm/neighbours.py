@@ -29,9 +29,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_written, written
+from .common import about, drop_written, written
 
-#: Vectors that the trees are fitted on, at most, and the fewest of them in a leaf.
+#: Vectors that the trees are fitted on, about, and the fewest of them in a leaf.
 SAMPLE = 16_384
 LEAST_IN_LEAF = 8
 BLOCK_ROWS = 2000
@@ -147,7 +147,7 @@ class NeighbourGraph:
         nodes = written(self.rows.groupBy("vec").agg(F.min("vec_id").alias("node_id")), "nodes")
         self.nodes = nodes
         n = nodes.count()
-        sample = nodes.orderBy(F.xxhash64("node_id", F.lit(seed))).limit(SAMPLE).select("vec").toPandas()
+        sample = nodes.where(about(F.col("node_id"), SAMPLE, max(1, n))).orderBy("node_id").select("vec").toPandas()
         self.states = None
         if not n:
             return
