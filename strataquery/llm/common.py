@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from typing import Any, TypeVar
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: What separates words: ASCII space and the control characters 0x09 to 0x0D.
 SPACES = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACES}]+"
@@ -57,6 +60,17 @@ def about(key: Column, rows: int, of: int | Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 40)) < F.lit(float(1 << 40)) * rows / of
 
 
+_HELD: dict[Hashable, Any] = {}
+
+
+def held(key: Hashable, make: Callable[[], T]) -> T:
+    """What a worker process keeps between tasks: one thing at a time, so that operators which follow one another don't add up."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def words_in(text: Column) -> Column:
     """The number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import about, slices
+from .common import about, held, slices
 
 UNKNOWN = "und"
 #: Labelled rows that the model is fitted on, at most.
@@ -37,7 +37,7 @@ TRAIN_WORDS = 400_000
 BITS = 18
 LEXICON = 300
 BLOCK = 64
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -231,14 +231,9 @@ class Labeller:
         return langs, scores
 
 
-_LABELLERS: list[Labeller] = []
-
-
 def labeller_of(model: Model) -> Labeller:
-    """One labeller a worker process and model, which serves its tasks one after the other."""
-    if not _LABELLERS or _LABELLERS[0].model is not model:
-        _LABELLERS[:] = [Labeller(model)]
-    return _LABELLERS[0]
+    """One labeller a worker process and model, which serves its tasks one after the other. It holds the model, so the id stays the model's."""
+    return held(("labeller", id(model)), lambda: Labeller(model))
 
 
 def held_out(doc_id: str = "doc_id"):

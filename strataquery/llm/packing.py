@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, written
+from .common import held, slices, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -35,14 +35,14 @@ END_ID = 2
 BUCKET_ROWS = 500
 MOST_BUCKETS = 100_000
 #: Space-delimited words whose ids a worker remembers; when full it keeps those it has.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 #: Fixed value: how this byte-level BPE splits text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Texts that the word cache can't treat: other white space than single spaces and line feeds, the marker.
 _RARE = r"[ \n][ \n]|[\t\x0b\f\r\x1c-\x1f\x00]|[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Bytes of text that are looked up at a time: the more, the fewer distinct words a byte; a worker holds about 20 times this.
-SLICE = 8_000_000
+SLICE = 4_000_000
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -139,14 +139,9 @@ class WordCache:
         return out
 
 
-_CACHES: dict[str, WordCache] = {}
-
-
 def word_cache(path: str) -> WordCache:
     """One cache a worker process, which serves its tasks one after the other."""
-    if path not in _CACHES:
-        _CACHES[path] = WordCache(path)
-    return _CACHES[path]
+    return held(("words", path), lambda: WordCache(path))
 
 
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
