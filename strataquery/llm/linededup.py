@@ -29,6 +29,8 @@ MIN_TOKENS = 3
 DEPTH = 3
 #: Share of a line's fields that must equal constants of the leaf's template.
 LEAST_SIMILAR = 0.6
+#: Bits of leaf hashes by which lines are sifted before texts are shuffled.
+FILTER_BITS = 17
 
 
 def masked(line: Column) -> Column:
@@ -57,6 +59,9 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
     mixed = own.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("m")).where((F.col("m") > 1) & (F.col("docs") >= min_docs))
     mixed = written(mixed.select("leaf", "m"), "mixed")
     text = lines.select(F.col("line"), F.struct(*_keys(F.col("line"), depth)).alias("k")).select("k.n", "k.leaf", "k.own", masked(F.col("line")).alias("m_line")).where(F.col("n") >= min_tokens)
+    # lower bits of the leaves first: 2**FILTER_BITS rows at most, so this side may always be broadcast, and few texts are shuffled
+    low = F.col("leaf").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("low")
+    text = text.withColumn("low", low).join(F.broadcast(mixed.select(low).distinct()), "low", "left_semi").drop("low")
     fields = text.join(mixed.select("leaf"), "leaf", "left_semi").groupBy("leaf", "own", "n").agg(F.min("m_line").alias("m_line"))
     fields = written(fields.select("leaf", "own", "n", F.posexplode(F.split("m_line", " ")).alias("at", "token")), "fields")
     usual = fields.groupBy("leaf", "at", "token").agg(F.count("*").alias("c")).groupBy("leaf", "at").agg(F.max(F.struct("c", "token")).alias("best"))
