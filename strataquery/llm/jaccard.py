@@ -44,6 +44,8 @@ REGION_PIVOTS = 16
 #: Classes of shingles whose counts make a signature, and members that a region has at most for all their signatures to be compared.
 CLASSES = 64
 SIGNED_MEMBERS = 2000
+#: Rows of regions that travel together to have their signatures compared, about.
+SIGNED_BATCH = 20_000
 #: Bits of the filters that carry shared pivots and wanted sets to passes over all documents; they let more pass, never fewer.
 FILTER_BITS = 24
 
@@ -152,32 +154,50 @@ def _links(keys: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple
     return found
 
 
+def _starts(region: np.ndarray) -> np.ndarray:
+    """Where each region of sorted rows begins, with the end."""
+    return np.r_[np.flatnonzero(np.r_[True, region[1:] != region[:-1]]), len(region)]
+
+
 def _fitting(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Members of a region that may link to another by the bound that sizes and signatures give."""
+    """Members of a batch of regions that may link to another of their region by the bound that sizes and signatures give."""
+
+    def fits(size: np.ndarray, counts: np.ndarray, i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
+        most = np.minimum(counts[i], counts[j]).sum(1, dtype=np.int64)
+        return (100 * most >= percent * (size[i] + size[j] - most)) & (percent * size[j] <= 100 * size[i])
 
     def fitting(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("size").reset_index(drop=True)
-        size, counts = rows["size"].to_numpy(), np.stack([np.frombuffer(x, np.uint32) for x in rows["data"]]).astype(np.int64)
+        rows = rows.sort_values(["region", "size"])
+        size, counts = rows["size"].to_numpy(np.int64), np.frombuffer(b"".join(rows["data"]), np.uint32).reshape(len(rows), CLASSES)
         keep = np.zeros(len(rows), bool)
-        for i in range(len(rows) - 1):
-            # sizes rise, so partners stand in a run after i
-            end = int(np.searchsorted(percent * size[i + 1 :], 100 * size[i], side="right"))
-            most = np.minimum(counts[i], counts[i + 1 : i + 1 + end]).sum(1)
-            fits = 100 * most >= percent * (size[i] + size[i + 1 : i + 1 + end] - most)
-            if fits.any():
-                keep[i] = True
-                keep[i + 1 : i + 1 + end] |= fits
+        at = _starts(rows["region"].to_numpy())
+        # most regions have two members: all of them at once
+        pairs = at[:-1][np.diff(at) == 2]
+        good = pairs[fits(size, counts, pairs, pairs + 1)]
+        keep[good] = keep[good + 1] = True
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            if b - a > 2:
+                for i in range(a, b - 1):
+                    # sizes rise, so partners stand in a run after i
+                    others = np.arange(i + 1, i + 1 + int(np.searchsorted(percent * size[i + 1 : b], 100 * size[i], side="right")))
+                    found = others[fits(size, counts, i, others)]
+                    keep[found] = True
+                    keep[i] |= len(found) > 0
         return rows.loc[keep, ["region", "a", "size"]]
 
     return fitting
 
 
-def _join_region(percent: int):
+def _join_regions(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Links of a batch of regions."""
+
     def join(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("a").sort_values("a")
-        if len(rows) < 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-        found = _links(rows["a"].to_numpy(np.int64), [np.frombuffer(x, np.uint64) for x in rows["members"]], percent)
+        rows = rows.drop_duplicates(["region", "a"]).sort_values(["region", "a"])
+        keys, members, at = rows["a"].to_numpy(np.int64), rows["members"].tolist(), _starts(rows["region"].to_numpy())
+        found: list[tuple[int, int]] = []
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            if b - a > 1:
+                found += _links(keys[a:b], [np.frombuffer(x, np.uint64) for x in members[a:b]], percent)
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return join
@@ -215,7 +235,7 @@ def _split_region(pivot_rows: DataFrame, large: DataFrame, percent: int) -> Data
 
 def _sizes(regions: DataFrame, limit: int) -> DataFrame:
     """region, parts: how many blocks the sets of a region make."""
-    return regions.groupBy("region").agg(F.ceil(F.sum("size") / limit).cast("long").alias("parts"), F.count("*").alias("members_n"))
+    return regions.groupBy("region").agg(F.ceil(F.sum("size") / limit).cast("long").alias("parts"), F.sum("size").alias("total"))
 
 
 def _block_pairs(regions: DataFrame, limit: int) -> DataFrame:
@@ -231,7 +251,11 @@ def link_regions(entered: DataFrame, sets: DataFrame, percent: int, limit: int =
     """a, b: links that span the components of the members of regions entered (region, a, size), given sets (a, members)."""
     schema = "a long, b long"
     sizes = written(_sizes(entered, limit), "region-sizes")
-    found = entered.join(sizes.where("parts <= 1").select("region"), "region").join(sets, "a").select("region", "a", "members").groupBy("region").applyInPandas(_join_region(percent), schema)
+    # regions travel in batches of about a region's limit
+    batches = max(1, -(-(sizes.agg(F.sum("total")).first()[0] or 0) // limit))
+    batch = F.pmod(F.xxhash64("region"), F.lit(batches)).alias("batch")
+    small = entered.join(sizes.where("parts <= 1").select("region"), "region").join(sets, "a").select("region", "a", "members")
+    found = small.groupBy(batch).applyInPandas(_join_regions(percent), schema)
     if not sizes.where("parts > 1").isEmpty():
         large = written(entered.join(sizes.where("parts > 1").select("region"), "region").join(sets, "a").select("region", "a", "size", "members"), "large-regions")
         # the pivots: members whose hashes are the least of about enough buckets; a region has REGION_PIVOTS at most
@@ -239,9 +263,9 @@ def link_regions(entered: DataFrame, sets: DataFrame, percent: int, limit: int =
         pivot_rows = large.groupBy("region", bucket.alias("k")).agg(F.min_by("members", F.xxhash64("a")).alias("members"))
         split = written(_split_region(pivot_rows, large, percent), "split-regions")
         sizes = written(_sizes(split, limit), "split-sizes")
-        small = split.join(sizes.where("parts <= 1").select("region"), "region")
+        whole = split.join(sizes.where("parts <= 1").select("region"), "region")
         blocks = _block_pairs(split.join(sizes.where("parts > 1").select("region", "parts"), "region"), limit)
-        found = found.union(small.select("region", "a", "members").union(blocks.select("region", "a", "members")).groupBy("region").applyInPandas(_join_region(percent), schema))
+        found = found.union(whole.select("region", "a", "members").union(blocks.select("region", "a", "members")).groupBy("region").applyInPandas(_join_regions(percent), schema))
     return found
 
 
@@ -272,7 +296,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
     one = seal.groupBy("m", "x", "s").agg(F.min("pivot").alias("pivot")).select("pivot", "m")
     kept = written(entered.join(one, "pivot").select(F.col("pivot").alias("region"), "a", "size", "m"), "kept")
     signed = kept.where(F.col("m") <= SIGNED_MEMBERS).join(classes.select("a", "size", "data"), ["a", "size"]).select("region", "a", "size", "data")
-    fitting = signed.groupBy("region").applyInPandas(_fitting(percent), "region long, a long, size long")
+    batches = max(1, -(-kept.count() // SIGNED_BATCH))
+    fitting = signed.groupBy(F.pmod(F.xxhash64("region"), F.lit(batches))).applyInPandas(_fitting(percent), "region long, a long, size long")
     regions = written(fitting.union(kept.where(F.col("m") > SIGNED_MEMBERS).select("region", "a", "size")), "regions")
     wanted = written(regions.select("a").distinct(), "wanted")
     sought = spark.sparkContext.broadcast(bitmap_of(wanted.select(F.expr(f"a {low}").alias("i")).distinct(), FILTER_BITS))
