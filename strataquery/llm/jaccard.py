@@ -14,7 +14,8 @@ distance is within twice the radius of that, which by the triangle inequality ho
 region that stays too large (copies that differ little are all near all pivots) is joined as pairs of
 blocks, so a task's memory is bounded and no pair is lost.
 
-In a region each document not yet linked is compared exactly, by sets, with the members not yet reached; a
+Sets travel to one region of each document first; links found there make components, and later only members
+that may link two components travel again. In a region each document not yet linked is compared exactly, by sets, with the members not yet reached; a
 task returns links that span what it finds. Components come from these links by alternating stars.
 
 Defined cases: null texts and texts without words have no shingles and are linked with nothing; repeated
@@ -160,27 +161,27 @@ def _starts(region: np.ndarray) -> np.ndarray:
 
 
 def _fitting(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Members of a batch of regions that may link to another of their region by the bound that sizes and signatures give."""
+    """Members of a batch of regions that may link to another of their region and of another component, by the bound that sizes and signatures give."""
 
-    def fits(size: np.ndarray, counts: np.ndarray, i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
+    def fits(size: np.ndarray, counts: np.ndarray, root: np.ndarray, i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
         most = np.minimum(counts[i], counts[j]).sum(1, dtype=np.int64)
-        return (100 * most >= percent * (size[i] + size[j] - most)) & (percent * size[j] <= 100 * size[i])
+        return (100 * most >= percent * (size[i] + size[j] - most)) & (percent * size[j] <= 100 * size[i]) & (root[i] != root[j])
 
     def fitting(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["region", "size"])
         size, counts = rows["size"].to_numpy(np.int64), np.frombuffer(b"".join(rows["data"]), np.uint32).reshape(len(rows), CLASSES)
-        keep = np.zeros(len(rows), bool)
+        root, keep = rows["root"].to_numpy(np.int64), np.zeros(len(rows), bool)
         at = _starts(rows["region"].to_numpy())
         # most regions have two members: all of them at once
         pairs = at[:-1][np.diff(at) == 2]
-        good = pairs[fits(size, counts, pairs, pairs + 1)]
+        good = pairs[fits(size, counts, root, pairs, pairs + 1)]
         keep[good] = keep[good + 1] = True
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             if b - a > 2:
                 for i in range(a, b - 1):
                     # sizes rise, so partners stand in a run after i
                     others = np.arange(i + 1, i + 1 + int(np.searchsorted(percent * size[i + 1 : b], 100 * size[i], side="right")))
-                    found = others[fits(size, counts, i, others)]
+                    found = others[fits(size, counts, root, i, others)]
                     keep[found] = True
                     keep[i] |= len(found) > 0
         return rows.loc[keep, ["region", "a", "size"]]
@@ -269,6 +270,28 @@ def link_regions(entered: DataFrame, sets: DataFrame, percent: int, limit: int =
     return found
 
 
+def _distinct_regions(entered: DataFrame) -> DataFrame:
+    """region, a, size, m (members) of (region, a, size): of regions with the same members one."""
+    seal = entered.groupBy("region").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("a")).alias("x"), F.sum(F.shiftrightunsigned(F.xxhash64("a", F.lit(1)), 24)).alias("s"))
+    one = seal.where("m > 1").groupBy("m", "x", "s").agg(F.min("region").alias("region")).select("region", "m")
+    return written(entered.join(one, "region").select("region", "a", "size", "m"), "distinct-regions")
+
+
+def _plausible(entered: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """region, a, size: members of regions that may have a link to another component (a, root)."""
+    kept = _distinct_regions(entered)
+    signed = kept.where(F.col("m") <= SIGNED_MEMBERS).join(classes.select("a", "size", "data"), ["a", "size"]).join(roots, "a")
+    batches = max(1, -(-kept.count() // SIGNED_BATCH))
+    fitting = signed.select("region", "a", "size", "data", "root").groupBy(F.pmod(F.xxhash64("region"), F.lit(batches))).applyInPandas(_fitting(percent), "region long, a long, size long")
+    return written(fitting.union(kept.where(F.col("m") > SIGNED_MEMBERS).select("region", "a", "size")), "regions")
+
+
+def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """a, root of all nodes (a): the component that links put them in."""
+    found = connected_components(links).select(F.col("node").alias("a"), "root")
+    return written(nodes.select("a").distinct().join(found, "a", "left").select("a", F.coalesce("root", "a").alias("root")), "node-roots")
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int = REGION_SHINGLES) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id for each row of docs (doc_id, text).
 
@@ -279,7 +302,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
     described = written(describe(docs, n), "described")
     rows = described.where("kind = 0").select("doc_id", "size", "a", "b", "data")
     classes = written(rows.where("size > 0").groupBy("a", "b", "size").agg(F.min("doc_id").alias("class_id"), F.first("data").alias("data")), "classes")
-    entered = written(windows(docs, n, percent, sketch_of(described)), "windows")
+    # a set that only rows without an id have could not name a component: it takes no part
+    entered = written(windows(docs.where("doc_id IS NOT NULL"), n, percent, sketch_of(described)), "windows")
     # regions that two sets enter at least
     shared = entered.groupBy("pivot").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low <> high").select("pivot")
     shared = written(shared, "shared")
@@ -291,14 +315,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
             yield batch.filter(pa.array(in_bitmap(marked.value, low_bits(batch.column("pivot").to_numpy().view(np.uint64), FILTER_BITS))))
 
     entered = written(entered.mapInArrow(pass_shared, entered.schema).join(shared, "pivot", "left_semi").distinct(), "entered")
-    # of regions with the same members one is enough
-    seal = entered.groupBy("pivot").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("a")).alias("x"), F.sum(F.shiftrightunsigned(F.xxhash64("a", F.lit(1)), 24)).alias("s"))
-    one = seal.groupBy("m", "x", "s").agg(F.min("pivot").alias("pivot")).select("pivot", "m")
-    kept = written(entered.join(one, "pivot").select(F.col("pivot").alias("region"), "a", "size", "m"), "kept")
-    signed = kept.where(F.col("m") <= SIGNED_MEMBERS).join(classes.select("a", "size", "data"), ["a", "size"]).select("region", "a", "size", "data")
-    batches = max(1, -(-kept.count() // SIGNED_BATCH))
-    fitting = signed.groupBy(F.pmod(F.xxhash64("region"), F.lit(batches))).applyInPandas(_fitting(percent), "region long, a long, size long")
-    regions = written(fitting.union(kept.where(F.col("m") > SIGNED_MEMBERS).select("region", "a", "size")), "regions")
+    alone = classes.select("a", F.col("a").alias("root")).distinct()
+    regions = _plausible(entered.select(F.col("pivot").alias("region"), "a", "size"), classes, alone, percent)
     wanted = written(regions.select("a").distinct(), "wanted")
     sought = spark.sparkContext.broadcast(bitmap_of(wanted.select(F.expr(f"a {low}").alias("i")).distinct(), FILTER_BITS))
 
@@ -315,7 +333,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
 
     members = docs.select(F.col("text").cast("string")).mapInArrow(sets, "a long, members binary").join(wanted, "a", "left_semi")
     members = written(members.groupBy("a").agg(F.first("members").alias("members")), "sets")
-    links = written(link_regions(regions, members, percent, limit), "links")
+    # each member in one region first, where nearly all links show; then regions that still hold several components
+    home = regions.groupBy("a", "size").agg(F.min("region").alias("region")).select("region", "a", "size")
+    first = written(link_regions(home, members, percent, limit), "home-links")
+    roots = _roots(wanted, first)
+    split = regions.join(roots, "a").groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("region")
+    later = _distinct_regions(_plausible(regions.join(split, "region", "left_semi"), classes, roots, percent)).drop("m")
+    links = written(first.union(link_regions(later, members, percent, limit)), "links")
     name = classes.select("a", "class_id").groupBy("a").agg(F.min("class_id").alias("class_id"))
     named = links.join(name, "a").select("b", F.col("class_id").alias("u")).join(name.withColumnRenamed("a", "b"), "b").select("u", F.col("class_id").alias("v"))
     roots = written(connected_components(named.where("u IS NOT NULL AND v IS NOT NULL").select(F.col("u").alias("a"), F.col("v").alias("b"))), "roots")
