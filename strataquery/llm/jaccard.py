@@ -7,15 +7,15 @@ the window in which such a neighbour's home can lie is the document's first size
 shingles: it is replicated to those regions. The order puts shingles that few documents hold first (counts
 come from a sketch of fixed size over all documents), so regions hold few documents.
 
-Regions with one member set are dropped but for one, and members without a partner that sizes and class
-counts (a contraction of the metric) allow, before any set is fetched. A region that is too large for a task recurses: pivot
+Of regions with one member set one is enough. In each, sizes and class counts (a contraction of the metric)
+leave pairs that may link; regions that such pairs connect are joined into one, so every member stands in one
+region and its set travels once. A region that is too large for a task recurses: pivot
 documents are drawn from it, members go to the region of their nearest pivot, and to those pivots whose
 distance is within twice the radius of that, which by the triangle inequality holds every pair together. A
 region that stays too large (copies that differ little are all near all pivots) is joined as pairs of
 blocks, so a task's memory is bounded and no pair is lost.
 
-Sets travel to one region of each document first; links found there make components, and later only members
-that may link two components travel again. In a region each document not yet linked is compared exactly, by sets, with the members not yet reached; a
+In a region each document not yet linked is compared exactly, by sets, with the members not yet reached; a
 task returns links that span what it finds. Components come from these links by alternating stars.
 
 Defined cases: null texts and texts without words have no shingles and are linked with nothing; repeated
@@ -160,33 +160,37 @@ def _starts(region: np.ndarray) -> np.ndarray:
     return np.r_[np.flatnonzero(np.r_[True, region[1:] != region[:-1]]), len(region)]
 
 
-def _fitting(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Members of a batch of regions that may link to another of their region and of another component, by the bound that sizes and signatures give."""
+def _plausible_links(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """For a batch of regions pairs (a, b) that join all members which may link by the bound that sizes and signatures give."""
 
-    def fits(size: np.ndarray, counts: np.ndarray, root: np.ndarray, i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
+    def fits(size: np.ndarray, counts: np.ndarray, i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
         most = np.minimum(counts[i], counts[j]).sum(1, dtype=np.int64)
-        return (100 * most >= percent * (size[i] + size[j] - most)) & (percent * size[j] <= 100 * size[i]) & (root[i] != root[j])
+        return (100 * most >= percent * (size[i] + size[j] - most)) & (percent * size[j] <= 100 * size[i])
 
-    def fitting(rows: pd.DataFrame) -> pd.DataFrame:
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["region", "size"])
         size, counts = rows["size"].to_numpy(np.int64), np.frombuffer(b"".join(rows["data"]), np.uint32).reshape(len(rows), CLASSES)
-        root, keep = rows["root"].to_numpy(np.int64), np.zeros(len(rows), bool)
-        at = _starts(rows["region"].to_numpy())
+        at, label = _starts(rows["region"].to_numpy()), np.arange(len(rows))
         # most regions have two members: all of them at once
         pairs = at[:-1][np.diff(at) == 2]
-        good = pairs[fits(size, counts, root, pairs, pairs + 1)]
-        keep[good] = keep[good + 1] = True
+        pairs = pairs[fits(size, counts, pairs, pairs + 1)]
+        left, right = [pairs], [pairs + 1]
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            if b - a > 2:
-                for i in range(a, b - 1):
-                    # sizes rise, so partners stand in a run after i
-                    others = np.arange(i + 1, i + 1 + int(np.searchsorted(percent * size[i + 1 : b], 100 * size[i], side="right")))
-                    found = others[fits(size, counts, root, i, others)]
-                    keep[found] = True
-                    keep[i] |= len(found) > 0
-        return rows.loc[keep, ["region", "a", "size"]]
-
-    return fitting
+            for i in range(a, b - 1) if b - a > 2 else ():
+                # sizes rise, so partners stand in a run after i; those that are joined already need no pair
+                others = np.arange(i + 1, i + 1 + int(np.searchsorted(percent * size[i + 1 : b], 100 * size[i], side="right")))
+                others = others[label[others] != label[i]]
+                others = others[fits(size, counts, i, others)]
+                if len(others):
+                    _, one = np.unique(label[others], return_index=True)
+                    left.append(np.full(len(one), i))
+                    right.append(others[one])
+                    part = label[a:b]
+                    part[np.isin(part, label[others])] = label[i]
+        keys = rows["a"].to_numpy(np.int64)
+        return pd.DataFrame({"a": keys[np.concatenate(left)], "b": keys[np.concatenate(right)]})
+
+    return links
 
 
 def _join_regions(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -277,19 +281,16 @@ def _distinct_regions(entered: DataFrame) -> DataFrame:
     return written(entered.join(one, "region").select("region", "a", "size", "m"), "distinct-regions")
 
 
-def _plausible(entered: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """region, a, size: members of regions that may have a link to another component (a, root)."""
+def _candidate_groups(entered: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """region, a, size: each member in the one group that holds all members it may link to, directly or through others."""
     kept = _distinct_regions(entered)
-    signed = kept.where(F.col("m") <= SIGNED_MEMBERS).join(classes.select("a", "size", "data"), ["a", "size"]).join(roots, "a")
+    signed = kept.where(F.col("m") <= SIGNED_MEMBERS).join(classes.select("a", "size", "data"), ["a", "size"])
     batches = max(1, -(-kept.count() // SIGNED_BATCH))
-    fitting = signed.select("region", "a", "size", "data", "root").groupBy(F.pmod(F.xxhash64("region"), F.lit(batches))).applyInPandas(_fitting(percent), "region long, a long, size long")
-    return written(fitting.union(kept.where(F.col("m") > SIGNED_MEMBERS).select("region", "a", "size")), "regions")
-
-
-def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """a, root of all nodes (a): the component that links put them in."""
-    found = connected_components(links).select(F.col("node").alias("a"), "root")
-    return written(nodes.select("a").distinct().join(found, "a", "left").select("a", F.coalesce("root", "a").alias("root")), "node-roots")
+    pairs = signed.select("region", "a", "size", "data").groupBy(F.pmod(F.xxhash64("region"), F.lit(batches))).applyInPandas(_plausible_links(percent), "a long, b long")
+    large = kept.where(F.col("m") > SIGNED_MEMBERS)
+    whole = large.join(large.groupBy("region").agg(F.min("a").alias("b")), "region").select("a", "b")
+    groups = connected_components(pairs.union(whole)).select(F.col("node").alias("a"), F.col("root").alias("region"))
+    return written(kept.select("a", "size").distinct().join(groups, "a").select("region", "a", "size"), "groups")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int = REGION_SHINGLES) -> DataFrame:
@@ -315,8 +316,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
             yield batch.filter(pa.array(in_bitmap(marked.value, low_bits(batch.column("pivot").to_numpy().view(np.uint64), FILTER_BITS))))
 
     entered = written(entered.mapInArrow(pass_shared, entered.schema).join(shared, "pivot", "left_semi").distinct(), "entered")
-    alone = classes.select("a", F.col("a").alias("root")).distinct()
-    regions = _plausible(entered.select(F.col("pivot").alias("region"), "a", "size"), classes, alone, percent)
+    regions = _candidate_groups(entered.select(F.col("pivot").alias("region"), "a", "size"), classes, percent)
     wanted = written(regions.select("a").distinct(), "wanted")
     sought = spark.sparkContext.broadcast(bitmap_of(wanted.select(F.expr(f"a {low}").alias("i")).distinct(), FILTER_BITS))
 
@@ -333,13 +333,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
 
     members = docs.select(F.col("text").cast("string")).mapInArrow(sets, "a long, members binary").join(wanted, "a", "left_semi")
     members = written(members.groupBy("a").agg(F.first("members").alias("members")), "sets")
-    # each member in one region first, where nearly all links show; then regions that still hold several components
-    home = regions.groupBy("a", "size").agg(F.min("region").alias("region")).select("region", "a", "size")
-    first = written(link_regions(home, members, percent, limit), "home-links")
-    roots = _roots(wanted, first)
-    split = regions.join(roots, "a").groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("region")
-    later = _distinct_regions(_plausible(regions.join(split, "region", "left_semi"), classes, roots, percent)).drop("m")
-    links = written(first.union(link_regions(later, members, percent, limit)), "links")
+    links = written(link_regions(regions, members, percent, limit), "links")
     name = classes.select("a", "class_id").groupBy("a").agg(F.min("class_id").alias("class_id"))
     named = links.join(name, "a").select("b", F.col("class_id").alias("u")).join(name.withColumnRenamed("a", "b"), "b").select("u", F.col("class_id").alias("v"))
     roots = written(connected_components(named.where("u IS NOT NULL AND v IS NOT NULL").select(F.col("u").alias("a"), F.col("v").alias("b"))), "roots")
