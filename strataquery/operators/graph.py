@@ -45,14 +45,15 @@ def cyclic_nodes(links: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node")).distinct()
 
 
-def inherit(values: DataFrame, steps: DataFrame, rounds: int = 20) -> DataFrame:
+def inherit(values: DataFrame, steps: DataFrame) -> DataFrame:
     """node, value: null values filled from the inputs of a step (a to b) where all inputs have one value and agree, to a fixpoint.
 
-    ``rounds`` is a depth of steps that stops a run on cyclic input; a chain that is longer keeps its nulls.
+    Values are only ever filled, so rounds end on cyclic input too: with the first that leaves as many nulls
+    as there were. They are the longest chain of nulls at most.
     """
     now = values.select("node", "value")
     open_rows = now.where("value IS NULL").count()
-    for _ in range(rounds):
+    while open_rows:
         per = steps.join(now, F.col("a") == F.col("node")).groupBy(F.col("b").alias("node")).agg(F.count_if(F.col("value").isNull()).alias("open"), F.min("value").alias("low"), F.max("value").alias("high"))
         given = per.where("open = 0 AND low = high").select("node", F.col("low").alias("given"))
         now = cut(now.join(given, "node", "left").select("node", F.coalesce("value", "given").alias("value")))

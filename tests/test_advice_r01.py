@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from strataquery.operators import graph
 from strataquery.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -20,3 +21,18 @@ def test_cycles_of_all_suppliers(spark):
     want = {node for node in links if leads_to_cycle(node)}
     assert max(want) > 30
     assert {r["node"] for r in QUERIES["q29_cycle_check"](spark, SF).collect()} == want
+
+
+def test_inheritance_along_long_chains(spark):
+    # a chain of 30 steps, and a cycle that nothing enters
+    values = spark.createDataFrame([(i, "x" if i == 0 else None) for i in range(31)] + [(40, None), (41, None)], "node int, value string")
+    steps = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(40, 41), (41, 40)], "a int, b int")
+    want = dict.fromkeys(range(31), "x") | {40: None, 41: None}
+    assert {r["node"]: r["value"] for r in graph.inherit(values, steps).collect()} == want
+
+
+def test_inheritance_of_all_parts(spark):
+    parts = {r["p_partkey"]: r["p_brand"] if r["p_partkey"] % 16 == 1 else None for r in spark.read.parquet(f"{SF}/part.parquet").collect()}
+    for node in sorted(parts):
+        parts[node] = parts[node] or parts.get(node - 1)
+    assert {r["node"]: r["value"] for r in QUERIES["q32_type_inheritance"](spark, SF).collect()} == parts
