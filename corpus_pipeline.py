@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strataquery.llm.common import table, written
 from strataquery.llm.jaccard import near_duplicates
 from strataquery.llm.langid import UNKNOWN, predict, train
-from strataquery.llm.linededup import drop_recurring_lines
+from strataquery.llm.linededup import EXACT_DOCS, drop_recurring_lines
 from strataquery.llm.mixing import mixed_documents
 from strataquery.llm.packing import pack, tokenize
 
@@ -28,7 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops recurring lines; a document of which nothing is left goes."""
-    kept = drop_recurring_lines(docs).where("n_dropped = 0 OR n_dropped < n_lines")
+    kept = drop_recurring_lines(docs, exact_docs=EXACT_DOCS).where("n_dropped = 0 OR n_dropped < n_lines")
     return kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*COLUMNS)
 
 

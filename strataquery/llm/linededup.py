@@ -5,14 +5,16 @@ the start. In a leaf that holds different lines, a field is constant where more
 distinct lines agree on its token, and variable elsewhere; a line follows the leaf's template where enough of
 its fields equal constants. Other lines are templates of their own. A template whose lines stand in
 ``min_docs`` documents or more recurs, and its lines are dropped from all of them but the one with the
-smallest id, so a text that has copies stays once.
+smallest id, so a text that has copies stays once. With ``exact_docs``, as in the registered query and the
+pipeline, a line that stands unmasked in that many documents recurs too, tokens end at any white space, and every
+line that is not blank counts.
 
 Only hashes of lines move, and tokens of the distinct lines of leaves that differ; every aggregation
 combines before its shuffle, so a line that a third of all documents hold is a few rows a task. Documents
 come back by one join with the hashes to drop.
 
 Defined cases: null and empty texts come back as they are; lines of fewer than ``min_tokens`` tokens are
-kept; repeated rows of one id count as one document and are treated alike; null ids count as one document,
+kept (blank lines alone with ``exact_docs``); repeated rows of one id count as one document and are treated alike; null ids count as one document,
 last in order; an empty table gives no rows; further columns are kept.
 """
 
@@ -25,6 +27,10 @@ from .common import written
 
 MIN_DOCS = 3
 MIN_TOKENS = 3
+#: Documents from which on a line recurs that stands in them as it is, not through a template.
+EXACT_DOCS = 2
+#: White space besides the space character.
+_SPACE = r"[\t\x0B\f\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: First tokens on the path to a leaf.
 DEPTH = 3
 #: Share of a line's fields that must equal constants of the leaf's template.
@@ -41,6 +47,28 @@ def _tokens(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
+def _spaced(line: Column) -> Column:
+    return F.trim(F.regexp_replace(line, _SPACE, " "))
+
+
+def _mask(spaced: Column) -> Column:
+    return F.regexp_replace(spaced, "[0-9]+", "<*>")
+
+
+def _line_keys(df: DataFrame, depth: int) -> DataFrame:
+    """df (line, ...) without blank lines, with w (its line, trimmed), m_line (masked), n, leaf, own, and id: the hash of the line as it is."""
+    df = df.withColumn("w", _spaced(F.col("line"))).where("w <> ''")
+    df = df.withColumn("m_line", _mask(F.col("w")))
+    df = df.withColumn("n", _tokens(F.col("m_line")))
+    df = df.withColumn("leaf", F.xxhash64("n", F.substring_index("m_line", " ", depth))).withColumn("own", F.xxhash64("m_line"))
+    return df.withColumn("id", _line_id(F.col("w"), F.col("m_line")))
+
+
+def _line_id(spaced: Column, masked_line: Column) -> Column:
+    """Equals the hash of the masked line where there is nothing to mask."""
+    return F.when(spaced == masked_line, F.xxhash64(masked_line)).otherwise(F.xxhash64(spaced, F.lit("line")))
+
+
 def _keys(line: Column, depth: int) -> list[Column]:
     """n, leaf and own: token count, the hash of the path, the hash of the masked line; both with the count inside."""
     m = masked(line)
@@ -48,17 +76,27 @@ def _keys(line: Column, depth: int) -> list[Column]:
     return [n.alias("n"), F.xxhash64(n, F.substring_index(m, " ", depth)).alias("leaf"), F.xxhash64(n, m, F.lit("own")).alias("own")]
 
 
-def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, least_similar: float = LEAST_SIMILAR) -> tuple[DataFrame, DataFrame]:
-    """(own, keep_doc): the hash of each masked line whose template recurs, and the smallest id of the template; and (own, leaf, n, doc): a row for each document and masked line."""
+def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, least_similar: float = LEAST_SIMILAR, exact_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(own, keep_doc): the hash of each masked line whose template recurs, and the smallest id of the template; and (own, leaf, n, doc): a row for each document and masked line, with ``exact_docs`` (.., id) for each line as it is."""
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.split("text", "\n")).alias("line"))
-    keyed = lines.select("doc_id", F.struct(*_keys(F.col("line"), depth)).alias("k")).select("doc_id", "k.*").where(F.col("n") >= min_tokens)
-    # one row for each document and masked line; null ids as one document after all others
-    seen = written(keyed.withColumn("doc", F.coalesce("doc_id", F.lit((1 << 63) - 1))).groupBy("own", "leaf", "n", "doc").agg(F.count("*").alias("times")).drop("times"), "lines")
+    keys = ["own", "leaf", "n"]
+    if exact_docs:
+        keyed = _line_keys(lines, depth)
+        text = keyed.select("n", "leaf", "own", "m_line")
+        # most lines have no digits: their id is null here and costs nothing
+        keyed = keyed.withColumn("other", F.when(F.col("id") != F.col("own"), F.col("id")))
+        keys = [*keys, "other"]
+    else:
+        keyed = lines.select("doc_id", F.struct(*_keys(F.col("line"), depth)).alias("k")).select("doc_id", "k.*").where(F.col("n") >= min_tokens)
+        text = lines.select(F.col("line"), F.struct(*_keys(F.col("line"), depth)).alias("k")).select("k.n", "k.leaf", "k.own", masked(F.col("line")).alias("m_line")).where(F.col("n") >= min_tokens)
+    # one row for each document and line; null ids as one document after all others
+    seen = written(keyed.withColumn("doc", F.coalesce("doc_id", F.lit((1 << 63) - 1))).groupBy(*keys, "doc").agg(F.count("*").alias("times")).drop("times"), "lines")
+    if exact_docs:
+        seen = seen.select("own", "leaf", "n", "doc", F.coalesce("other", "own").alias("id"))
     own = seen.groupBy("own", "leaf", "n").agg(F.count("*").alias("docs"), F.min("doc").alias("first_doc"))
     own = written(own, "own")
     mixed = own.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("m")).where((F.col("m") > 1) & (F.col("docs") >= min_docs))
     mixed = written(mixed.select("leaf", "m"), "mixed")
-    text = lines.select(F.col("line"), F.struct(*_keys(F.col("line"), depth)).alias("k")).select("k.n", "k.leaf", "k.own", masked(F.col("line")).alias("m_line")).where(F.col("n") >= min_tokens)
     # lower bits of the leaves first: 2**FILTER_BITS rows at most, so this side may always be broadcast, and few texts are shuffled
     low = F.col("leaf").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("low")
     text = text.withColumn("low", low).join(F.broadcast(mixed.select(low).distinct()), "low", "left_semi").drop("low")
@@ -76,16 +114,28 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
     return lines_of.join(often, "template").select("own", "keep_doc"), seen
 
 
-def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, least_similar: float = LEAST_SIMILAR) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, least_similar: float = LEAST_SIMILAR, exact_docs: int | None = None) -> DataFrame:
     """docs with text rid of recurring lines, and n_lines and n_dropped."""
-    often, seen = recurring(docs, min_docs, min_tokens, depth, least_similar)
-    drops = seen.join(often, "own").where(F.col("doc") > F.col("keep_doc")).groupBy("doc").agg(F.collect_set("own").alias("__drop"))
+    often, seen = recurring(docs, min_docs, min_tokens, depth, least_similar, exact_docs)
+    lines = F.split("text", "\n")
+    if exact_docs:
+        twice = written(seen.groupBy("id").agg(F.count("*").alias("docs"), F.min("doc").alias("keep_doc")).where(F.col("docs") >= exact_docs).select("id", "keep_doc"), "twice")
+        gone = seen.join(often, "own").where(F.col("doc") > F.col("keep_doc")).select("doc", "id")
+        gone = gone.union(seen.join(twice, "id").where(F.col("doc") > F.col("keep_doc")).select("doc", "id"))
+        # each line's hash once: higher-order functions share no common parts
+        pairs = F.transform(F.transform(lines, _spaced), lambda w: F.struct(w.alias("w"), _mask(w).alias("m_line")))
+        ids = F.transform(pairs, lambda x: _line_id(x["w"], x["m_line"]))
+    else:
+        gone = seen.join(often, "own").where(F.col("doc") > F.col("keep_doc")).select("doc", F.col("own").alias("id"))
+        ids = F.transform(lines, lambda line: _keys(line, depth)[2])
+    drops = gone.groupBy("doc").agg(F.collect_set("id").alias("__drop"))
     drops = written(drops.withColumnRenamed("doc", "__doc"), "drops")
     joined = docs.join(drops, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)) == F.col("__doc"), "left")
-    lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda line: ~F.array_contains("__drop", _keys(line, depth)[2]))
-    kept = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    joined = joined.withColumn("__ids", F.when(F.col("__drop").isNotNull(), ids))
+    left = F.filter(lines, lambda line, i: ~F.array_contains("__drop", F.get("__ids", i)))
+    joined = joined.withColumn("__left", F.when(F.col("__drop").isNotNull(), left))
+    kept = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join("__left", "\n"))
     n = F.coalesce(F.size(lines), F.lit(0))
-    left = F.when(F.col("__drop").isNull(), n).otherwise(F.size(F.filter(lines, lambda line: ~F.array_contains("__drop", _keys(line, depth)[2]))))
+    n_left = F.when(F.col("__drop").isNull(), n).otherwise(F.size("__left"))
     others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    return joined.select(*others, kept.alias("text"), F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.when(F.col("text").isNull(), 0).otherwise(n - left).cast("long").alias("n_dropped"))
+    return joined.select(*others, kept.alias("text"), F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.when(F.col("text").isNull(), 0).otherwise(n - n_left).cast("long").alias("n_dropped"))

@@ -65,9 +65,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .linededup import drop_recurring_lines
+    from .linededup import EXACT_DOCS, drop_recurring_lines
 
-    kept = drop_recurring_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    kept = drop_recurring_lines(table(spark, sf_dir, "documents", "doc_id", "text"), exact_docs=EXACT_DOCS)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
