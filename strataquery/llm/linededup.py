@@ -7,7 +7,8 @@ its fields equal constants. Other lines are templates of their own. A template w
 ``min_docs`` documents or more recurs, and its lines are dropped from all of them but the one with the
 smallest id, so a text that has copies stays once. With ``exact_docs``, as in the registered query and the
 pipeline, a line that stands unmasked in that many documents recurs too, tokens end at any white space, and every
-line that is not blank counts.
+line that is not blank counts; similarity is then that of the fields after the path, a word among them, and lines
+without letters are not masked.
 
 Only hashes of lines move, and tokens of the distinct lines of leaves that differ; every aggregation
 combines before its shuffle, so a line that a third of all documents hold is a few rows a task. Documents
@@ -29,8 +30,10 @@ MIN_DOCS = 3
 MIN_TOKENS = 3
 #: Documents from which on a line recurs that stands in them as it is, not through a template.
 EXACT_DOCS = 2
-#: White space besides the space character.
-_SPACE = r"[\t\x0B\f\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: White space besides the space character, and that of it which is ASCII.
+_SPACES = r"\t\x0B\f\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_ASCII_SPACES = "\t\x0b\f\r"
+_LETTER = r"\p{L}"
 #: First tokens on the path to a leaf.
 DEPTH = 3
 #: Share of a line's fields that must equal constants of the leaf's template.
@@ -47,17 +50,27 @@ def _tokens(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
+def _has(line: Column, pattern: str) -> Column:
+    """Whether a character fits; mostly one of the first does, and the rest need not be decoded."""
+    return F.substring(line, 1, 8).rlike(pattern) | line.rlike(pattern)
+
+
 def _spaced(line: Column) -> Column:
-    return F.trim(F.regexp_replace(line, _SPACE, " "))
+    """The line, trimmed, with space characters for other white space; most lines are found to have none without a pattern."""
+    some = F.length(line) != F.octet_length(line)
+    for c in _ASCII_SPACES:
+        some = some | F.contains(line, F.lit(c))
+    return F.trim(F.when(some, F.regexp_replace(line, f"[{_SPACES}]", " ")).otherwise(line))
 
 
 def _mask(spaced: Column) -> Column:
-    return F.regexp_replace(spaced, "[0-9]+", "<*>")
+    """Numbers masked beside words; rows of numbers alone stay as they are."""
+    return F.when(_has(spaced, _LETTER), F.regexp_replace(spaced, "[0-9]+", "<*>")).otherwise(spaced)
 
 
 def _line_keys(df: DataFrame, depth: int) -> DataFrame:
     """df (line, ...) without blank lines, with w (its line, trimmed), m_line (masked), n, leaf, own, and id: the hash of the line as it is."""
-    df = df.withColumn("w", _spaced(F.col("line"))).where("w <> ''")
+    df = df.where(_has(F.col("line"), f"[^ {_SPACES}]")).withColumn("w", _spaced(F.col("line")))
     df = df.withColumn("m_line", _mask(F.col("w")))
     df = df.withColumn("n", _tokens(F.col("m_line")))
     df = df.withColumn("leaf", F.xxhash64("n", F.substring_index("m_line", " ", depth))).withColumn("own", F.xxhash64("m_line"))
@@ -104,8 +117,15 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
     fields = written(fields.select("leaf", "own", "n", F.posexplode(F.split("m_line", " ")).alias("at", "token")), "fields")
     usual = fields.groupBy("leaf", "at", "token").agg(F.count("*").alias("c")).groupBy("leaf", "at").agg(F.max(F.struct("c", "token")).alias("best"))
     constant = usual.join(mixed, "leaf").where(F.col("best.c") * 2 > F.col("m")).select("leaf", "at", F.col("best.token").alias("token"))
-    same = fields.join(constant, ["leaf", "at", "token"]).groupBy("leaf", "own", "n").agg(F.count("*").alias("same"))
-    general = written(same.where(F.col("same") >= F.col("n") * least_similar).select("own", F.col("leaf").alias("template")), "general")
+    same = fields.join(constant, ["leaf", "at", "token"])
+    if exact_docs:
+        # all lines of a leaf agree on its path: the fields after it tell
+        same, asked = same.where(F.col("at") >= depth), F.col("n") - depth
+        word = F.max(F.col("token").rlike(_LETTER))
+    else:
+        asked, word = F.col("n"), F.lit(True)
+    same = same.groupBy("leaf", "own", "n").agg(F.count("*").alias("same"), word.alias("word"))
+    general = written(same.where((F.col("same") >= asked * least_similar) & F.col("word")).select("own", F.col("leaf").alias("template")), "general")
     # a line that follows its leaf's template counts for the leaf, any other for itself
     of = seen.join(general, "own", "left").withColumn("template", F.coalesce("template", "own"))
     docs_of = of.groupBy("template", "doc").agg(F.count("*").alias("x")).groupBy("template").agg(F.count("*").alias("docs"), F.min("doc").alias("keep_doc"))
@@ -122,17 +142,17 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens:
         twice = written(seen.groupBy("id").agg(F.count("*").alias("docs"), F.min("doc").alias("keep_doc")).where(F.col("docs") >= exact_docs).select("id", "keep_doc"), "twice")
         gone = seen.join(often, "own").where(F.col("doc") > F.col("keep_doc")).select("doc", "id")
         gone = gone.union(seen.join(twice, "id").where(F.col("doc") > F.col("keep_doc")).select("doc", "id"))
-        # each line's hash once: higher-order functions share no common parts
-        pairs = F.transform(F.transform(lines, _spaced), lambda w: F.struct(w.alias("w"), _mask(w).alias("m_line")))
-        ids = F.transform(pairs, lambda x: _line_id(x["w"], x["m_line"]))
+        # each line's hash once: higher-order functions share no common parts, and a lambda would compute an outer array for each element
+        parts = F.transform(lines, lambda line: F.struct(line.alias("line"), _spaced(line).alias("w")))
+        parts = F.transform(parts, lambda x: F.struct(x["line"].alias("line"), x["w"].alias("w"), _mask(x["w"]).alias("m_line")))
+        hashed = F.transform(parts, lambda x: F.struct(x["line"].alias("line"), _line_id(x["w"], x["m_line"]).alias("id")))
     else:
         gone = seen.join(often, "own").where(F.col("doc") > F.col("keep_doc")).select("doc", F.col("own").alias("id"))
-        ids = F.transform(lines, lambda line: _keys(line, depth)[2])
+        hashed = F.transform(lines, lambda line: F.struct(line.alias("line"), _keys(line, depth)[2].alias("id")))
     drops = gone.groupBy("doc").agg(F.collect_set("id").alias("__drop"))
     drops = written(drops.withColumnRenamed("doc", "__doc"), "drops")
     joined = docs.join(drops, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)) == F.col("__doc"), "left")
-    joined = joined.withColumn("__ids", F.when(F.col("__drop").isNotNull(), ids))
-    left = F.filter(lines, lambda line, i: ~F.array_contains("__drop", F.get("__ids", i)))
+    left = F.transform(F.filter(hashed, lambda x: ~F.array_contains("__drop", x["id"])), lambda x: x["line"])
     joined = joined.withColumn("__left", F.when(F.col("__drop").isNotNull(), left))
     kept = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join("__left", "\n"))
     n = F.coalesce(F.size(lines), F.lit(0))

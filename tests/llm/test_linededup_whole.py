@@ -17,12 +17,18 @@ def spaced(line):
     return re.sub(SPACE, " ", line).strip(" ")
 
 
+def lettered(s):
+    return any(c.isalpha() for c in s)
+
+
 def mask(line):
-    return re.sub("[0-9]+", "<*>", spaced(line))
+    return re.sub("[0-9]+", "<*>", spaced(line)) if lettered(spaced(line)) else spaced(line)
 
 
 def follows(m, n, constant):
-    return sum(m.split(" ")[i] == t for i, t in constant.items()) >= n * LEAST_SIMILAR
+    """Enough fields after the path are constants, a word among them."""
+    same = [t for i, t in constant.items() if i >= DEPTH and m.split(" ")[i] == t]
+    return len(same) >= (n - DEPTH) * LEAST_SIMILAR and any(map(lettered, same))
 
 
 def brute(docs, min_docs=3, exact_docs=EXACT_DOCS):
@@ -84,6 +90,15 @@ def test_short_unspaced_and_tabbed_lines(spark):
     assert dropped(spark, docs) == {0: 0, 1: 3, 2: 3, 3: 3}
 
 
+def test_lines_that_share_only_leading_tokens(spark):
+    ends = ("eaesing", "for", "eron", "haan", "lytion")
+    docs = [(i, f"Thor the haan {x}.\nWas erlytion that {x} {x}l\n{i} {i}2 {i}3\n- {i} -") for i, x in enumerate(ends)]
+    assert dropped(spark, docs) == dict.fromkeys(range(5), 0)
+    # one template still, where fields after the path agree
+    docs = [(i, f"Served by node {x} at port {i}80 for all of you") for i, x in enumerate(ends)]
+    assert dropped(spark, docs) == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1}
+
+
 def test_query_is_whole(spark):
     sf = "/root/testdata/sf0.001"
     want = {r[0]: r[3] for r in brute(texts_of(spark.read.parquet(f"{sf}/documents.parquet")))}
