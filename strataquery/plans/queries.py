@@ -177,7 +177,7 @@ def q15_max_by_tiebreak(spark: SparkSession, d: str) -> DataFrame:
     SELECT doc_id, regexp_replace(lower(substr(text, 1, 400)), '[^0-9a-z]+', '', 'g') AS key, trim(regexp_replace(lower(text), '[^0-9a-z]+', ' ', 'g')) AS name FROM documents""")
 def q16_text_normalise(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents")
-    return rows.select("doc_id", F.regexp_replace(F.lower(F.substring("text", 1, 400)), "[^0-9a-z]+", "").alias("key"), text.canonical_name(F.col("text")).alias("name"))
+    return rows.select("doc_id", F.regexp_replace(F.lower("text"), "[^0-9a-z]+", "").alias("key"), text.canonical_name(F.col("text")).alias("name"))
 
 
 @query(r"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from strataquery.operators import graph
 from strataquery.plans.queries import QUERIES
 
@@ -36,3 +38,11 @@ def test_inheritance_of_all_parts(spark):
     for node in sorted(parts):
         parts[node] = parts[node] or parts.get(node - 1)
     assert {r["node"]: r["value"] for r in QUERIES["q32_type_inheritance"](spark, SF).collect()} == parts
+
+
+def test_keys_of_whole_texts(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    want = {k: None if t is None else re.sub("[^0-9a-z]+", "", t.lower()) for k, t in texts.items()}
+    got = {r["doc_id"]: r["key"] for r in QUERIES["q16_text_normalise"](spark, SF).collect()}
+    assert got == want
+    assert max(len(k) for k in got.values() if k) > 400
