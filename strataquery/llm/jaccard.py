@@ -4,19 +4,23 @@ The first pivots are one-shingle sets. A document's distance from {s} is 1 - 1/s
 elsewhere, so its nearest pivots are its own shingles; a global order breaks the tie, and the first one's
 Voronoi region is its home. A document within the radius shares all but a bounded part of its shingles, so
 the window in which such a neighbour's home can lie is the document's first size - least overlap + 1
-shingles: it is replicated to those regions. The order puts shingles that few documents hold first (counts
-come from a sketch of fixed size over all documents), so regions hold few documents.
+shingles: it is replicated to those regions. The order puts shingles that few documents hold first, by a
+sketch of fixed size over all documents; its noise is the same mean everywhere, so what is far more frequent
+than the square root of that mean stands out at any scale.
 
-Of regions with one member set one is enough. In each, sizes and class counts (a contraction of the metric)
-leave pairs that may link; regions that such pairs connect are joined into one, so every member stands in one
-region and its set travels once. A region that is too large for a task recurses: pivot
-documents are drawn from it, members go to the region of their nearest pivot, and to those pivots whose
-distance is within twice the radius of that, which by the triangle inequality holds every pair together. A
-region that stays too large (copies that differ little are all near all pivots) is joined as pairs of
-blocks, so a task's memory is bounded and no pair is lost.
+Of regions with one member set one is enough. Sizes and class counts of shingles (a contraction of the metric)
+leave members that may link; what they connect is a group, so that a member's set travels to one group only.
 
-In a region each document not yet linked is compared exactly, by sets, with the members not yet reached; a
-task returns links that span what it finds. Components come from these links by alternating stars.
+Groups join by pivot documents, recursively. Each member goes home to its nearest pivot within a ball, or to
+the remainder, and is replicated to earlier pivots whose region may hold a partner by the triangle inequality;
+a pair meets in the region of the earlier home, once (masks rule out pairs of replicas). In a pivot's region
+members are kept as their difference from the pivot, so near copies shrink to what sets them apart. A group that
+fits a task does this there; a larger one is dealt to regions in slices with its pivots, level by level. What
+does not shrink is joined as pairs of blocks, so a task's memory is bounded and no pair is lost.
+
+In a region a pair links for certain where both are near enough to the pivot, and can't where their distances
+from it differ too much; all others are compared exactly. Links are counted for each class; a task returns
+counts and links that span what it found. Components come from these by alternating stars.
 
 Defined cases: null texts and texts without words have no shingles and are linked with nothing; repeated
 rows belong to one class and are returned each; a class of null ids alone is linked with nothing and has a
@@ -25,6 +29,7 @@ null id; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,21 +39,31 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, in_bitmap, low_bits, written
+from .common import bitmap_of, drop_written, in_bitmap, low_bits, written
 from .components import connected_components
 from .shingles import mix, set_key, shingle_sets
 
 SKETCH_BITS = 18
-#: Shingles that the sets of a region may hold together, for one task.
-REGION_SHINGLES = 2_000_000
-REGION_PIVOTS = 16
-#: Classes of shingles whose counts make a signature, and members that a region has at most for all their signatures to be compared.
+#: Shingles that the members of a region may hold together, and members, for one task; a member counts as some shingles by itself.
+REGION_SHINGLES = 1_000_000
+REGION_MEMBERS = 8_000
+MEMBER_SHINGLES = 8
+#: Members from which a large region's pivots are picked.
+CANDIDATES = 64
+#: A region is stuck if one level leaves more than this share of its shingles in one part.
+STUCK = 0.7
+#: Classes of shingles whose counts make a signature; members that a region has at most for all their signatures to be compared in one task.
 CLASSES = 64
 SIGNED_MEMBERS = 2000
 #: Rows of regions that travel together to have their signatures compared, about.
 SIGNED_BATCH = 20_000
-#: Bits of the filters that carry shared pivots and wanted sets to passes over all documents; they let more pass, never fewer.
+#: Bits of the filters that carry shared pivots and wanted documents to passes over all documents; they let more pass, never fewer.
 FILTER_BITS = 24
+#: The mask bits of the two blocks of a pair; lower bits belong to levels.
+BLOCK_BITS = (1 << 61, 1 << 62)
+EDGE = 1e-9
+
+MEMBERS = "region long, c long, size long, delta binary, mask long, was long"
 
 
 def least_overlap(size: int, percent: int) -> int:
@@ -104,55 +119,29 @@ def sketch_of(described: DataFrame) -> np.ndarray:
 
 
 def windows(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """pivot, a, size: the regions that each document's set enters."""
+    """pivot, a, b, size: the regions that each document's set enters, once a task."""
     sent = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sent.value
+        given: set[tuple[int, int]] = set()
         for batch in batches:
-            pivots, keys, sizes = [], [], []
+            pivots, keys = [], []
             for x in shingle_sets(_texts(batch), n):
-                if len(x):
+                if len(x) and (key := set_key(x)) not in given:
+                    given.add(key)
                     order = np.lexsort((x, counts[low_bits(x, SKETCH_BITS)]))
                     pivots.append(x[order[: len(x) - least_overlap(len(x), percent) + 1]].view(np.int64))
-                    keys.append(set_key(x)[0])
-                    sizes.append(len(x))
+                    keys.append((*key, len(x)))
             if pivots:
                 times = np.fromiter(map(len, pivots), np.int64, len(pivots))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(pivots)), pa.array(np.repeat(np.array(keys, np.int64), times)), pa.array(np.repeat(np.array(sizes, np.int64), times))], ["pivot", "a", "size"])
-
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "pivot long, a long, size long")
-
-
-def _links(keys: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that span the components of the members: each is compared with those that none has reached."""
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    flat = np.concatenate(sets)
-    _, flat = np.unique(flat, return_inverse=True)
-    starts = np.cumsum(sizes) - sizes
-    mark = np.zeros(int(flat.max()) + 1, np.int64)
-    open_rows, found = np.arange(len(sets)), []
-    queue: list[int] = []
-    while len(open_rows):
-        if not queue:
-            queue, open_rows = [int(open_rows[0])], open_rows[1:]
-        x = queue.pop()
-        fits = (100 * np.minimum(sizes[open_rows], sizes[x]) >= percent * np.maximum(sizes[open_rows], sizes[x]))
-        near = open_rows[fits]
-        if not len(near):
-            continue
-        own = flat[starts[x] : starts[x] + sizes[x]]
-        mark[own] = 1
-        lens = sizes[near]
-        ends = np.cumsum(lens)
-        shared = np.add.reduceat(mark[flat[np.repeat(starts[near] - (ends - lens), lens) + np.arange(int(ends[-1]))]], ends - lens)
-        mark[own] = 0
-        linked = near[100 * shared >= percent * (lens + sizes[x] - shared)]
-        if len(linked):
-            found += [(int(keys[x]), int(keys[y])) for y in linked]
-            queue += linked.tolist()
-            open_rows = np.setdiff1d(open_rows, linked, assume_unique=True)
-    return found
+                rest = np.repeat(np.array(keys, np.int64), times, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(pivots)), *(pa.array(rest[:, i].copy()) for i in range(3))], ["pivot", "a", "b", "size"])
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "pivot long, a long, b long, size long")
+
+
+# --- groups of members that may link ------------------------------------------------------------------------
 
 
 def _starts(region: np.ndarray) -> np.ndarray:
@@ -187,127 +176,346 @@ def _plausible_links(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
                     right.append(others[one])
                     part = label[a:b]
                     part[np.isin(part, label[others])] = label[i]
-        keys = rows["a"].to_numpy(np.int64)
+        keys = rows["c"].to_numpy(np.int64)
         return pd.DataFrame({"a": keys[np.concatenate(left)], "b": keys[np.concatenate(right)]})
 
     return links
 
 
-def _join_regions(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Links of a batch of regions."""
+def _homes(distance: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """For distances of members from pivots (rows, columns) the home of each member (the number of pivots: the remainder) and the earlier pivots it is replicated to.
 
-    def join(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates(["region", "a"]).sort_values(["region", "a"])
-        keys, members, at = rows["a"].to_numpy(np.int64), rows["members"].tolist(), _starts(rows["region"].to_numpy())
-        found: list[tuple[int, int]] = []
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            if b - a > 1:
-                found += _links(keys[a:b], [np.frombuffer(x, np.uint64) for x in members[a:b]], percent)
-        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+    A home lies within two radii. A partner of a region's own member is within three radii of the pivot, and at
+    most two radii farther from it than from its own home.
+    """
+    radius = 1 - percent / 100
+    nearest = distance.min(1)
+    home = np.where(nearest <= 2 * radius + EDGE, distance.argmin(1), distance.shape[1])
+    reach = np.minimum(3 * radius, np.where(home < distance.shape[1], nearest + 2 * radius, 3 * radius)) + EDGE
+    return home, (distance <= reach[:, None]) & (np.arange(distance.shape[1]) < home[:, None])
 
-    return join
+
+def _signed_distance(x: np.ndarray, sizes: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
+    most = np.minimum(x, y).sum(1, dtype=np.int64)
+    return 1 - most / (sizes + size - most)
 
 
-def _distance(x: np.ndarray, y: np.ndarray) -> float:
-    shared = len(np.intersect1d(x, y, assume_unique=True))
-    return 1 - shared / (len(x) + len(y) - shared)
+def _separated(found: list[int], order: list[int], distance: Callable[[int, int], float], least: float) -> list[int]:
+    """Of candidates in order those that are farther than ``least`` from all picked before."""
+    for i in order:
+        if all(distance(i, j) > least for j in found):
+            found.append(i)
+    return found
 
 
-def _split_region(pivot_rows: DataFrame, large: DataFrame, percent: int) -> DataFrame:
-    """region, a, size, members of (region, a, size, members, ...): members with the regions of their pivot documents.
+def _signed_regions(signed: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """For large regions pairs (a, b) of members and the pivots whose windows hold them, and the members of the remainders, as regions of pairs of blocks.
 
-    The pivots of a region travel to its members as one packed row; REGION_PIVOTS bound it.
+    All members of a pivot's region and window become one group, which is more than may link, never less; so
+    near copies, whatever their number, cost a comparison with each pivot.
     """
     radius = 1 - percent / 100
-
-    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"region": [key[0]], "pivots": [[*rows["members"]]]})
-
-    packed = written(pivot_rows.groupBy("region").applyInPandas(pack, "region long, pivots array<binary>"), "region-pivots")
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for r in batch.itertuples(index=False):
-                x = np.frombuffer(r.members, np.uint64)
-                d = np.array([_distance(x, np.frombuffer(p, np.uint64)) for p in r.pivots])
-                for k in np.flatnonzero(d <= d.min() + 2 * radius + 1e-9):
-                    out.append((int(mix(np.array([r.region], np.int64).view(np.uint64) + np.uint64(k + 1)).view(np.int64)[0]), r.a, r.size, r.members))
-            yield pd.DataFrame(out, columns=["region", "a", "size", "members"])
-
-    return large.join(packed, "region").select("region", "a", "size", "members", "pivots").mapInPandas(assign, "region long, a long, size long, members binary")
-
-
-def _sizes(regions: DataFrame, limit: int) -> DataFrame:
-    """region, parts: how many blocks the sets of a region make."""
-    return regions.groupBy("region").agg(F.ceil(F.sum("size") / limit).cast("long").alias("parts"), F.sum("size").alias("total"))
-
-
-def _block_pairs(regions: DataFrame, limit: int) -> DataFrame:
-    """Members of regions (with ``parts``) once for each pair of blocks: every pair of members meets in some task."""
-    half = F.col("parts") * 2
-    block = F.pmod(F.xxhash64("a"), half)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), half - 1))
-    rows = regions.withColumn("block", block).withColumn("other", other)
-    return rows.select(F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "a", "size", "members")
-
-
-def link_regions(entered: DataFrame, sets: DataFrame, percent: int, limit: int = REGION_SHINGLES) -> DataFrame:
-    """a, b: links that span the components of the members of regions entered (region, a, size), given sets (a, members)."""
-    schema = "a long, b long"
-    sizes = written(_sizes(entered, limit), "region-sizes")
-    # regions travel in batches of about a region's limit
-    batches = max(1, -(-(sizes.agg(F.sum("total")).first()[0] or 0) // limit))
-    batch = F.pmod(F.xxhash64("region"), F.lit(batches)).alias("batch")
-    small = entered.join(sizes.where("parts <= 1").select("region"), "region").join(sets, "a").select("region", "a", "members")
-    found = small.groupBy(batch).applyInPandas(_join_regions(percent), schema)
-    if not sizes.where("parts > 1").isEmpty():
-        large = written(entered.join(sizes.where("parts > 1").select("region"), "region").join(sets, "a").select("region", "a", "size", "members"), "large-regions")
-        # the pivots: members whose hashes are the least of about enough buckets; a region has REGION_PIVOTS at most
-        bucket = F.pmod(F.xxhash64("a", "region"), F.lit(REGION_PIVOTS))
-        pivot_rows = large.groupBy("region", bucket.alias("k")).agg(F.min_by("members", F.xxhash64("a")).alias("members"))
-        split = written(_split_region(pivot_rows, large, percent), "split-regions")
-        sizes = written(_sizes(split, limit), "split-sizes")
-        whole = split.join(sizes.where("parts <= 1").select("region"), "region")
-        blocks = _block_pairs(split.join(sizes.where("parts > 1").select("region", "parts"), "region"), limit)
-        found = found.union(whole.select("region", "a", "members").union(blocks.select("region", "a", "members")).groupBy("region").applyInPandas(_join_regions(percent), schema))
-    return found
+    bucket = F.pmod(F.xxhash64("c", "region"), F.lit(CANDIDATES))
+    first = signed.groupBy("region", bucket.alias("k")).agg(F.min_by(F.struct("c", "size", "data"), F.xxhash64("c")).alias("p"))
+    slices = signed.groupBy("region").agg(F.ceil(F.count("*") / SIGNED_BATCH).cast("long").alias("slices"))
+
+    def pick(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("k")
+        counts, size = np.frombuffer(b"".join(rows["data"]), np.uint32).reshape(len(rows), CLASSES), rows["size"].to_numpy(np.int64)
+        kept = _separated([], list(range(len(rows))), lambda i, j: float(_signed_distance(counts[[i]], size[[i]], counts[j], size[j])[0]), 2 * radius)
+        return rows.iloc[kept][["region", "c", "size", "data"]]
+
+    pivots = written(first.select("region", "k", "p.*").groupBy("region").applyInPandas(pick, "region long, c long, size long, data binary"), "signed-pivots")
+    sent = pivots.join(slices.select("region", F.col("slices").alias("n")), "region").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    sent = sent.select(F.col("region").alias("of"), "slice", "c", "size", "data")
+    rows = signed.join(slices, "region").withColumn("slice", F.pmod(F.xxhash64("c", F.lit(1)), "slices"))
+
+    def near(members: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        out = {"region": [], "a": [], "b": [], "size": [], "data": []}
+        if len(members) and len(pivots):
+            pivots = pivots.sort_values("c")
+            counts, size = np.frombuffer(b"".join(members["data"]), np.uint32).reshape(len(members), CLASSES), members["size"].to_numpy(np.int64)
+            d = np.stack([_signed_distance(counts, size, np.frombuffer(p.data, np.uint32), p.size_) for p in pivots.rename(columns={"size": "size_"}).itertuples()], axis=1)
+            home, replica = _homes(d, percent)
+            replica[home < d.shape[1], home[home < d.shape[1]]] = True
+            i, k = np.nonzero(replica)
+            c, left = members["c"].to_numpy(np.int64), np.flatnonzero(home == d.shape[1])
+            out["region"] = [None] * len(i) + members["region"].iloc[left].tolist()
+            out["a"], out["b"] = [*c[i].tolist(), *c[left].tolist()], [*pivots["c"].to_numpy(np.int64)[k].tolist(), *[None] * len(left)]
+            out["size"], out["data"] = [None] * len(i) + size[left].tolist(), [None] * len(i) + members["data"].iloc[left].tolist()
+        return pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in out.items()})
+
+    schema = "region long, a long, b long, size long, data binary"
+    told = written(rows.groupBy("region", "slice").cogroup(sent.groupBy("of", "slice")).applyInPandas(near, schema), "signed-told")
+    # what is left: pairs of blocks, of one class of sizes or of two that follow each other
+    step = float(np.log(100 / percent * 1.0001)) if percent < 100 else 1e-4
+    left = told.where("region IS NOT NULL").select("region", F.col("a").alias("c"), "size", "data", F.floor(F.log(F.col("size").cast("double")) / step).alias("of"))
+    blocks = written(left.groupBy("region", "of").agg(F.ceil(F.count("*") * 2 / SIGNED_MEMBERS).cast("long").alias("blocks")), "signed-blocks")
+    left = left.join(blocks, ["region", "of"]).withColumn("block", F.pmod(F.xxhash64("c", F.lit(2)), "blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1))
+    within = left.withColumn("others", F.col("blocks")).withColumn("o", other).select(F.xxhash64("region", "of", F.least("block", "o"), F.greatest("block", "o")).alias("region"), "c", "size", "data")
+    parts = [within]
+    for shift in (1, -1):
+        beside = blocks.select("region", (F.col("of") - shift).alias("of"), F.col("blocks").alias("others"))
+        key = ("of", "block", "o") if shift == 1 else (F.col("of") - 1, "o", "block")
+        parts.append(left.join(beside, ["region", "of"]).withColumn("o", other).select(F.xxhash64("region", F.lit("next"), *key).alias("region"), "c", "size", "data"))
+    return told.where("region IS NULL").select("a", "b"), functools.reduce(DataFrame.union, parts)
 
 
 def _distinct_regions(entered: DataFrame) -> DataFrame:
-    """region, a, size, m (members) of (region, a, size): of regions with the same members one."""
-    seal = entered.groupBy("region").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("a")).alias("x"), F.sum(F.shiftrightunsigned(F.xxhash64("a", F.lit(1)), 24)).alias("s"))
+    """region, c, size, data, m (members) of (region, c, size, data): of regions with the same members one."""
+    seal = entered.groupBy("region").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("c")).alias("x"), F.sum(F.shiftrightunsigned(F.xxhash64("c", F.lit(1)), 24)).alias("s"))
     one = seal.where("m > 1").groupBy("m", "x", "s").agg(F.min("region").alias("region")).select("region", "m")
-    return written(entered.join(one, "region").select("region", "a", "size", "m"), "distinct-regions")
+    return written(entered.join(one, "region").select("region", "c", "size", "m"), "distinct-regions")
 
 
 def _candidate_groups(entered: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """region, a, size: each member in the one group that holds all members it may link to, directly or through others."""
+    """region, c, size: each member in the one group that holds all members it may link to, directly or through others."""
     kept = _distinct_regions(entered)
-    signed = kept.where(F.col("m") <= SIGNED_MEMBERS).join(classes.select("a", "size", "data"), ["a", "size"])
+    signed = kept.join(classes.select("c", "data"), "c")
+    within = signed.where(F.col("m") <= SIGNED_MEMBERS).select("region", "c", "size", "data")
+    pairs = []
+    if not kept.where(F.col("m") > SIGNED_MEMBERS).isEmpty():
+        told, blocks = _signed_regions(written(signed.where(F.col("m") > SIGNED_MEMBERS).select("region", "c", "size", "data"), "signed-large"), percent)
+        within, pairs = within.union(blocks), [told]
     batches = max(1, -(-kept.count() // SIGNED_BATCH))
-    pairs = signed.select("region", "a", "size", "data").groupBy(F.pmod(F.xxhash64("region"), F.lit(batches))).applyInPandas(_plausible_links(percent), "a long, b long")
-    large = kept.where(F.col("m") > SIGNED_MEMBERS)
-    whole = large.join(large.groupBy("region").agg(F.min("a").alias("b")), "region").select("a", "b")
-    groups = connected_components(pairs.union(whole)).select(F.col("node").alias("a"), F.col("root").alias("region"))
-    return written(kept.select("a", "size").distinct().join(groups, "a").select("region", "a", "size"), "groups")
+    pairs = [*pairs, within.groupBy(F.pmod(F.xxhash64("region"), F.lit(batches))).applyInPandas(_plausible_links(percent), "a long, b long")]
+    groups = connected_components(functools.reduce(DataFrame.union, pairs)).select(F.col("node").alias("c"), F.col("root").alias("region"))
+    out = written(kept.select("c", "size").distinct().join(groups, "c").select("region", "c", "size"), "groups")
+    drop_written(kept)
+    return out
+
+
+# --- the join of groups by pivot documents ------------------------------------------------------------------
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int = REGION_SHINGLES) -> DataFrame:
-    """doc_id, n_shingles, class_id, component_id for each row of docs (doc_id, text).
+class Members:
+    """Sets of one region as rows of codes (elements numbered densely)."""
+
+    def __init__(self, keys: np.ndarray, sizes: np.ndarray, masks: np.ndarray, lens: np.ndarray, flat: np.ndarray, codes: int):
+        self.keys, self.sizes, self.masks, self.lens, self.flat = keys, sizes, masks, lens, flat
+        self.ends = np.cumsum(lens)
+        self.starts = self.ends - lens
+        self.mark = np.zeros(codes, np.int32)
+
+    def row(self, i: int) -> np.ndarray:
+        return self.flat[self.starts[i] : self.ends[i]]
+
+    def places(self, rows: np.ndarray) -> np.ndarray:
+        """Where the elements of the rows stand, row after row."""
+        lens = self.lens[rows]
+        ends = np.cumsum(lens)
+        return np.repeat(self.starts[rows] - (ends - lens), lens) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+    def shared(self, own: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+        """How many of the elements ``own`` each row (all by default) holds."""
+        self.mark[own] = 1
+        lens = self.lens if rows is None else self.lens[rows]
+        at = np.concatenate([[0], np.cumsum(self.mark[self.flat if rows is None else self.flat[self.places(rows)]], dtype=np.int64)])
+        self.mark[own] = 0
+        ends = np.cumsum(lens)
+        return at[ends] - at[ends - lens]
+
+    def differing(self, own: np.ndarray) -> np.ndarray:
+        """The size of the symmetric difference of each row and ``own``."""
+        return self.lens + len(own) - 2 * self.shared(own)
+
+    def relative(self, own: np.ndarray, rows: np.ndarray) -> Members:
+        """The rows as their symmetric differences from ``own``."""
+        place = np.full(len(self.mark), -1, np.int64)
+        place[own] = np.arange(len(own))
+        flat, row = self.flat[self.places(rows)], np.repeat(np.arange(len(rows)), self.lens[rows])
+        at = place[flat]
+        absent = np.ones((len(rows), len(own)), bool)
+        absent[row[at >= 0], at[at >= 0]] = False
+        row, flat = row[at < 0], flat[at < 0]
+        lost, which = np.nonzero(absent)
+        row, flat = np.concatenate([row, lost]), np.concatenate([flat, own[which]])
+        flat = flat[np.argsort(row, kind="stable")]
+        return Members(self.keys[rows], self.sizes[rows], self.masks[rows], np.bincount(row, minlength=len(rows)), flat, len(self.mark))
+
+
+def _metric(differing: np.ndarray, sizes: np.ndarray, size: int) -> np.ndarray:
+    """Jaccard distance from sizes and the size of the symmetric difference."""
+    return 2 * differing / np.maximum(sizes + size + differing, 1)
+
+
+class Links:
+    """Counts of links by member, and pairs that span the components found."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.counts, self.label = keys, np.zeros(len(keys), np.int64), np.arange(len(keys))
+        self.spanning: list[tuple[int, int]] = []
+
+    def add(self, i: int, others: np.ndarray) -> None:
+        self.counts[i] += len(others)
+        self.counts[others] += 1
+        new = others[self.label[others] != self.label[i]]
+        if len(new):
+            labels, one = np.unique(self.label[new], return_index=True)
+            self.spanning += [(int(self.keys[i]), int(self.keys[j])) for j in new[one]]
+            self.label[np.isin(self.label, labels)] = self.label[i]
+
+
+def _join_ball(m: Members, index: np.ndarray, core: int, percent: int, links: Links) -> None:
+    """Links of the first ``core`` rows with all rows after them; rows are kept as differences from one pivot."""
+    far, near = 100 + percent, 100 - percent
+    for i in range(core):
+        j = np.arange(i + 1, len(index))
+        j = j[(m.masks[j] & m.masks[i]) == 0]
+        most = near * (m.sizes[j] + m.sizes[i])
+        may = far * np.abs(m.lens[j] - m.lens[i]) <= most
+        j, most = j[may], most[may]
+        sure = far * (m.lens[j] + m.lens[i]) <= most
+        if not sure.all():
+            test = np.flatnonzero(~sure)
+            differing = m.lens[j[test]] + m.lens[i] - 2 * m.shared(m.row(i), j[test])
+            sure[test] = far * differing <= most[test]
+        if sure.any():
+            links.add(int(index[i]), index[j[sure]])
+
+
+def join_members(m: Members, percent: int) -> Links:
+    """All links in one region that fits a task: Voronoi regions of pivots that cover it, each with its window."""
+    radius, links = 1 - percent / 100, Links(m.keys)
+    nearest, home = np.full(len(m.keys), np.inf), np.full(len(m.keys), -1)
+    near: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for x in np.argsort(mix(m.keys.view(np.uint64)), kind="stable").tolist():
+        if nearest[x] > 2 * radius + EDGE:
+            d = _metric(m.differing(m.row(x)), m.sizes, int(m.sizes[x]))
+            closer = d < nearest
+            home[closer], nearest[closer] = len(near), d[closer]
+            rows = np.flatnonzero(d <= 3 * radius + EDGE)
+            near.append((x, rows, d[rows]))
+    for k, (x, rows, d) in enumerate(near):
+        core = rows[home[rows] == k]
+        window = rows[(home[rows] > k) & (d <= nearest[rows] + 2 * radius + EDGE)]
+        if len(core) + len(window) > 1:
+            index = np.concatenate([core, window])
+            _join_ball(m.relative(m.row(x), index), index, len(core), percent, links)
+    return links
+
+
+def _members(rows: pd.DataFrame, more: list[bytes] | None = None) -> tuple[Members, np.ndarray, list[np.ndarray]]:
+    """Rows as members, what each code stands for, and the codes of further sets."""
+    sets = [np.frombuffer(x, np.uint64) for x in [*rows["delta"], *(more or [])]]
+    values, flat = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_inverse=True)
+    lens = np.fromiter(map(len, sets), np.int64, len(sets))
+    cut = np.split(flat, np.cumsum(lens)[:-1])
+    n = len(rows)
+    own = int(lens[:n].sum())
+    return Members(rows["c"].to_numpy(np.int64), rows["size"].to_numpy(np.int64), rows["mask"].to_numpy(np.int64), lens[:n], flat[:own], len(values)), values, cut[n:]
+
+
+def _join_batch(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """a, n (links of a member), and a, b (links that span) of a batch of regions."""
+
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int | None, int | None]] = []
+        for _, part in rows.groupby("region", sort=False):
+            if len(part) > 1:
+                links = join_members(_members(part)[0], percent)
+                out += [(a, b, None) for a, b in links.spanning]
+                held = np.flatnonzero(links.counts)
+                out += [(a, None, n) for a, n in zip(links.keys[held].tolist(), links.counts[held].tolist(), strict=True)]
+        return pd.DataFrame({k: pd.Series([r[i] for r in out], dtype="Int64") for i, k in enumerate(("a", "b", "n"))})
+
+    return join
+
+
+def _split_regions(large: DataFrame, parts: DataFrame, percent: int, level: int, limit: int) -> DataFrame:
+    """The members of large regions in the regions of their pivots, one level down.
+
+    Pivots are members of least hash that stand apart, up to ``limit`` shingles. They travel once to each slice
+    of their region.
+    """
+    radius, bit = 1 - percent / 100, 1 << level
+    bucket = F.pmod(F.xxhash64("c", "region"), F.lit(CANDIDATES))
+    first = large.groupBy("region", bucket.alias("k")).agg(F.min_by(F.struct("c", "size", "delta", "mask"), F.xxhash64("c", F.lit(level))).alias("p"))
+
+    def pick(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("k")
+        rows = rows[(rows["delta"].map(len) // 8 + 1).cumsum().between(0, limit) | (np.arange(len(rows)) == 0)]
+        m, _, _ = _members(rows)
+        d = np.stack([_metric(m.differing(m.row(i)), m.sizes, int(m.sizes[i])) for i in range(len(rows))])
+        return rows.iloc[_separated([], list(range(len(rows))), lambda i, j: float(d[i, j]), 2 * radius)][["region", "c", "size", "delta"]]
+
+    pivots = written(first.select("region", "k", "p.*").groupBy("region").applyInPandas(pick, "region long, c long, size long, delta binary"), "pivots")
+    sent = pivots.join(parts.select("region", F.col("parts").alias("slices")), "region").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    sent = sent.select(F.col("region").alias("of"), "slice", "c", "size", "delta")
+    rows = large.join(parts, "region").withColumn("slice", F.pmod(F.xxhash64("c", F.lit(-1)), "parts"))
+
+    def assign(members: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        out: list[pd.DataFrame] = [pd.DataFrame({k: pd.Series([], dtype=object) for k in ("region", "k", "c", "size", "delta", "mask", "was")})]
+        if len(members) and len(pivots):
+            pivots = pivots.sort_values("c")
+            m, values, own = _members(members, pivots["delta"].tolist())
+            d = np.stack([_metric(m.differing(p), m.sizes, int(s)) for p, s in zip(own, pivots["size"], strict=True)], axis=1)
+            home, replica = _homes(d, percent)
+            for k in range(d.shape[1] + 1):
+                rows = np.flatnonzero(home == k) if k == d.shape[1] else np.flatnonzero((home == k) | replica[:, k])
+                if len(rows):
+                    part = m.relative(own[k] if k < len(own) else np.empty(0, np.int64), rows)
+                    delta = [values[part.row(i)].tobytes() for i in range(len(rows))]
+                    mask = part.masks | np.where(home[rows] == k, 0, bit)
+                    out.append(pd.DataFrame({"region": members["region"].iloc[0], "k": k, "c": part.keys, "size": part.sizes, "delta": delta, "mask": mask, "was": members["total"].to_numpy()[rows]}))
+        return pd.concat(out)
+
+    split = rows.groupBy("region", "slice").cogroup(sent.groupBy("of", "slice")).applyInPandas(assign, "region long, k long, c long, size long, delta binary, mask long, was long")
+    return split.select(F.xxhash64("region", "k", F.lit(level)).alias("region"), "c", "size", "delta", "mask", "was")
+
+
+def _block_pairs(stuck: DataFrame) -> DataFrame:
+    """Members of regions (with ``parts``) once for each pair of blocks: every pair of members meets in one region."""
+    blocks = F.col("parts") * 2
+    rows = stuck.withColumn("block", F.pmod(F.xxhash64("c", F.lit(3)), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    own = F.when(F.col("block") < F.col("other"), F.lit(BLOCK_BITS[0])).when(F.col("block") > F.col("other"), F.lit(BLOCK_BITS[1])).otherwise(F.lit(0)).cast("long")
+    return rows.select(F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "c", "size", "delta", F.col("mask").bitwiseOR(own).alias("mask"), "was")
+
+
+def join_regions(members: DataFrame, percent: int, limit: int = REGION_SHINGLES, most: int = REGION_MEMBERS) -> DataFrame:
+    """a, b, n: links (a, b) that span the components of the members of regions, and the numbers n of links of members a.
+
+    ``members`` has the columns of MEMBERS, ``delta`` being a sorted set.
+    """
+    found, level, now = [], 0, members
+    schema = "a long, b long, n long"
+    while True:
+        weight = F.length("delta") / 8 + MEMBER_SHINGLES
+        sizes = now.groupBy("region").agg(F.sum(weight).cast("long").alias("total"), F.count("*").alias("m"), F.max("was").alias("before"))
+        parts = F.greatest(F.ceil(F.col("total") / limit), F.ceil(F.col("m") / most)).cast("long")
+        sizes = written(sizes.withColumn("parts", parts), "region-sizes")
+        batches = max(1, -(-(sizes.where("parts = 1").agg(F.sum("total")).first()[0] or 0) // limit))
+        batch = F.pmod(F.xxhash64("region"), F.lit(batches))
+        small = now.join(sizes.where("parts = 1 AND m > 1").select("region"), "region")
+        found.append(written(small.groupBy(batch).applyInPandas(_join_batch(percent), schema), "found"))
+        large = sizes.where("parts > 1")
+        if large.isEmpty():
+            return functools.reduce(DataFrame.union, found)
+        stuck = (F.col("before") > 0) & (F.col("total") > STUCK * F.col("before")) | F.lit(level >= 60)
+        blocks = now.join(large.where(stuck).select("region", "parts"), "region")
+        found.append(written(_block_pairs(blocks).groupBy("region").applyInPandas(_join_batch(percent), schema), "found"))
+        level += 1
+        old, now = now, written(_split_regions(now, large.where(~stuck).select("region", "parts", "total"), percent, level, limit), "members")
+        drop_written(old)
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int = REGION_SHINGLES, most: int = REGION_MEMBERS) -> DataFrame:
+    """doc_id, n_shingles, class_id, component_id, n_links for each row of docs (doc_id, text).
 
     Documents link whose sets of n-word shingles have a Jaccard similarity of ``percent`` or more. A class
-    holds the documents of one set and is named by its smallest id, a component by the smallest id in it.
+    holds the documents of one set and is named by its smallest id, a component by the smallest id in it;
+    n_links counts the other classes that a document's class links to.
     """
     spark = docs.sparkSession
     described = written(describe(docs, n), "described")
-    rows = described.where("kind = 0").select("doc_id", "size", "a", "b", "data")
-    classes = written(rows.where("size > 0").groupBy("a", "b", "size").agg(F.min("doc_id").alias("class_id"), F.first("data").alias("data")), "classes")
+    rows = described.where("kind = 0").select("doc_id", "size", "a", "b")
+    signed = described.where("kind = 0 AND size > 0").groupBy("a", "b", "size").agg(F.min("doc_id").alias("class_id"), F.first("data").alias("data"))
+    classes = written(signed.withColumn("c", F.monotonically_increasing_id()), "classes")
     # a set that only rows without an id have could not name a component: it takes no part
     entered = written(windows(docs.where("doc_id IS NOT NULL"), n, percent, sketch_of(described)), "windows")
-    # regions that two sets enter at least
-    shared = entered.groupBy("pivot").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low <> high").select("pivot")
-    shared = written(shared, "shared")
+    # regions that two sets enter at least, or copies in several tasks
+    shared = written(entered.groupBy("pivot").agg(F.count("*").alias("sets")).where("sets > 1").select("pivot"), "shared")
     low = f"& {(1 << FILTER_BITS) - 1}"
     marked = spark.sparkContext.broadcast(bitmap_of(shared.select(F.expr(f"pivot {low}").alias("i")).distinct(), FILTER_BITS))
 
@@ -315,30 +523,37 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
         for batch in batches:
             yield batch.filter(pa.array(in_bitmap(marked.value, low_bits(batch.column("pivot").to_numpy().view(np.uint64), FILTER_BITS))))
 
-    entered = written(entered.mapInArrow(pass_shared, entered.schema).join(shared, "pivot", "left_semi").distinct(), "entered")
-    regions = _candidate_groups(entered.select(F.col("pivot").alias("region"), "a", "size"), classes, percent)
-    wanted = written(regions.select("a").distinct(), "wanted")
-    sought = spark.sparkContext.broadcast(bitmap_of(wanted.select(F.expr(f"a {low}").alias("i")).distinct(), FILTER_BITS))
+    several = entered.mapInArrow(pass_shared, entered.schema).join(shared, "pivot", "left_semi").distinct()
+    several = written(several.join(classes.select("a", "b", "size", "c"), ["a", "b", "size"]).select(F.col("pivot").alias("region"), "c", "size"), "entered")
+    drop_written(entered)
+    drop_written(shared)
+    regions = _candidate_groups(several, classes, percent)
+    drop_written(several)
+    wanted = written(regions.join(classes, ["c", "size"]).select("region", "c", "size", "a", "b", F.col("class_id").alias("doc_id")), "wanted")
+    drop_written(regions)
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    sought = spark.sparkContext.broadcast(bitmap_of(wanted.select(bit.alias("i")).distinct(), FILTER_BITS))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given: set[int] = set()
         for batch in batches:
-            out = []
-            for x in shingle_sets(_texts(batch), n):
-                a = set_key(x)[0]
-                if in_bitmap(sought.value, np.int64(a & ((1 << FILTER_BITS) - 1))) and a not in given:
-                    given.add(a)
-                    out.append((a, x.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["a", "members"])
-
-    members = docs.select(F.col("text").cast("string")).mapInArrow(sets, "a long, members binary").join(wanted, "a", "left_semi")
-    members = written(members.groupBy("a").agg(F.first("members").alias("members")), "sets")
-    links = written(link_regions(regions, members, percent, limit), "links")
-    name = classes.select("a", "class_id").groupBy("a").agg(F.min("class_id").alias("class_id"))
-    named = links.join(name, "a").select("b", F.col("class_id").alias("u")).join(name.withColumnRenamed("a", "b"), "b").select("u", F.col("class_id").alias("v"))
-    roots = written(connected_components(named.where("u IS NOT NULL AND v IS NOT NULL").select(F.col("u").alias("a"), F.col("v").alias("b"))), "roots")
-    named = classes.join(roots, classes["class_id"] == roots["node"], "left").select("a", "b", "size", "class_id", F.coalesce("root", "class_id").alias("component_id"))
-    named = written(named, "components")
+            batch = batch.filter(pa.array(in_bitmap(sought.value, batch.column("i").to_numpy())))
+            out = [(*set_key(x), x.tobytes()) for x in shingle_sets(_texts(batch), n)]
+            columns = [batch.column("doc_id"), *(pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary())))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "a", "b", "delta"])
+
+    read = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("i", bit)
+    # rows of one id and one text: any of them
+    given = read.mapInArrow(sets, "doc_id long, a long, b long, delta binary").join(wanted, ["doc_id", "a", "b"]).groupBy("region", "c", "size").agg(F.first("delta").alias("delta"))
+    members = written(given.select("region", "c", "size", "delta", F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("was")), "members")
+    drop_written(wanted)
+    found = written(join_regions(members, percent, limit, most), "links")
+    counts = found.where("n IS NOT NULL").groupBy(F.col("a").alias("c")).agg(F.sum("n").alias("n_links"))
+    roots = connected_components(found.where("b IS NOT NULL").select("a", "b")).select(F.col("node").alias("c"), "root")
+    linked = written(classes.select("c", "class_id").join(roots, "c").join(counts, "c", "left"), "linked")
+    least = linked.groupBy("root").agg(F.min("class_id").alias("component_id"))
+    linked = linked.join(least, "root").select("c", "component_id", "n_links")
+    named = written(classes.select("c", "a", "b", "size", "class_id").join(linked, "c", "left"), "components")
     out = rows.alias("r").join(named.alias("c"), (F.col("r.a") == F.col("c.a")) & (F.col("r.b") == F.col("c.b")) & (F.col("r.size") == F.col("c.size")), "left")
     own = F.when(F.col("r.size") == 0, F.col("r.doc_id"))
-    return out.select("r.doc_id", F.col("r.size").alias("n_shingles"), F.coalesce("c.class_id", own).alias("class_id"), F.coalesce("c.component_id", own).alias("component_id"))
+    links = F.coalesce("c.n_links", F.lit(0)).alias("n_links")
+    return out.select("r.doc_id", F.col("r.size").alias("n_shingles"), F.coalesce("c.class_id", own).alias("class_id"), F.coalesce("c.component_id", "c.class_id", own).alias("component_id"), links)

@@ -1,8 +1,9 @@
 """Word shingles of whole texts as 64-bit hashes, computed on bytes.
 
 A-Z are lower-cased; words are runs of bytes other than 0x20 and 0x09 to 0x0D (no byte of a longer UTF-8
-sequence is one of these). Word hashes are differences of a running polynomial hash, so the cost of a text
-follows its bytes, whatever its words.
+sequence is one of these). Word hashes are differences of a running sum of random values, one for each byte
+at each offset in a word, so the cost of a text follows its bytes, whatever its words, and no texts are known
+to collide (a polynomial modulo a power of two has such texts).
 """
 
 from __future__ import annotations
@@ -41,6 +42,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Offsets in a word whose random values stand in a table.
+_TABLED = 64
+
+
+def _value(byte_at: np.ndarray) -> np.ndarray:
+    """A random value for each offset in a word and byte, given as 256 * offset + byte."""
+    return mix(mix(byte_at.astype(np.uint64) + np.uint64(_BASE)) ^ np.uint64(0x94D049BB133111EB))
+
+
+_TABLE = _value(np.arange(_TABLED << 8))
+
+
 def running_hash(data: np.ndarray) -> np.ndarray:
     """g with n + 1 entries: (g[b] - g[a]) * inverse[a] depends on data[a:b] alone."""
     base, _ = _powers(len(data))
@@ -70,9 +83,16 @@ def word_hashes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     ends = word.copy()
     ends[:-1] &= ~word[1:] | first[1:-1]
     a, b = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    g = running_hash(_LOWER[data])
-    _, inverse = _powers(len(data))
-    h = mix((g[b] - g[a]) * inverse[a] + (b - a).astype(np.uint64))
+    # a word's hash is the sum of a random value for each byte at its offset: differences of a running sum
+    first_at = np.r_[0, a]
+    kind = np.int32 if len(data) < 1 << 23 else np.int64
+    offset = np.arange(len(data), dtype=kind) - np.repeat(first_at, np.diff(np.r_[first_at, len(data)])).astype(kind)
+    at, beyond = (offset << 8) | _LOWER[data], np.flatnonzero((offset >= _TABLED) & word)
+    values = _TABLE.take(at, mode="clip")
+    values[beyond] = _value(at[beyond])
+    g = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(values, out=g[1:])
+    h = mix(g[b] - g[a] + (b - a).astype(np.uint64))
     return h, np.searchsorted(a, offsets)
 
 
