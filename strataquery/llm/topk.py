@@ -11,8 +11,9 @@ is bounded by the two block sizes and every query sees every row.
 
 Defined cases: rows whose id is null or whose vector is null or holds a null or non-finite component take
 no part; an empty vector scores 0; missing components of a shorter vector count as 0; integers beyond
-2**28 in size saturate there, so that scores fit a long; repeated rows are candidates once each; the rows
-with the query's own id are not its candidates; an empty table gives no rows.
+2**62 in size saturate there; scores are exact, and one beyond a long is given as the nearest long;
+repeated rows are candidates once each; of rows with one id the one with the least vector is its query, and
+none of them is its candidate; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from .common import written
 
 BLOCK_ROWS = 65_536
 QUERY_ROWS = 256
-LIMIT = 1 << 28
+#: Where components saturate (a double), and what a long holds.
+LIMIT = float((1 << 62) - 1024)
+LONG = 1 << 63
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -53,13 +56,13 @@ class BitSlices:
         n, wide = values.shape
         self.rows, self.words = n, -(-n // 64)
         self.low = values.min(0) if n else np.zeros(wide, np.int64)
-        above = values - self.low
+        above = values.view(np.uint64) - self.low.view(np.uint64)
         self.bits = [int(x).bit_length() for x in (above.max(0) if n else [])]
         self.slices = np.zeros((sum(self.bits), self.words * 8), np.uint8)
         k = 0
         for d, bits in enumerate(self.bits):
             for b in range(bits):
-                packed = np.packbits(((above[:, d] >> b) & 1).astype(np.uint8), bitorder="little")
+                packed = np.packbits(((above[:, d] >> np.uint64(b)) & np.uint64(1)).astype(np.uint8), bitorder="little")
                 self.slices[k, : len(packed)] = packed
                 k += 1
         self.slices = self.slices.view(np.uint64).reshape(-1, self.words)
@@ -129,10 +132,11 @@ class BitSlices:
                     break
         rows, rest = _rows(sure), _rows(tied)
         rows = np.concatenate([rows, rest[: max(0, k - len(rows))]])
-        score = np.full(len(rows), above, np.int64)
-        for c, s in enumerate(slices):
-            score += ((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << c
-        return rows, score
+        bits = [((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) for s in slices]
+        if abs(above) + (1 << len(slices)) < LONG:
+            return rows, above + sum((b << c for c, b in enumerate(bits)), np.zeros(len(rows), np.int64))
+        exact = [above + sum(int(b[i]) << c for c, b in enumerate(bits)) for i in range(len(rows))]
+        return rows, np.array([max(-LONG, min(LONG - 1, x)) for x in exact], np.int64)
 
 
 def _rows(bitmap: np.ndarray) -> np.ndarray:
@@ -149,7 +153,7 @@ def _bitmap(flags: np.ndarray, words: int) -> np.ndarray:
 def exact_top_k(rows: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", scale: float = 64.0, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of highest integer inner product for each row where the SQL condition ``is_query`` holds on vec_id."""
     rows = written(usable(rows, id_col, vec_col), "vectors")
-    queries = rows.where(is_query)
+    queries = written(rows.where(is_query).groupBy("vec_id").agg(F.min("vec").alias("vec")), "queries")
     blocks = max(1, -(-rows.count() // block_rows))
     query_blocks = max(1, -(-queries.count() // query_rows))
 

@@ -59,3 +59,18 @@ def test_ranks_start_at_one(spark):
     for r in exact_top_k(df, "vec_id % 10 = 0", k=4).collect():
         ranks[r["query_id"]].append((r["rank"], -r["score"], r["vec_id"]))
     assert all([x[0] for x in sorted(v)] == [1, 2, 3, 4] and sorted(v) == sorted(v, key=lambda x: x[1:]) for v in ranks.values())
+
+
+def test_large_components_are_exact(spark):
+    """Beyond 2**28 and up to the end of longs; scores beyond a long are the nearest long, in their true order."""
+    df = spark.createDataFrame([(0, [1.0, 1.0]), (1, [5e6, 0.0]), (2, [6e6, 1.0]), (3, [-5e15, 2.0]), (4, [1e14, -1e14]), (5, [1e300, 0.0])], "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in exact_top_k(df, "vec_id = 0", k=9).orderBy("rank").collect()]
+    floors = {1: (320000000, 0), 2: (384000000, 64), 3: (-320000000000000000, 128), 4: (6400000000000000, -6400000000000000)}
+    want = {i: 64 * (a + b) for i, (a, b) in floors.items()}
+    want[3] = max(want[3], -(2**63))
+    assert got == [(5, 2**63 - 1), *sorted(want.items(), key=lambda x: (-x[1], x[0]))]
+
+
+def test_rows_of_one_id_ask_once(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [3.0, 1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in exact_top_k(df, "vec_id = 0", k=2).orderBy("rank").collect()] == [(0, 1, 2, 8192), (0, 2, 1, 4096)]
