@@ -7,7 +7,8 @@ twice; a bitmap of fixed size carries them to the second pass, where it may let
 
 The sort. Each task sorts the suffixes that begin at its anchors, cut to what its windows need, into runs;
 equal ones with equal left sides are one item with a count. Runs are cut at sampled splitters and exchanged
-front-coded: a length of common prefix with the predecessor, and the rest. A range's runs are combined with
+front-coded: a length of common prefix with the predecessor, and the rest. Ranges are shared out further by
+the anchors' hashes where splitters alone would leave them too large. A range's runs are combined with
 a loser tree whose players keep the length of the prefix that they share with the last winner: a longer one
 wins without a look at a byte, and equal ones are compared from there on. More runs than ``FAN_IN`` are
 combined in rounds. The result is the sorted order with the lengths of common prefixes (LCP).
@@ -18,8 +19,8 @@ the group). An anchor so frequent that its group would not fit a task is exchang
 by their content: equal ones collapse in each run, others part.
 
 Defined cases: null and empty texts have nothing to remove; matches never cross rows; a repeated row is
-another place, so its strings go in both; null ids are kept; an empty table gives no rows; docs must give
-the same rows in the same partitions when read again (a table does).
+another place, so its strings go in both; null ids are kept; an empty table gives no rows. Rows are named by
+id and text, so docs may give them in other partitions when read again.
 """
 
 from __future__ import annotations
@@ -84,12 +85,16 @@ def _arrow_texts(batch: pa.RecordBatch) -> pa.StringArray:
     return pc.fill_null(batch.column("text"), "").cast(pa.string())
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+def _named(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and what names a row in every evaluation of docs: its id and a hash of its text. Rows that agree in both have the same repeats."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("of"))
 
 
-def _codes(rows: np.ndarray) -> np.ndarray:
-    """Rows of a byte matrix as fixed-length strings, for sorting."""
+def _codes(rows: np.ndarray, lens: np.ndarray | None = None) -> np.ndarray:
+    """Rows of a byte matrix as fixed-length strings, for sorting; of rows that differ by the padding alone the shorter comes first."""
+    if lens is not None:
+        rows = np.concatenate([rows, lens.astype(">u2").view(np.uint8).reshape(-1, 2)], 1)
     return np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel()
 
 
@@ -120,13 +125,14 @@ def _unfold(data: bytes, lens: np.ndarray, common: np.ndarray) -> list[bytes]:
 class RunBuilder:
     """Gathers the surroundings of anchors and gives them out as sorted, front-coded runs."""
 
-    def __init__(self, length: int, gram: int, splitters: np.ndarray, hot: np.ndarray, hot_bits: int, parts: int):
+    def __init__(self, length: int, gram: int, splitters: np.ndarray, hot: np.ndarray, hot_bits: int, shares: int):
         self.length, self.reach, self.gram = length, length - gram, gram
-        self.splitters, self.hot, self.hot_bits, self.parts = splitters, hot, hot_bits, parts
+        self.splitters, self.hot, self.hot_bits, self.shares = splitters, hot, hot_bits, shares
+        self.parts = (len(splitters) + 1) * shares
         self.rows: list[dict[str, np.ndarray]] = []
         self.n = 0
 
-    def add(self, data: np.ndarray, offsets: np.ndarray, found: dict[str, np.ndarray], row_ids: np.ndarray) -> None:
+    def add(self, data: np.ndarray, offsets: np.ndarray, found: dict[str, np.ndarray], row_ids: np.ndarray, of: np.ndarray) -> None:
         o_max, o_min = found["at"] - found["lo"], found["at"] - found["hi"]
         hot = in_bitmap(self.hot, low_bits(found["hash"], self.hot_bits))
         if hot.any():
@@ -145,7 +151,7 @@ class RunBuilder:
             r = np.where(grid < right[:, None], data[np.minimum(at[:, None] + grid, len(data) - 1)], 0).astype(np.uint8)
             grid = np.arange(self.reach)
             l = np.where(grid < left[:, None], data[np.maximum(at[:, None] - 1 - grid, 0)], 0).astype(np.uint8)  # noqa: E741
-            self.rows.append({"r": r, "l": l, "right": right, "left": left, "o_min": o_min[s], "hot": hot[s], "row": row_ids[found["text"][s]], "at": at - offsets[found["text"][s]]})
+            self.rows.append({"r": r, "l": l, "right": right, "left": left, "o_min": o_min[s], "hot": hot[s], "hash": found["hash"][s], "row": row_ids[found["text"][s]], "of": of[found["text"][s]], "at": at - offsets[found["text"][s]]})
             self.n += len(at)
 
     def flush(self) -> Iterator[tuple[int, bytes, bytes]]:
@@ -154,14 +160,16 @@ class RunBuilder:
             return
         x = {k: np.concatenate([r[k] for r in self.rows]) for k in self.rows[0]}
         self.rows, self.n = [], 0
-        order = np.argsort(_codes(np.concatenate([x["r"], x["l"]], 1)), kind="stable")
+        ends = [x[side].astype(">u2").view(np.uint8).reshape(-1, 2) for side in ("right", "left")]
+        order = np.argsort(_codes(np.concatenate([x["r"], ends[0], x["l"], ends[1]], 1)), kind="stable")
         order = order[np.argsort(x["hot"][order], kind="stable")]
         x = {k: v[order] for k, v in x.items()}
         same = np.zeros(len(order), bool)
         same[1:] = (x["right"][1:] == x["right"][:-1]) & (x["left"][1:] == x["left"][:-1]) & (x["hot"][1:] == x["hot"][:-1]) & (x["r"][1:] == x["r"][:-1]).all(1) & (x["l"][1:] == x["l"][:-1]).all(1)
         first = np.flatnonzero(~same)
         count = np.diff(np.r_[first, len(order)])
-        part = np.searchsorted(self.splitters, _codes(x["r"][first][:, : self.gram]), side="right")
+        # a range of more items than a task takes is shared out by the anchor's hash: items that may repeat each other have one
+        part = np.searchsorted(self.splitters, _codes(x["r"][first][:, : self.gram]), side="right") * self.shares + ((x["hash"][first] >> np.uint64(8)) % np.uint64(self.shares)).astype(np.int64)
         hot = x["hot"][first]
         if hot.any():
             codes = [hashlib.blake2b(r.tobytes() + b"|" + l.tobytes(), digest_size=8).digest() for r, l in zip(x["r"][first][hot], x["l"][first][hot], strict=True)]
@@ -174,7 +182,7 @@ class RunBuilder:
             common, common_l = _common(r, right), _common(l, left)
             items = {"right": right.astype(np.int16), "left": left.astype(np.int16), "o_min": x["o_min"][i].astype(np.int16), "common": common.astype(np.int16), "common_l": common_l.astype(np.int16), "r": _front_code(r, right, common), "l": _front_code(l, left, common_l), "twice": count[mine] > 1}
             spots = np.repeat(i, count[mine]) + np.arange(int(count[mine].sum())) - np.repeat(np.cumsum(count[mine]) - count[mine], count[mine])
-            places = {"count": count[mine], "row": x["row"][spots], "at": x["at"][spots]}
+            places = {"count": count[mine], "row": x["row"][spots], "of": x["of"][spots], "at": x["at"][spots]}
             yield int(p), pickle.dumps(items, 5), pickle.dumps(places, 5)
 
 
@@ -273,7 +281,7 @@ def repeated_offsets(lcp: np.ndarray, left: list[bytes], right_len: np.ndarray,
     r_common = lcp[live].copy()
     r_common[np.r_[True, group[1:] != group[:-1]]] = 0
     sides = _padded([left[i] for i in live.tolist()], reach)
-    order = np.argsort(_codes(sides), kind="stable") if reach else np.arange(len(live))
+    order = np.argsort(_codes(sides, o_hi), kind="stable") if reach else np.arange(len(live))
     order = order[np.argsort(group[order], kind="stable")]
     l_common = _common(sides[order], o_hi[order])
     l_common[np.r_[True, group[order][1:] != group[order][:-1]]] = -1
@@ -337,9 +345,9 @@ def _merged(items: list[dict]) -> tuple[dict[str, np.ndarray], dict[str, np.ndar
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_count: int = HOT, run_items: int = RUN_ITEMS, range_items: int = RANGE_ITEMS) -> DataFrame:
-    """row, starts, ends: byte ranges (they may overlap) of the rows numbered by _numbered(docs) that repeats cover."""
+    """row, of, starts, ends: byte ranges (they may overlap) of the rows named by _named(docs) that repeats cover."""
     spark = docs.sparkSession
-    source = _numbered(docs).select("row", "text")
+    source = _named(docs).select("row", "of", "text")
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -354,13 +362,15 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
                     starts[i] = data[found["at"][i] : found["at"][i] + gram].tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array(found["hash"].view(np.int64)), pa.array(starts, pa.binary())], ["hash", "start"])
 
-    counted = source.mapInArrow(hashes, "hash long, start binary").groupBy("hash").agg(F.count("*").alias("n"), F.first("start", True).alias("start"))
+    counted = source.select("text").mapInArrow(hashes, "hash long, start binary").groupBy("hash").agg(F.count("*").alias("n"), F.first("start", True).alias("start"))
     counted = written(counted.where("n > 1"), "anchors")
     bitmap = bitmap_of(counted.select(F.expr(f"hash & {(1 << BITMAP_BITS) - 1}").alias("i")).distinct(), BITMAP_BITS)
     hot_bits = 20
     hot = bitmap_of(counted.where(F.col("n") > hot_count).select(F.expr(f"hash & {(1 << hot_bits) - 1}").alias("i")).distinct(), hot_bits)
     total = counted.agg(F.sum("n")).first()[0] or 0
-    parts = max(1, min(SPLITTER_SAMPLE, -(-total // range_items)))
+    ranges_wanted = max(1, -(-total // range_items))
+    parts = min(SPLITTER_SAMPLE, ranges_wanted)
+    shares = -(-ranges_wanted // parts)
     starts = counted.where("start IS NOT NULL").select("hash", "start")
     drawn = sorted(bytes(r["start"]) for r in starts.where(about(F.col("hash"), SPLITTER_SAMPLE, max(1, starts.count()))).collect())
     cuts = [drawn[len(drawn) * i // parts] for i in range(1, parts)] if drawn else []
@@ -370,7 +380,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked, hot_marked, cut = sent.value
         task, made = TaskContext.get().partitionId(), 0
-        builder = RunBuilder(length, gram, cut, hot_marked, hot_bits, parts)
+        builder = RunBuilder(length, gram, cut, hot_marked, hot_bits, shares)
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal made
@@ -379,13 +389,13 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
             made += 1
 
         for batch in batches:
-            texts, row_ids = _arrow_texts(batch), batch.column("row").to_numpy()
+            texts, row_ids, of = _arrow_texts(batch), batch.column("row").to_numpy(), batch.column("of").to_numpy()
             for a, b in slices(np.diff(_bytes_of(texts)[1])):
                 data, offsets = _bytes_of(texts.slice(a, b - a))
                 found = anchors(data, offsets, length, gram)
                 keep = in_bitmap(marked, low_bits(found["hash"], BITMAP_BITS))
                 if keep.any():
-                    builder.add(data, offsets, {k: v[keep] for k, v in found.items()}, row_ids[a:b])
+                    builder.add(data, offsets, {k: v[keep] for k, v in found.items()}, row_ids[a:b], of[a:b])
                 if builder.n >= run_items:
                     yield from flush()
         yield from flush()
@@ -406,16 +416,16 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
                 n = places["count"][item]
                 spot = np.repeat(first[item], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 at = places["at"][spot]
-                yield pd.DataFrame({"row": places["row"][spot], "start": at - np.repeat(high, n), "end": at - np.repeat(low, n) + length})
+                yield pd.DataFrame({"row": places["row"][spot], "of": places["of"][spot], "start": at - np.repeat(high, n), "end": at - np.repeat(low, n) + length})
 
-    covered = written(made.select("run", "part", "places").join(masks, ["run", "part"]).mapInPandas(ranges, "row long, start long, end long"), "ranges")
-    return covered.groupBy("row").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+    covered = written(made.select("run", "part", "places").join(masks, ["run", "part"]).mapInPandas(ranges, "row long, of long, start long, end long"), "ranges")
+    return covered.groupBy("row", "of").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes: bool = False, **sizes: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs (doc_id, text), with the kept bytes on demand."""
     covered = repeated_ranges(docs, length, gram, **sizes)
-    joined = _numbered(docs).join(covered, "row", "left")
+    joined = _named(docs).join(covered, ["row", "of"], "left")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

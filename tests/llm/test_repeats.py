@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from strataquery.llm import repeats
 from strataquery.llm.repeats import merge_runs, remove_repeats
 
 from tests.llm.conftest import texts_of
@@ -43,6 +44,27 @@ def test_overlaps_in_one_document(spark):
     assert sorted((tuple(r) for r in remove_repeats(df).collect()), key=repr) == brute(docs, 200)
 
 
+@pytest.mark.parametrize(("length", "gram"), [(200, 50), (12, 4)])
+def test_nul_bytes(spark, length, gram):
+    """Runs of NUL bytes, which padding must not be taken for."""
+    rng = np.random.default_rng(6)
+    pieces = ["\0" * 60, "\0" * 7, "ab\0", "\0c" * 30, "xyz" * 20, "\0" * 130]
+    docs = [(i, "".join(pieces[j] for j in rng.integers(0, 6, rng.integers(1, 9)))) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted((tuple(r) for r in remove_repeats(df, length, gram).collect()), key=repr) == brute(docs, length)
+
+
+def test_rows_that_move_between_evaluations(spark, small):
+    """Rows are named by what they hold, so a shuffled input is fine."""
+    moved = small.select("doc_id", "text").repartition(3)
+    assert sorted((tuple(r) for r in remove_repeats(moved).collect()), key=repr) == brute(texts_of(small), 200)
+
+
+def test_ranges_are_shared_out(spark, small, monkeypatch):
+    monkeypatch.setattr(repeats, "SPLITTER_SAMPLE", 3)
+    assert sorted((tuple(r) for r in remove_repeats(small, range_items=20).collect()), key=repr) == brute(texts_of(small), 200)
+
+
 def test_empty_table(spark, empty):
     assert remove_repeats(empty).count() == 0
 
