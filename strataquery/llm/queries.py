@@ -106,8 +106,8 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_filter": """
         WITH u AS (
             SELECT page_id, url, CASE WHEN page_id IS NOT NULL THEN DATE '2023-01-01' + CAST(((page_id * 37) % 730 + 730) % 730 AS INTEGER) END AS fetched_on,
-                lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host,
-                regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)/', 1) AS segment
+                lower(regexp_extract(url, '^[\\x00-\\x20]*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\\[[^\\]/?#]*\\]|[^/?#:@]*?)\\.*(?:[:/?#]|$)', 1)) AS host,
+                regexp_extract(url, '^[\\x00-\\x20]*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)/', 1) AS segment
             FROM pages
         ), v AS (
             SELECT row_number() OVER () AS r, page_id, url, fetched_on, host, CASE WHEN segment = '' THEN '' ELSE host || '/' || segment || '/' END AS prefix FROM u

@@ -10,6 +10,9 @@ The join is an equality on the pattern with a range on the day. Intervals of one
 capture meets each of its patterns once; a hot host is rows of one key on the capture side alone, which
 Spark splits (or joins by broadcast where the written list is small enough by its own size).
 
+User information, ports, dots after a host and blanks before a URL change nothing; patterns are written without
+them. Captures of one URL on one day are judged once.
+
 Defined cases: a capture without a URL, host or fetch day, and any capture on an empty list, matches
 nothing and is not blocked; of entries of one pattern on one day the last in the order remove, allow, block
 counts; entries with a null in pattern, kind or day are ignored; repeated captures come back once each.
@@ -26,13 +29,18 @@ FOREVER = "9999-12-31"
 ACTIONS = {"remove": 0, "allow": 1, "block": 2}
 
 
+#: Up to the authority; blanks and control characters before a URL don't count.
+_SCHEME = r"^[\x00-\x20]*[A-Za-z][A-Za-z0-9+.-]*://"
+
+
 def url_host(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1))
+    """The host in lower case, without user information, port and dots at its end; else empty."""
+    return F.lower(F.regexp_extract(url, _SCHEME + r"(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@]*?)\.*(?:[:/?#]|$)", 1))
 
 
 def url_prefix(url: Column) -> Column:
     """host/segment/ of the first path segment, which a slash must end; else empty."""
-    segment = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)/", 1)
+    segment = F.regexp_extract(url, _SCHEME + r"[^/?#]+/([^/?#]+)/", 1)
     return F.when(segment == "", "").otherwise(F.concat(url_host(url), F.lit("/"), segment, F.lit("/")))
 
 
@@ -48,18 +56,18 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 
 def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Adds blocked, action, pattern, category and listed_on to captures (url, fetched_on, ...), which keep their columns."""
-    row = "__row"
-    captures = captures.withColumn(row, F.monotonically_increasing_id())
-    host, labels = url_host(F.col("url")), F.split(url_host(F.col("url")), r"\.")
+    asked = captures.select(F.col("url").alias("__url"), F.col("fetched_on").alias("__day")).where("__day IS NOT NULL").distinct()
+    url, key = F.col("__url"), ["__url", "__day"]
+    host, labels = url_host(url), F.split(url_host(url), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda k: F.struct(F.lit("host").alias("kind"), F.array_join(F.slice(labels, k, F.size(labels)), ".").alias("pattern")))
-    prefix = F.struct(F.lit("prefix").alias("kind"), url_prefix(F.col("url")).alias("pattern"))
-    asks = captures.where(host != "").select(row, "fetched_on", F.explode(F.concat(suffixes, F.array(prefix))).alias("ask"))
-    asks = asks.select(row, "fetched_on", F.col("ask.kind").alias("kind"), F.col("ask.pattern").alias("pattern")).where("pattern <> ''")
+    prefix = F.struct(F.lit("prefix").alias("kind"), url_prefix(url).alias("pattern"))
+    asks = asked.where(host != "").select(*key, F.explode(F.concat(suffixes, F.array(prefix))).alias("ask"))
+    asks = asks.select(*key, F.col("ask.kind").alias("kind"), F.col("ask.pattern").alias("pattern")).where("pattern <> ''")
     spans = written(validity_intervals(entries), "intervals")
-    held = asks.alias("a").join(spans.alias("v"), (F.col("a.kind") == F.col("v.kind")) & (F.col("a.pattern") == F.col("v.pattern")) & (F.col("a.fetched_on") >= F.col("v.valid_from")) & (F.col("a.fetched_on") < F.col("v.valid_to")))
+    held = asks.alias("a").join(spans.alias("v"), (F.col("a.kind") == F.col("v.kind")) & (F.col("a.pattern") == F.col("v.pattern")) & (F.col("a.__day") >= F.col("v.valid_from")) & (F.col("a.__day") < F.col("v.valid_to")))
     specific = F.struct((F.col("v.kind") == "prefix").alias("by_prefix"), F.length("v.pattern").alias("length"), F.col("v.pattern").alias("pattern"), F.col("v.action").alias("action"), F.col("v.category").alias("category"), F.col("v.valid_from").alias("listed_on"))
-    best = held.groupBy(F.col(f"a.{row}").alias(row)).agg(F.max(specific).alias("__best"))
-    out = captures.join(best, row, "left").drop(row)
+    best = held.groupBy("__url", "__day").agg(F.max(specific).alias("__best"))
+    out = captures.join(best, (F.col("url") == F.col("__url")) & (F.col("fetched_on") == F.col("__day")), "left").drop(*key)
     picked = [F.col(f"__best.{c}").alias(c) for c in ("action", "pattern", "category", "listed_on")]
     kept = [c for c in out.columns if c != "__best" and c not in ("blocked", "action", "pattern", "category", "listed_on")]
     return out.select(*kept, F.coalesce(F.col("__best.action") == "block", F.lit(False)).alias("blocked"), *picked)

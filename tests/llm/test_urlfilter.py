@@ -24,6 +24,8 @@ PAGES = [
     (1, "http://bad.example/x", d(1), False, None), (2, "http://bad.example/x", d(2), True, "bad.example"), (3, "https://www.BAD.example:80/x?q", d(4, 30), True, "bad.example"), (4, "http://bad.example/x", d(5), False, None),
     (5, "http://bad.example/x", d(9), True, "bad.example"), (6, "http://bad.example/ok/x", d(4), False, "bad.example/ok/"), (7, "http://a.sub.bad.example/", d(4), False, "sub.bad.example"), (8, "http://tie.example", d(3), True, "tie.example"),
     (9, None, d(3), False, None), (10, "http://bad.example/x", None, False, None), (11, "not a url", d(3), False, None), (12, "", d(3), False, None), (None, "http://bad.example/x", d(2), True, "bad.example"), (2, "http://bad.example/x", d(2), True, "bad.example"), (13, "http://odd.example/", d(3), False, None), (14, "http://localhost/x/", d(3), False, None),
+    (15, "http://u:p@bad.example/x", d(2), True, "bad.example"), (16, "http://bad.example./x", d(2), True, "bad.example"), (17, " \thttp://bad.example/x", d(2), True, "bad.example"), (18, "http://bad.example@good.example/", d(2), False, None),
+    (19, "http://u@x@bad.example:81", d(2), True, "bad.example"), (20, "http:///x", d(2), False, None), (21, "http://[::1]:80/x/", d(2), False, None),
 ]
 
 
