@@ -3,7 +3,9 @@
 Lines descend a tree of fixed depth: token count, then the first tokens. Numbers are variable fields from
 the start. In a leaf that holds different lines, a field is constant where more than half of the leaf's
 distinct lines agree on its token, and variable elsewhere; a line follows the leaf's template where enough of
-its fields equal constants. Other lines are templates of their own. A template whose lines stand in
+its fields equal constants. Lines that don't go one level down, to the node of the token that most of them
+share with others (the first such place), where the same holds; so a leaf may hold several templates. Lines
+that follow none are templates of their own. A template whose lines stand in
 ``min_docs`` documents or more recurs, and its lines are dropped from all of them but the one with the
 smallest id, so a text that has copies stays once. With ``exact_docs``, as in the registered query and the
 pipeline, a line that stands unmasked in that many documents recurs too, tokens end at any white space, and every
@@ -15,8 +17,9 @@ combines before its shuffle, so a line that a third of all documents hold is a f
 come back by one join with the hashes to drop.
 
 Defined cases: null and empty texts come back as they are; lines of fewer than ``min_tokens`` tokens are
-kept (blank lines alone with ``exact_docs``); repeated rows of one id count as one document and are treated alike; null ids count as one document,
-last in order; an empty table gives no rows; further columns are kept.
+kept (blank lines alone with ``exact_docs``); repeated rows of one id count as one document and are treated
+alike; rows without an id are one document where their texts are equal, after all documents with ids (below
+2**62); an empty table gives no rows; further columns are kept.
 """
 
 from __future__ import annotations
@@ -42,6 +45,15 @@ LEAST_SIMILAR = 0.6
 FILTER_BITS = 17
 
 
+#: Lines dropped from one document that are looked up together.
+DROP_BUCKET = 1024
+
+
+def _doc() -> Column:
+    """The id, or for a null one a number past all ids that only its text decides."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)))
+
+
 def masked(line: Column) -> Column:
     return F.regexp_replace(F.trim(line), "[0-9]+", "<*>")
 
@@ -91,7 +103,7 @@ def _keys(line: Column, depth: int) -> list[Column]:
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, least_similar: float = LEAST_SIMILAR, exact_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(own, keep_doc): the hash of each masked line whose template recurs, and the smallest id of the template; and (own, leaf, n, doc): a row for each document and masked line, with ``exact_docs`` (.., id) for each line as it is."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.split("text", "\n")).alias("line"))
+    lines = docs.select(_doc().alias("doc"), F.explode(F.split("text", "\n")).alias("line"))
     keys = ["own", "leaf", "n"]
     if exact_docs:
         keyed = _line_keys(lines, depth)
@@ -100,10 +112,10 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
         keyed = keyed.withColumn("other", F.when(F.col("id") != F.col("own"), F.col("id")))
         keys = [*keys, "other"]
     else:
-        keyed = lines.select("doc_id", F.struct(*_keys(F.col("line"), depth)).alias("k")).select("doc_id", "k.*").where(F.col("n") >= min_tokens)
+        keyed = lines.select("doc", F.struct(*_keys(F.col("line"), depth)).alias("k")).select("doc", "k.*").where(F.col("n") >= min_tokens)
         text = lines.select(F.col("line"), F.struct(*_keys(F.col("line"), depth)).alias("k")).select("k.n", "k.leaf", "k.own", masked(F.col("line")).alias("m_line")).where(F.col("n") >= min_tokens)
-    # one row for each document and line; null ids as one document after all others
-    seen = written(keyed.withColumn("doc", F.coalesce("doc_id", F.lit((1 << 63) - 1))).groupBy(*keys, "doc").agg(F.count("*").alias("times")).drop("times"), "lines")
+    # one row for each document and line
+    seen = written(keyed.groupBy(*keys, "doc").agg(F.count("*").alias("times")).drop("times"), "lines")
     if exact_docs:
         seen = seen.select("own", "leaf", "n", "doc", F.coalesce("other", "own").alias("id"))
     own = seen.groupBy("own", "leaf", "n").agg(F.count("*").alias("docs"), F.min("doc").alias("first_doc"))
@@ -115,18 +127,19 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
     text = text.withColumn("low", low).join(F.broadcast(mixed.select(low).distinct()), "low", "left_semi").drop("low")
     fields = text.join(mixed.select("leaf"), "leaf", "left_semi").groupBy("leaf", "own", "n").agg(F.min("m_line").alias("m_line"))
     fields = written(fields.select("leaf", "own", "n", F.posexplode(F.split("m_line", " ")).alias("at", "token")), "fields")
-    usual = fields.groupBy("leaf", "at", "token").agg(F.count("*").alias("c")).groupBy("leaf", "at").agg(F.max(F.struct("c", "token")).alias("best"))
-    constant = usual.join(mixed, "leaf").where(F.col("best.c") * 2 > F.col("m")).select("leaf", "at", F.col("best.token").alias("token"))
-    same = fields.join(constant, ["leaf", "at", "token"])
-    if exact_docs:
-        # all lines of a leaf agree on its path: the fields after it tell
-        same, asked = same.where(F.col("at") >= depth), F.col("n") - depth
-        word = F.max(F.col("token").rlike(_LETTER))
-    else:
-        asked, word = F.col("n"), F.lit(True)
-    same = same.groupBy("leaf", "own", "n").agg(F.count("*").alias("same"), word.alias("word"))
-    general = written(same.where((F.col("same") >= asked * least_similar) & F.col("word")).select("own", F.col("leaf").alias("template")), "general")
-    # a line that follows its leaf's template counts for the leaf, any other for itself
+    after = depth if exact_docs else 0
+    constant = written(_constants(fields.withColumnRenamed("leaf", "node"), mixed.withColumnRenamed("leaf", "node")), "constants")
+    first = written(_followers(fields.withColumnRenamed("leaf", "node"), constant, after, least_similar), "general")
+    # a leaf of several templates: what follows none yet goes one level down, by the token that most of the others share and that is no constant yet
+    rest = written(fields.join(first, "own", "left_anti"), "rest")
+    words = rest.where(F.col("at") >= depth).where(F.col("token").rlike(_LETTER)).join(constant.withColumnRenamed("node", "leaf"), ["leaf", "at", "token"], "left_anti")
+    shared = words.groupBy("leaf", "at", "token").agg(F.count("*").alias("c")).where("c > 1")
+    branch = rest.join(shared, ["leaf", "at", "token"]).groupBy("leaf", "own").agg(F.max(F.struct("c", (-F.col("at")).alias("at"), "token")).alias("best"))
+    branch = written(branch.select("own", F.xxhash64("leaf", "best.at", "best.token").alias("node")), "branches")
+    below = rest.join(branch, "own")
+    second = _followers(below, _constants(below, branch.groupBy("node").agg(F.count("*").alias("m")).where("m > 1")), after, least_similar)
+    general = written(first.union(second), "general")
+    # a line that follows a template counts for it, any other for itself
     of = seen.join(general, "own", "left").withColumn("template", F.coalesce("template", "own"))
     docs_of = of.groupBy("template", "doc").agg(F.count("*").alias("x")).groupBy("template").agg(F.count("*").alias("docs"), F.min("doc").alias("keep_doc"))
     often = docs_of.where(F.col("docs") >= min_docs).select("template", "keep_doc")
@@ -134,6 +147,23 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
     return lines_of.join(often, "template").select("own", "keep_doc"), seen
 
 
+def _constants(fields: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, at, token: what more than half of a node's m lines have in common, of fields (node, own, n, at, token) and nodes (node, m)."""
+    usual = fields.groupBy("node", "at", "token").agg(F.count("*").alias("c")).groupBy("node", "at").agg(F.max(F.struct("c", "token")).alias("best"))
+    return usual.join(nodes, "node").where(F.col("best.c") * 2 > F.col("m")).select("node", "at", F.col("best.token").alias("token"))
+
+
+def _followers(fields: DataFrame, constant: DataFrame, after: int, least_similar: float) -> DataFrame:
+    """own, template: the lines of fields (node, own, n, at, token) that follow the template of their node (node, at, token).
+
+    All lines of a leaf agree on its path: with ``after`` the fields from there on tell, of which one must be a word.
+    """
+    same = fields.join(constant, ["node", "at", "token"]).where(F.col("at") >= after)
+    word = F.max(F.col("token").rlike(_LETTER)) if after else F.lit(True)
+    same = same.groupBy("node", "own", "n").agg(F.count("*").alias("same"), word.alias("word"))
+    return same.where((F.col("same") >= (F.col("n") - after) * least_similar) & F.col("word")).select("own", F.col("node").alias("template"))
+
+
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, least_similar: float = LEAST_SIMILAR, exact_docs: int | None = None) -> DataFrame:
     """docs with text rid of recurring lines, and n_lines and n_dropped."""
     often, seen = recurring(docs, min_docs, min_tokens, depth, least_similar, exact_docs)
@@ -149,10 +179,14 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens:
     else:
         gone = seen.join(often, "own").where(F.col("doc") > F.col("keep_doc")).select("doc", F.col("own").alias("id"))
         hashed = F.transform(lines, lambda line: F.struct(line.alias("line"), _keys(line, depth)[2].alias("id")))
-    drops = gone.groupBy("doc").agg(F.collect_set("id").alias("__drop"))
-    drops = written(drops.withColumnRenamed("doc", "__doc"), "drops")
-    joined = docs.join(drops, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)) == F.col("__doc"), "left")
-    left = F.transform(F.filter(hashed, lambda x: ~F.array_contains("__drop", x["id"])), lambda x: x["line"])
+    # buckets by hash, so that a line of a document that loses many is looked up among few
+    buckets = F.floor(F.size("ids") / DROP_BUCKET).cast("int") + 1
+    drops = gone.groupBy("doc").agg(F.collect_set("id").alias("ids"))
+    dealt = F.transform(F.sequence(F.lit(0), buckets - 1), lambda b: F.filter("ids", lambda x: F.pmod(x, buckets) == b))
+    drops = written(drops.select(F.col("doc").alias("__doc"), dealt.alias("__drop")), "drops")
+    joined = docs.join(drops, _doc() == F.col("__doc"), "left")
+    dropped = lambda x: F.array_contains(F.get("__drop", F.pmod(x["id"], F.size("__drop")).cast("int")), x["id"])
+    left = F.transform(F.filter(hashed, lambda x: ~dropped(x)), lambda x: x["line"])
     joined = joined.withColumn("__left", F.when(F.col("__drop").isNotNull(), left))
     kept = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join("__left", "\n"))
     n = F.coalesce(F.size(lines), F.lit(0))

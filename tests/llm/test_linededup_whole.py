@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 from strataquery.llm.linededup import DEPTH, EXACT_DOCS, LEAST_SIMILAR, drop_recurring_lines
 from strataquery.llm.queries import QUERIES
 from tests.llm.conftest import texts_of
-from tests.llm.test_linededup import LAST, rows
+from tests.llm.test_linededup import lettered, number, rows, templates
 
 SPACE = "[\t\x0b\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
@@ -17,10 +17,6 @@ def spaced(line):
     return re.sub(SPACE, " ", line).strip(" ")
 
 
-def lettered(s):
-    return any(c.isalpha() for c in s)
-
-
 def mask(line):
     return re.sub("[0-9]+", "<*>", spaced(line)) if lettered(spaced(line)) else spaced(line)
 
@@ -36,26 +32,21 @@ def brute(docs, min_docs=3, exact_docs=EXACT_DOCS):
     for k, t in docs:
         for line in (t or "").split("\n"):
             if spaced(line):
-                holders[mask(line)].add(LAST if k is None else k)
-                exact[spaced(line)].add(LAST if k is None else k)
+                holders[mask(line)].add(number(k, t or ""))
+                exact[spaced(line)].add(number(k, t or ""))
     for m in holders:
         leaves[(m.count(" ") + 1, tuple(m.split(" ")[:DEPTH]))].append(m)
     template = {m: m for m in holders}
     for leaf, ms in leaves.items():
         if len(ms) < 2:
             continue
-        constant = {}
-        for i in range(leaf[0]):
-            c, tok = max((c, tok) for tok, c in Counter(m.split(" ")[i] for m in ms).items())
-            if c * 2 > len(ms):
-                constant[i] = tok
-        template |= {m: leaf for m in ms if follows(m, leaf[0], constant)}
+        template |= templates(leaf, ms, lambda m, constant, n=leaf[0]: follows(m, n, constant))
     docs_of = defaultdict(set)
     for m, t in template.items():
         docs_of[t] |= holders[m]
     out = []
     for k, t in docs:
-        doc, kept = LAST if k is None else k, []
+        doc, kept = number(k, t or ""), []
         for line in t.split("\n") if t is not None else ():
             who, same = docs_of.get(template.get(mask(line)), set()), exact.get(spaced(line), set())
             if not (len(who) >= min_docs and doc > min(who) or len(same) >= exact_docs and doc > min(same)):
