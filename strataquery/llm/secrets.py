@@ -4,11 +4,12 @@ Everything is a JVM expression over one row, so the scan needs no shuffle and a
 task. Positions come from splitting a text at the matches: a match starts where the lengths of the parts
 and matches before it end. Both are counted in code points.
 
-Candidate strings of the entropy scan are maximal runs of token characters that hold a letter and a digit.
-A candidate's class is hex, alnum (one letter case) or base64. A window slides over it one character at a
-time; the class's counts change by the character that enters and the one that leaves, and the entropy
-by the same two terms. A candidate is a span where its highest window entropy reaches the class's
-threshold, unless an allow-list pattern matches it or a base span holds it.
+Candidate strings of the entropy scan are maximal runs of token characters. A candidate's class is hex, alnum
+(one letter case) or base64. A window slides over it one character at a time; the counts change by the
+character that enters and the one that leaves, and the entropy by the same two terms. A candidate is a span
+where its highest window entropy reaches the class's threshold (a higher one without a letter and a digit),
+unless an allow-list pattern matches it or a base span holds it. Cost is linear in a text's length, and in its
+matches but for a share of 1 / CHUNK.
 
 Defined cases: null and empty texts have no spans (the digest is that of the empty string); rows are
 independent, so repeated rows and null ids come back as they are; other columns are ignored.
@@ -30,54 +31,76 @@ BASE = [("assign", ASSIGN, 2, 6), ("access", r"AKIA[A-Z0-9]{16,}", 0, 20), ("hex
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
-#: Class, the pattern that a whole candidate of it matches, least window entropy in bits. The first class that fits counts.
+#: Class, the pattern that a whole candidate of it matches, least window entropy in bits where it holds a letter and
+#: a digit, and where it doesn't. The first class that fits counts. The least ones are what 1 in 200 windows of
+#: random characters of the class stay under, the others what half of them do.
 CLASSES = [
-    ("entropy_hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0),
-    ("entropy_alnum", r"^(?:[0-9a-z]+|[0-9A-Z]+)$", 3.6),
-    ("entropy_base64", r"^[A-Za-z0-9+/_=-]+$", 3.9),
+    ("entropy_hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 2.84, 3.38),
+    ("entropy_alnum", r"^(?:[0-9a-z]+|[0-9A-Z]+)$", 3.34, 3.88),
+    ("entropy_base64", r"^[A-Za-z0-9+/_=-]+$", 3.58, 4.02),
 ]
-#: Strings that look random and are no secrets.
+#: Candidates that look random and are no secrets.
 ALLOWED = [
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",  # UUID
-    r"(?i)example|placeholder|changeme|dummy",
-    r"(?i)0123456789|abcdefghij|qwertyuiop",
     r"^(?:[A-Za-z]*[_/=+-])+[A-Za-z]*[0-9]{0,4}$",  # words joined by punctuation: paths, slugs, rules
 ]
+#: The same of what follows a candidate's last separator: a name before it allows nothing.
+ALLOWED_VALUES = [r"(?i)example|placeholder|changeme|dummy", r"(?i)0123456789|abcdefghij|qwertyuiop"]
+
+#: Matches whose positions are summed up together.
+CHUNK = 256
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once: a lambda would compute an outer expression for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _positions(text: Column, matches: Column, pattern: str) -> Column:
-    """An array of (start, end), one for each match."""
-    parts = F.split(text, pattern, -1)
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+    """An array of (start, end), one for each match: running sums of the lengths of what lies between, by chunks and then over chunks."""
+    gaps, lens = F.transform(F.split(text, pattern, -1), F.length), F.transform(matches, F.length)
+    steps = F.zip_with(F.slice(gaps, 1, F.size(matches)), lens, lambda gap, n: F.struct(gap.alias("gap"), n.alias("n")))
+    none = F.array().cast("array<struct<start:int,end:int>>")
 
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.get(parts, i))
-        end = start + F.length(F.get(matches, i))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(start.alias("start"), end.alias("end")))).alias("spans"))
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["gap"]
+        return F.struct((start + x["n"]).alias("at"), F.concat(acc["spans"], F.array(F.struct(start.alias("start"), (start + x["n"]).alias("end")))).alias("spans"))
 
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), state, step)["spans"]
-    return F.when(F.size(matches) > 0, walked)
+    def chunks(s: Column) -> Column:
+        first = F.sequence(F.lit(0), F.floor((F.size(s) - 1) / CHUNK).cast("int"))
+        return F.transform(first, lambda c: F.aggregate(F.slice(s, c * CHUNK + 1, CHUNK), F.struct(F.lit(0).alias("at"), none.alias("spans")), step))
+
+    def placed(parts: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(parts, start, lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")))["starts"]
+        moved = lambda x, by: F.transform(x["spans"], lambda p: F.struct((p["start"] + by).alias("start"), (p["end"] + by).alias("end")))
+        return F.flatten(F.zip_with(parts, starts, moved))
+
+    return F.when(F.size(matches) > 0, _let(steps, lambda s: _let(chunks(s), placed)))
 
 
 def max_window_entropy(candidate: Column, window: int = WINDOW) -> Column:
-    """The highest Shannon entropy, in bits, of any ``window`` successive characters (ASCII)."""
-    codes = F.transform(F.split(candidate, ""), lambda c: F.ascii(c))
+    """The highest Shannon entropy, in bits, of any ``window`` successive characters (ASCII).
+
+    A step changes the counts of two characters, that which enters and that which leaves; their counts are
+    those in the window before, so a step costs the same however long the candidate is.
+    """
     term = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
 
-    def moved(s: Column, counts: Column, code: Column, by: int) -> Column:
-        n = F.get(counts, code)
-        return s + F.get(term, n + by) - F.get(term, n)
+    def lowest(codes: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            enters, leaves = F.get(codes, i), F.when(i >= window, F.get(codes, i - window)).otherwise(-1)
+            count = lambda code: F.size(F.filter(acc["held"], lambda c: c == code))
+            out, into = count(leaves), count(enters)
+            change = F.when(leaves < 0, 0.0).otherwise(F.get(term, out - 1) - F.get(term, out)) + F.get(term, into + 1) - F.get(term, into)
+            s = F.when(enters == leaves, acc["s"]).otherwise(acc["s"] + change)
+            held = F.concat(F.when(leaves < 0, acc["held"]).otherwise(F.slice(acc["held"], 2, window)), F.array(enters))
+            return F.struct(held.alias("held"), s.alias("s"), F.when(i >= window - 1, F.least(acc["low"], s)).otherwise(acc["low"]).alias("low"))
 
-    def step(acc: Column, i: Column) -> Column:
-        enters, leaves = F.get(codes, i), F.when(i >= window, F.get(codes, i - window)).otherwise(-1)
-        change = F.transform(acc["counts"], lambda n, code: n + (code == enters).cast("int") - (code == leaves).cast("int"))
-        s = F.when(enters == leaves, acc["s"]).otherwise(
-            moved(F.when(leaves < 0, acc["s"]).otherwise(moved(acc["s"], acc["counts"], leaves, -1)), acc["counts"], enters, 1)
-        )
-        return F.struct(F.when(enters == leaves, acc["counts"]).otherwise(change).alias("counts"), s.alias("s"), F.when(i >= window - 1, F.least(acc["low"], s)).otherwise(acc["low"]).alias("low"))
+        state = F.struct(F.array().cast("array<int>").alias("held"), F.lit(0.0).alias("s"), F.lit(math.inf).alias("low"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), state, step)["low"]
 
-    state = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("s"), F.lit(math.inf).alias("low"))
-    low = F.aggregate(F.sequence(F.lit(0), F.length(candidate) - 1), state, step)["low"]
+    low = _let(F.transform(F.split(candidate, ""), lambda c: F.ascii(c)), lowest)
     return F.lit(math.log2(window)) - low / window
 
 
@@ -87,12 +110,15 @@ def entropy_kind(candidate: Column, window: int = WINDOW) -> Column:
     allowed = F.lit(False)
     for pattern in ALLOWED:
         allowed = allowed | candidate.rlike(pattern)
+    value = F.regexp_replace(candidate, r"^.*[=/_-](?=[A-Za-z0-9+])", "")
+    for pattern in ALLOWED_VALUES:
+        allowed = allowed | value.rlike(pattern)
     name = least = None
-    for kind, pattern, bits in CLASSES:
-        fits = candidate.rlike(pattern)
+    for kind, pattern, bits, plain in CLASSES:
+        fits, asked = candidate.rlike(pattern), F.when(mixed, bits).otherwise(plain)
         name = F.when(fits, kind) if name is None else name.when(fits, kind)
-        least = F.when(fits, bits) if least is None else least.when(fits, bits)
-    return F.when(mixed & ~allowed, F.when(max_window_entropy(candidate, window) >= least, name))
+        least = F.when(fits, asked) if least is None else least.when(fits, asked)
+    return F.when(~allowed, F.when(max_window_entropy(candidate, window) >= least, name))
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:
