@@ -4,12 +4,14 @@ The first pivots are one-shingle sets. A document's distance from {s} is 1 - 1/s
 elsewhere, so its nearest pivots are its own shingles; a global order breaks the tie, and the first one's
 Voronoi region is its home. A document within the radius shares all but a bounded part of its shingles, so
 the window in which such a neighbour's home can lie is the document's first size - least overlap + 1
-shingles: it is replicated to those regions. The order puts shingles that few documents hold first, by a
+shingles, and with k - 1 more than these, k shingles of the window are shared: it is replicated to those regions,
+and one that has a neighbour stays in k of them. The order puts shingles that few documents hold first, by a
 sketch of fixed size over all documents; its noise is the same mean everywhere, so what is far more frequent
 than the square root of that mean stands out at any scale.
 
-Of regions with one member set one is enough. Sizes and class counts of shingles (a contraction of the metric)
-leave members that may link; what they connect is a group, so that a member's set travels to one group only.
+A region counts where two sets of near sizes enter it; of regions with one member set one is enough. Sizes and class counts of shingles (a contraction of the metric,
+with classes in proportion to a set's size) leave members that may link; what they connect is a group, so that
+a member's set travels to one group only.
 
 Groups join by pivot documents, recursively. Each member goes home to its nearest pivot within a ball, or to
 the remainder, and is replicated to earlier pivots whose region may hold a partner by the triangle inequality;
@@ -36,7 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bitmap_of, drop_written, in_bitmap, low_bits, written
@@ -52,11 +54,15 @@ MEMBER_SHINGLES = 8
 CANDIDATES = 64
 #: A region is stuck if one level leaves more than this share of its shingles in one part.
 STUCK = 0.7
-#: Classes of shingles whose counts make a signature; members that a region has at most for all their signatures to be compared in one task.
-CLASSES = 64
+#: Classes of shingles whose counts make a signature: the least and the most, and the shingles that a class holds at least on average in between.
+CLASSES, MOST_CLASSES, CLASS_SHINGLES = 64, 4096, 4
+#: Members that a region has at most for all their signatures to be compared in one task; bytes of signatures that travel together, about.
 SIGNED_MEMBERS = 2000
-#: Rows of regions that travel together to have their signatures compared, about.
-SIGNED_BATCH = 20_000
+SIGNED_BYTES = 8_000_000
+#: Regions that two sets share at least if they link (small sets fewer), and rounds in which sets with fewer are taken out.
+LEAST_SHARED, SHARED_ROUNDS = 6, 2
+#: Classes of sizes that a mask tells apart.
+SIZE_BITS = 63
 #: Bits of the filters that carry shared pivots and wanted documents to passes over all documents; they let more pass, never fewer.
 FILTER_BITS = 24
 #: The mask bits of the two blocks of a pair; lower bits belong to levels.
@@ -76,29 +82,35 @@ def _texts(batch: pa.RecordBatch) -> pa.StringArray:
 
 
 def signature(values: np.ndarray) -> np.ndarray:
-    """Counts of a set's shingles by class of their hash.
+    """Counts of a set's shingles by class of their hash; large sets have more classes.
 
-    Two sets share at most the sum of the smaller counts: a metric that never exceeds the Jaccard distance.
+    Two sets share at most the sum of the smaller counts, in the classes of either: a metric that never exceeds
+    the Jaccard distance.
     """
-    return np.bincount((values >> np.uint64(58)).astype(np.int64), minlength=CLASSES).astype(np.uint32)
+    bits = min(max(len(values) // CLASS_SHINGLES, CLASSES), MOST_CLASSES).bit_length() - 1
+    return np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+
+
+def folded(data: bytes, classes: int) -> np.ndarray:
+    """A signature with so many classes, which are fewer."""
+    return np.frombuffer(data, np.uint32).reshape(classes, -1).sum(1, dtype=np.uint32)
 
 
 def describe(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, size, a, b and signature of each row (kind 0), and parts of each task's sketch (kind 1: a is the part, data its counters)."""
+    """doc_id, size, a and b of each row (kind 0), and parts of each task's sketch (kind 1: a is the part, data its counters)."""
     names = ["kind", "doc_id", "size", "a", "b", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            size, a, b, signed = [], [], [], []
+            size, a, b = [], [], []
             for x in shingle_sets(_texts(batch), n):
                 np.add.at(sketch, low_bits(x, SKETCH_BITS), 1)
                 k = set_key(x)
                 size.append(len(x))
                 a.append(k[0])
                 b.append(k[1])
-                signed.append(signature(x).tobytes())
-            columns = [pa.array(np.zeros(len(size), np.int32)), batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(signed, pa.binary())]
+            columns = [pa.array(np.zeros(len(size), np.int32)), batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(size), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
         if sketch.any():
             parts = sketch.reshape(64, -1)
@@ -131,7 +143,8 @@ def windows(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> DataFr
                 if len(x) and (key := set_key(x)) not in given:
                     given.add(key)
                     order = np.lexsort((x, counts[low_bits(x, SKETCH_BITS)]))
-                    pivots.append(x[order[: len(x) - least_overlap(len(x), percent) + 1]].view(np.int64))
+                    least = least_overlap(len(x), percent)
+                    pivots.append(x[order[: len(x) - least + min(LEAST_SHARED, least)]].view(np.int64))
                     keys.append((*key, len(x)))
             if pivots:
                 times = np.fromiter(map(len, pivots), np.int64, len(pivots))
@@ -152,32 +165,32 @@ def _starts(region: np.ndarray) -> np.ndarray:
 def _plausible_links(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """For a batch of regions pairs (a, b) that join all members which may link by the bound that sizes and signatures give."""
 
-    def fits(size: np.ndarray, counts: np.ndarray, i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
-        most = np.minimum(counts[i], counts[j]).sum(1, dtype=np.int64)
-        return (100 * most >= percent * (size[i] + size[j] - most)) & (percent * size[j] <= 100 * size[i])
+    def of_region(keys: np.ndarray, size: np.ndarray, data: list[bytes], left: list[np.ndarray], right: list[np.ndarray]) -> None:
+        """Rows are sorted by size, so their signatures have more and more classes."""
+        label, classes = np.arange(len(keys)), np.fromiter((len(x) // 4 for x in data), np.int64, len(data))
+        counts = np.empty((0, 0), np.uint32)
+        for i in range(len(keys) - 1):
+            if counts.shape[1] != classes[i]:
+                # what follows, in the classes of this row
+                counts, first = np.stack([folded(x, int(classes[i])) for x in data[i:]]), i
+            # sizes rise, so partners stand in a run after i; those that are joined already need no pair
+            others = np.arange(i + 1, i + 1 + int(np.searchsorted(percent * size[i + 1 :], 100 * size[i], side="right")))
+            others = others[label[others] != label[i]]
+            most = np.minimum(counts[i - first], counts[others - first]).sum(1, dtype=np.int64)
+            others = others[100 * most >= percent * (size[i] + size[others] - most)]
+            if len(others):
+                _, one = np.unique(label[others], return_index=True)
+                left.append(np.full(len(one), keys[i]))
+                right.append(keys[others[one]])
+                label[np.isin(label, label[others])] = label[i]
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["region", "size"])
-        size, counts = rows["size"].to_numpy(np.int64), np.frombuffer(b"".join(rows["data"]), np.uint32).reshape(len(rows), CLASSES)
-        at, label = _starts(rows["region"].to_numpy()), np.arange(len(rows))
-        # most regions have two members: all of them at once
-        pairs = at[:-1][np.diff(at) == 2]
-        pairs = pairs[fits(size, counts, pairs, pairs + 1)]
-        left, right = [pairs], [pairs + 1]
+        keys, size, data, at = rows["c"].to_numpy(np.int64), rows["size"].to_numpy(np.int64), rows["data"].tolist(), _starts(rows["region"].to_numpy())
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            for i in range(a, b - 1) if b - a > 2 else ():
-                # sizes rise, so partners stand in a run after i; those that are joined already need no pair
-                others = np.arange(i + 1, i + 1 + int(np.searchsorted(percent * size[i + 1 : b], 100 * size[i], side="right")))
-                others = others[label[others] != label[i]]
-                others = others[fits(size, counts, i, others)]
-                if len(others):
-                    _, one = np.unique(label[others], return_index=True)
-                    left.append(np.full(len(one), i))
-                    right.append(others[one])
-                    part = label[a:b]
-                    part[np.isin(part, label[others])] = label[i]
-        keys = rows["c"].to_numpy(np.int64)
-        return pd.DataFrame({"a": keys[np.concatenate(left)], "b": keys[np.concatenate(right)]})
+            of_region(keys[a:b], size[a:b], data[a:b], left, right)
+        return pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right)})
 
     return links
 
@@ -217,11 +230,11 @@ def _signed_regions(signed: DataFrame, percent: int) -> tuple[DataFrame, DataFra
     radius = 1 - percent / 100
     bucket = F.pmod(F.xxhash64("c", "region"), F.lit(CANDIDATES))
     first = signed.groupBy("region", bucket.alias("k")).agg(F.min_by(F.struct("c", "size", "data"), F.xxhash64("c")).alias("p"))
-    slices = signed.groupBy("region").agg(F.ceil(F.count("*") / SIGNED_BATCH).cast("long").alias("slices"))
+    slices = signed.groupBy("region").agg(F.ceil(F.sum(F.length("data")) / SIGNED_BYTES).cast("long").alias("slices"))
 
     def pick(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("k")
-        counts, size = np.frombuffer(b"".join(rows["data"]), np.uint32).reshape(len(rows), CLASSES), rows["size"].to_numpy(np.int64)
+        counts, size = np.stack([folded(x, CLASSES) for x in rows["data"]]), rows["size"].to_numpy(np.int64)
         kept = _separated([], list(range(len(rows))), lambda i, j: float(_signed_distance(counts[[i]], size[[i]], counts[j], size[j])[0]), 2 * radius)
         return rows.iloc[kept][["region", "c", "size", "data"]]
 
@@ -234,8 +247,8 @@ def _signed_regions(signed: DataFrame, percent: int) -> tuple[DataFrame, DataFra
         out = {"region": [], "a": [], "b": [], "size": [], "data": []}
         if len(members) and len(pivots):
             pivots = pivots.sort_values("c")
-            counts, size = np.frombuffer(b"".join(members["data"]), np.uint32).reshape(len(members), CLASSES), members["size"].to_numpy(np.int64)
-            d = np.stack([_signed_distance(counts, size, np.frombuffer(p.data, np.uint32), p.size_) for p in pivots.rename(columns={"size": "size_"}).itertuples()], axis=1)
+            counts, size = np.stack([folded(x, CLASSES) for x in members["data"]]), members["size"].to_numpy(np.int64)
+            d = np.stack([_signed_distance(counts, size, folded(p.data, CLASSES), p.size_) for p in pivots.rename(columns={"size": "size_"}).itertuples()], axis=1)
             home, replica = _homes(d, percent)
             replica[home < d.shape[1], home[home < d.shape[1]]] = True
             i, k = np.nonzero(replica)
@@ -248,8 +261,7 @@ def _signed_regions(signed: DataFrame, percent: int) -> tuple[DataFrame, DataFra
     schema = "region long, a long, b long, size long, data binary"
     told = written(rows.groupBy("region", "slice").cogroup(sent.groupBy("of", "slice")).applyInPandas(near, schema), "signed-told")
     # what is left: pairs of blocks, of one class of sizes or of two that follow each other
-    step = float(np.log(100 / percent * 1.0001)) if percent < 100 else 1e-4
-    left = told.where("region IS NOT NULL").select("region", F.col("a").alias("c"), "size", "data", F.floor(F.log(F.col("size").cast("double")) / step).alias("of"))
+    left = told.where("region IS NOT NULL").select("region", F.col("a").alias("c"), "size", "data", _size_class(F.col("size"), percent).alias("of"))
     blocks = written(left.groupBy("region", "of").agg(F.ceil(F.count("*") * 2 / SIGNED_MEMBERS).cast("long").alias("blocks")), "signed-blocks")
     left = left.join(blocks, ["region", "of"]).withColumn("block", F.pmod(F.xxhash64("c", F.lit(2)), "blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1))
@@ -263,27 +275,25 @@ def _signed_regions(signed: DataFrame, percent: int) -> tuple[DataFrame, DataFra
 
 
 def _distinct_regions(entered: DataFrame) -> DataFrame:
-    """region, c, size, data, m (members) of (region, c, size, data): of regions with the same members one."""
+    """region, c, size, m (members) of (region, c, size): of regions with the same members one."""
     seal = entered.groupBy("region").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("c")).alias("x"), F.sum(F.shiftrightunsigned(F.xxhash64("c", F.lit(1)), 24)).alias("s"))
     one = seal.where("m > 1").groupBy("m", "x", "s").agg(F.min("region").alias("region")).select("region", "m")
     return written(entered.join(one, "region").select("region", "c", "size", "m"), "distinct-regions")
 
 
-def _candidate_groups(entered: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """region, c, size: each member in the one group that holds all members it may link to, directly or through others."""
-    kept = _distinct_regions(entered)
-    signed = kept.join(classes.select("c", "data"), "c")
-    within = signed.where(F.col("m") <= SIGNED_MEMBERS).select("region", "c", "size", "data")
+def _candidate_groups(kept: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """region, c: each member of distinct regions in the one group that holds all members it may link to, directly or through others; given signatures (c, data)."""
+    signed = written(kept.join(signatures.select("c", "data"), "c").select("region", "c", "size", "data", "m"), "signed")
+    within = signed.where(F.col("m") <= SIGNED_MEMBERS).drop("m")
     pairs = []
     if not kept.where(F.col("m") > SIGNED_MEMBERS).isEmpty():
-        told, blocks = _signed_regions(written(signed.where(F.col("m") > SIGNED_MEMBERS).select("region", "c", "size", "data"), "signed-large"), percent)
+        told, blocks = _signed_regions(written(signed.where(F.col("m") > SIGNED_MEMBERS).drop("m"), "signed-large"), percent)
         within, pairs = within.union(blocks), [told]
-    batches = max(1, -(-kept.count() // SIGNED_BATCH))
+    batches = max(1, -(-(signed.agg(F.sum(F.length("data"))).first()[0] or 0) // SIGNED_BYTES))
     pairs = [*pairs, within.groupBy(F.pmod(F.xxhash64("region"), F.lit(batches))).applyInPandas(_plausible_links(percent), "a long, b long")]
-    groups = connected_components(functools.reduce(DataFrame.union, pairs)).select(F.col("node").alias("c"), F.col("root").alias("region"))
-    out = written(kept.select("c", "size").distinct().join(groups, "c").select("region", "c", "size"), "groups")
-    drop_written(kept)
-    return out
+    groups = written(connected_components(functools.reduce(DataFrame.union, pairs)).select(F.col("node").alias("c"), F.col("root").alias("region")), "groups")
+    drop_written(signed)
+    return groups
 
 
 # --- the join of groups by pivot documents ------------------------------------------------------------------
@@ -500,6 +510,58 @@ def join_regions(members: DataFrame, percent: int, limit: int = REGION_SHINGLES,
         drop_written(old)
 
 
+#: A mask of classes of sizes, turned by one class either way.
+_TURNED = f"((shiftleft(mask, 1) | shiftrightunsigned(mask, {SIZE_BITS - 1})) & {(1 << SIZE_BITS) - 1})"
+_TURNED_BACK = f"((shiftrightunsigned(mask, 1) | shiftleft(mask, {SIZE_BITS - 1})) & {(1 << SIZE_BITS) - 1})"
+
+
+#: A set stays in a region where another is of its class of sizes, or of one beside it.
+_NEAR_SIZE = f"n > bit_count(mask) OR (bit & {_TURNED}) <> 0 OR (bit & {_TURNED_BACK}) <> 0"
+
+
+def _well_shared(entered: DataFrame, percent: int) -> DataFrame:
+    """entered (region, c, size) without the sets that are in fewer regions than any partner of theirs would share with them, and without regions that this leaves to one set."""
+    # a partner may be smaller, and a small set's window holds fewer shingles
+    partner = F.ceil(F.col("size") * percent / 100)
+    need = F.least(F.lit(LEAST_SHARED), F.ceil(partner * percent / 100))
+    for _ in range(SHARED_ROUNDS):
+        old = entered
+        held = old.groupBy("c", "size").agg(F.count("*").alias("regions")).where(F.col("regions") >= need).select("c")
+        left = old.join(held, "c", "left_semi").withColumn("bit", _size_bit(F.col("size"), percent))
+        near = left.groupBy("region").agg(F.bit_or("bit").alias("mask"), F.count("*").alias("n")).where("n > 1")
+        entered = written(left.join(near, "region").where(_NEAR_SIZE).select("region", "c", "size"), "entered")
+        drop_written(old)
+    return entered
+
+
+def _size_class(size: Column, percent: int) -> Column:
+    """Sets whose sizes allow a link are of one class, or of two that follow each other."""
+    step = float(np.log(100 / percent * 1.0001)) if percent < 100 else 1e-4
+    return F.floor(F.log(size.cast("double")) / step)
+
+
+def _size_bit(size: Column, percent: int) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(_size_class(size, percent), F.lit(SIZE_BITS)).cast("int"))
+
+
+def _of_classes(docs: DataFrame, classes: DataFrame, n: int, make: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """c, size, data: what ``make`` makes of the set of each class, from the rows of docs (doc_id, text) with the class's id."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    wanted = written(classes.select("c", "size", "a", "b", F.col("class_id").alias("doc_id")), "wanted")
+    sought = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted.select(bit.alias("i")).distinct(), FILTER_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(in_bitmap(sought.value, batch.column("i").to_numpy())))
+            out = [(*set_key(x), make(x)) for x in shingle_sets(_texts(batch), n)]
+            columns = [batch.column("doc_id"), *(pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary())))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "a", "b", "data"])
+
+    made = docs.withColumn("i", bit).mapInArrow(run, "doc_id long, a long, b long, data binary")
+    # rows of one id and one text: any of them
+    return made.join(wanted, ["doc_id", "a", "b"]).groupBy("c", "size").agg(F.first("data").alias("data"))
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int = REGION_SHINGLES, most: int = REGION_MEMBERS) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id, n_links for each row of docs (doc_id, text).
 
@@ -510,12 +572,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
     spark = docs.sparkSession
     described = written(describe(docs, n), "described")
     rows = described.where("kind = 0").select("doc_id", "size", "a", "b")
-    signed = described.where("kind = 0 AND size > 0").groupBy("a", "b", "size").agg(F.min("doc_id").alias("class_id"), F.first("data").alias("data"))
-    classes = written(signed.withColumn("c", F.monotonically_increasing_id()), "classes")
+    classes = rows.where("size > 0").groupBy("a", "b", "size").agg(F.min("doc_id").alias("class_id"))
+    classes = written(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
     # a set that only rows without an id have could not name a component: it takes no part
-    entered = written(windows(docs.where("doc_id IS NOT NULL"), n, percent, sketch_of(described)), "windows")
-    # regions that two sets enter at least, or copies in several tasks
-    shared = written(entered.groupBy("pivot").agg(F.count("*").alias("sets")).where("sets > 1").select("pivot"), "shared")
+    read = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    entered = written(windows(read, n, percent, sketch_of(described)), "windows")
+    entered = entered.withColumn("bit", _size_bit(F.col("size"), percent))
+    # regions that two sets of near sizes enter at least, or copies in several tasks
+    shared = entered.groupBy("pivot").agg(F.bit_or("bit").alias("mask"), F.count("*").alias("n"))
+    shared = written(shared.where(f"n > 1 AND (n > bit_count(mask) OR (mask & {_TURNED}) <> 0)"), "shared")
     low = f"& {(1 << FILTER_BITS) - 1}"
     marked = spark.sparkContext.broadcast(bitmap_of(shared.select(F.expr(f"pivot {low}").alias("i")).distinct(), FILTER_BITS))
 
@@ -523,29 +588,20 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
         for batch in batches:
             yield batch.filter(pa.array(in_bitmap(marked.value, low_bits(batch.column("pivot").to_numpy().view(np.uint64), FILTER_BITS))))
 
-    several = entered.mapInArrow(pass_shared, entered.schema).join(shared, "pivot", "left_semi").distinct()
+    several = entered.mapInArrow(pass_shared, entered.schema).join(shared, "pivot").where(_NEAR_SIZE).select("pivot", "a", "b", "size").distinct()
     several = written(several.join(classes.select("a", "b", "size", "c"), ["a", "b", "size"]).select(F.col("pivot").alias("region"), "c", "size"), "entered")
     drop_written(entered)
     drop_written(shared)
-    regions = _candidate_groups(several, classes, percent)
+    several = _well_shared(several, percent)
+    kept = _distinct_regions(several)
     drop_written(several)
-    wanted = written(regions.join(classes, ["c", "size"]).select("region", "c", "size", "a", "b", F.col("class_id").alias("doc_id")), "wanted")
-    drop_written(regions)
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    sought = spark.sparkContext.broadcast(bitmap_of(wanted.select(bit.alias("i")).distinct(), FILTER_BITS))
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pa.array(in_bitmap(sought.value, batch.column("i").to_numpy())))
-            out = [(*set_key(x), x.tobytes()) for x in shingle_sets(_texts(batch), n)]
-            columns = [batch.column("doc_id"), *(pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary())))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "a", "b", "delta"])
-
-    read = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("i", bit)
-    # rows of one id and one text: any of them
-    given = read.mapInArrow(sets, "doc_id long, a long, b long, delta binary").join(wanted, ["doc_id", "a", "b"]).groupBy("region", "c", "size").agg(F.first("delta").alias("delta"))
-    members = written(given.select("region", "c", "size", "delta", F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("was")), "members")
-    drop_written(wanted)
+    signatures = _of_classes(read, classes.join(kept, "c", "left_semi"), n, lambda x: signature(x).tobytes())
+    groups = _candidate_groups(kept, signatures, percent)
+    drop_written(kept)
+    sets = _of_classes(read, classes.join(groups, "c", "left_semi"), n, lambda x: x.tobytes())
+    members = groups.join(sets, "c").select("region", "c", "size", F.col("data").alias("delta"), F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("was"))
+    members = written(members, "members")
+    drop_written(groups)
     found = written(join_regions(members, percent, limit, most), "links")
     counts = found.where("n IS NOT NULL").groupBy(F.col("a").alias("c")).agg(F.sum("n").alias("n_links"))
     roots = connected_components(found.where("b IS NOT NULL").select("a", "b")).select(F.col("node").alias("c"), "root")

@@ -32,7 +32,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), n=3, percent=90).select("doc_id", "n_shingles", "component_id")
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), n=3, percent=90).select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
