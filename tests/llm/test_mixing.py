@@ -55,10 +55,16 @@ def test_small_fan_in_makes_a_tree(spark, small):
 
 
 def test_rounding_is_unbiased(spark):
-    """Over many seeds a document's mean copies come near its ratio."""
-    df = spark.createDataFrame([(i, "w " * (1 + i % 5), "a") for i in range(12)] + [(100, "w " * 24, "b")], "doc_id long, text string, source string")
-    got = [mix(df, weights=(1, 1), seed=s).where("source = 'a'").agg(F.sum(F.col("size") * F.col("copies"))).first()[0] for s in range(3)]
-    assert all(abs(x - 29.5) <= 5 for x in got)
+    """400 sources are 400 draws: each document's mean copies come near its ratio, and so do words."""
+    rows = [(i, "w " * (1 + i % 5), f"s{s:03d}") for s in range(400) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    weights = [1, 2] * 200
+    got = mix(df, weights=weights, trials=1, fan_in=5).groupBy((F.substring("source", 2, 3).cast("int") % 2).alias("heavy"), "doc_id").agg(F.avg("copies").alias("mean"), F.avg(F.col("target") / F.col("source_size")).alias("ratio"), F.count("*").alias("n")).collect()
+    assert len(got) == 24 and {r["n"] for r in got} == {200}
+    # a standard error of 0.035 at most for each mean, and of 0.007 over all of a weight
+    assert all(abs(r["mean"] - r["ratio"]) < 0.13 for r in got)
+    for heavy in (0, 1):
+        assert abs(sum(r["mean"] - r["ratio"] for r in got if r["heavy"] == heavy) / 12) < 0.01
 
 
 def test_documents_come_as_often_as_taken(spark, odd, empty):
