@@ -1,6 +1,6 @@
 """Language identification by a linear-chain conditional random field over words.
 
-Each word of a text is labelled by forward-backward from affix, n-gram and lexicon features of the word and
+Each word of a text (a run of letters, of a longer run each 60) is labelled by forward-backward from affix, n-gram and lexicon features of the word and
 learned transitions between successive words, so a text that switches language gets several labels. A
 document's language is the label with the highest sum of word posteriors, its score their mean.
 
@@ -9,13 +9,15 @@ labels by a hash of ids). Training sequences join passages of different document
 transitions learn how rarely a language changes. Whole texts are labelled: chains are cut into blocks only
 to be computed side by side, with exact messages passed between blocks.
 
-Defined cases: a null text, and one without letters, is ``und`` with score 0; without any labelled row
+Defined cases: a null text, and one without letters (Unicode's L), is ``und`` with score 0; without any labelled row
 everything is ``und``; repeated rows and null ids come back as they are; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -30,25 +32,30 @@ from pyspark.sql import functions as F
 from .common import about, held, slices
 
 UNKNOWN = "und"
-#: Labelled rows that the model is fitted on, at most.
-TRAIN_ROWS = 1200
-#: Words of them that training reads, at most: passages are dealt at random from whole texts.
-TRAIN_WORDS = 400_000
+#: Labelled rows that the model is fitted on, at most; it reads their whole texts.
+TRAIN_ROWS = 900
+#: Letters of a word at most; longer runs of letters are several words.
+WORD_LETTERS = 60
 BITS = 18
 LEXICON = 300
 BLOCK = 64
 CACHE_WORDS = 300_000
 
-_WORD = re.compile(r"[^\W\d_]+")
+
+@functools.cache
+def _word() -> re.Pattern[str]:
+    """Letters: what \\w takes besides them are digits, the underscore and other numerals, such as fractions and Roman ones."""
+    numerals = "".join(map(re.escape, filter(lambda c: c.isalnum() and not c.isalpha(), map(chr, range(sys.maxunicode + 1)))))
+    return re.compile(rf"[^\W\d_{numerals}]{{1,{WORD_LETTERS}}}")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return _word().findall(text.lower())
 
 
 def features(word: str, lexicon: dict[str, list[int]]) -> list[int]:
     """Hashed features of a lower-case word."""
-    w = f"<{word[:60]}>"
+    w = f"<{word}>"
     names = [f"w{word}", *(f"p{w[:n]}" for n in (2, 3, 4, 5)), *(f"s{w[-n:]}" for n in (2, 3, 4, 5))]
     for n in (1, 2, 3):
         names.extend(f"n{w[i : i + n]}" for i in range(len(w) - n + 1))
@@ -99,8 +106,6 @@ def fit(texts: list[str], langs: list[str], seed: int = 7, epochs: int = 3, rate
     rng.shuffle(passages)
     words, truth = [], []
     for part, k in passages:
-        if len(words) >= TRAIN_WORDS:
-            break
         words += part
         truth += [k] * len(part)
     index: dict[str, int] = {}

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strataquery.llm.langid import Model, fit, held_out, posterior_sums, predict, train
+from strataquery.llm.langid import Model, fit, held_out, posterior_sums, predict, train, words_of
 from tests.llm.conftest import texts_of
 
 
@@ -35,6 +35,17 @@ def test_odd_documents(spark, odd, model):
     assert sorted(((r["doc_id"], r["text"]) for r in rows), key=repr) == sorted(texts_of(odd), key=repr)
 
 
+def test_numerals_are_no_letters(spark, model):
+    texts = ["\u00b2 \u00bd \u2460 \u0663", "\u2167 \u3289 12", "1a", "\u4e00\u4e8c"]
+    got = [r["lang_pred"] for r in predict(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), model).orderBy("doc_id").collect()]
+    assert got[:2] == ["und", "und"]
+    assert "und" not in got[2:]
+
+
+def test_long_runs_of_letters_are_several_words():
+    assert [len(w) for w in words_of("a" * 130 + " b\u00b2c")] == [60, 60, 10, 1, 1]
+
+
 def test_without_labels_everything_is_unknown(spark, odd, empty, model):
     blank = odd.withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in predict(blank, train(blank)).select("lang_pred").collect()} == {"und"}
