@@ -26,8 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (tests) a new one."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset in local mode (tests) a new one."""
     if not (at := spark.conf.get("spark.checkpoint.dir", None)):
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = f"file://{tempfile.mkdtemp(prefix='checkpoints-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
