@@ -10,9 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: How inequalities are shown.
-INEQUALITIES = {"ca": "~", "lt": "<", "gt": ">", "le": "≤", "ge": "≥"}
+INEQUALITIES = {"ca": "ca. ", "lt": "<", "gt": ">", "le": "≤", "ge": "≥"}
 #: Unit words that may stand beside a number in a value.
-UNIT_WORDS = ("c", "k", "pa", "kpa", "mpa", "gpa", "nm", "mm", "cm", "g", "mg", "kg", "mol", "wt", "vol", "min", "h", "s", "hz", "khz", "mhz", "ghz", "ev", "v", "w", "j", "kj", "kv", "ppm", "x", "e")
+UNIT_WORDS = (
+    "c", "k", "pa", "kpa", "mpa", "gpa", "hz", "khz", "mhz", "ghz", "s", "sec", "min", "h", "m", "mm", "cm", "nm", "um", "kg", "g", "mg", "mol", "mmol",
+    "l", "ml", "dl", "j", "kj", "w", "kw", "wt", "vol", "ppm", "ppb", "x", "times", "e", "d",
+)
+#: LaTeX commands that only set type or stand beside numbers.
+LATEX_FORMAT = ("pm", "mp", "circ", "degree", "times", "cdot", "sim", "approx", "leq", "geq", "ll", "gg", "mathrm", "mathbf", "mathit", "text", "rm", "it", "bf", "left", "right", ",", ";", ":", "!", r"\s")
 
 
 def heading_key(text: Column) -> Column:
@@ -54,16 +59,21 @@ def looks_like_identifier(text: Column) -> Column:
 
 
 def is_value_like(text: Column, words: tuple[str, ...] = UNIT_WORDS) -> Column:
-    """A number with unit words only: no ratio a:b, no identifier, no other words."""
-    named = F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
-    allowed = F.array(*[F.lit(w) for w in words])
-    return has_number(text) & ~text.rlike(r"[0-9]\s*:\s*[0-9]") & ~looks_like_identifier(text) & F.forall(named, lambda w: F.array_contains(allowed, w))
+    """A number with unit words only: no ratio of numbers, no identifier, no other words, no variable with a subscript or command."""
+    bare = F.regexp_replace(text, r"(?i)\\(?:" + "|".join(LATEX_FORMAT) + ")", " ")
+    named = F.regexp_extract_all(F.lower(bare), F.lit("[a-z]+"), F.lit(0))
+    among = lambda allowed: F.forall(named, lambda w: w.isin(*allowed))
+    ratio = F.contains(text, F.lit(":")) & (F.size(F.regexp_extract_all(text, F.lit(r"[0-9]+(?:\.[0-9]+)?"), F.lit(0))) >= 2)
+    formula = F.contains(text, F.lit("_")) | F.contains(text, F.lit("\\"))
+    return has_number(text) & ~ratio & ~looks_like_identifier(F.replace(text, F.lit(" "), F.lit(""))) & among(words) & (~formula | among(("times", "e", "d")))
 
 
 def shown_value(inequality: Column, low: Column, high: Column) -> Column:
-    """An inequality sign and one number, or two with a dash."""
-    sign = F.coalesce(F.create_map(*[F.lit(x) for kv in INEQUALITIES.items() for x in kv])[inequality], F.lit(""))
-    return F.when(low.isNull() & high.isNull(), F.lit("")).when(high.isNull() | (low == high), F.concat(sign, low)).when(low.isNull(), F.concat(sign, high)).otherwise(F.concat(sign, low, F.lit("–"), high))
+    """An inequality sign and one number, or two with a dash; a dash alone without numbers. A sign that has no other form is shown as it is."""
+    known = F.create_map(*[F.lit(x) for kv in INEQUALITIES.items() for x in kv])
+    sign = F.coalesce(known[F.lower(inequality)], inequality, F.lit(""))
+    one = F.concat(sign, F.coalesce(low, high))
+    return F.when(low.isNull() & high.isNull(), F.lit("-")).when(low != high, F.concat(sign, low, F.lit("–"), high)).otherwise(one)
 
 
 def display_id(name: Column, prefix: str = "PL") -> Column:

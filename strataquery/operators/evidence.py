@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataquery.functions.text import evidence_key, tokens
+from strataquery.sources.shared import cut
 
 
 def word_coverage(needle: Column, haystack: Column) -> Column:
@@ -32,32 +33,44 @@ def match_ladder(sentence: Column, source: Column) -> Column:
 def match_all(sentences: DataFrame, blocks: DataFrame) -> DataFrame:
     """sentence_id, block_id, status for pairs that are not unresolved.
 
-    Word counts are joined on the word and summed for each pair, combined before the shuffle; sentences are
-    the stated query set, and each word of theirs meets the blocks that hold it. A contained sentence can
-    miss its first and last word there, so the ladder is climbed by pairs with 90 % of the words less two.
+    A block that holds 90 % of a sentence's words less two (a contained sentence can miss its first and last
+    word there) holds one of its rarest tenth and two more: sentences (the stated query set) meet blocks on these
+    words alone, and the ladder is climbed by the pairs that meet. Sentences of three words or fewer, or without
+    Latin words, are looked for as they are, block by block.
     """
-    asked = sentences.select("sentence_id", F.explode(tokens(evidence_key(F.col("sentence")))).alias("word")).groupBy("sentence_id", "word").agg(F.count("*").alias("n"))
-    held = blocks.select("block_id", F.explode(tokens(evidence_key(F.col("text")))).alias("word")).groupBy("block_id", "word").agg(F.count("*").alias("m"))
-    sizes = asked.groupBy("sentence_id").agg(F.sum("n").alias("words"))
-    near = asked.join(held, "word").groupBy("sentence_id", "block_id").agg(F.sum(F.least("n", "m")).alias("hits")).join(sizes, "sentence_id").where("hits >= 0.9 * words - 2")
-    pairs = near.select("sentence_id", "block_id").join(sentences, "sentence_id").join(blocks, "block_id")
-    return pairs.select("sentence_id", "block_id", match_ladder(F.col("sentence"), F.col("text")).alias("status")).where("status <> 'unresolved'")
+    keyed = cut(sentences.select("sentence_id", "sentence", evidence_key(F.col("sentence")).alias("s"))).withColumn("words", tokens(F.col("s")))
+    asked = keyed.select("sentence_id", F.size("words").alias("n"), F.explode("words").alias("word")).groupBy("sentence_id", "n", "word").agg(F.count("*").alias("times"))
+    held = blocks.select("block_id", F.explode(F.array_distinct(tokens(evidence_key(F.col("text"))))).alias("word"))
+    wanted = cut(asked.select("word").distinct())
+    held = cut(held.join(wanted, "word"))
+    often = held.groupBy("word").agg(F.count("*").alias("df"))
+    rare = F.sum("times").over(Window.partitionBy("sentence_id").orderBy(F.coalesce("df", F.lit(0)), "word").rowsBetween(Window.unboundedPreceding, -1))
+    probes = asked.join(often, "word", "left").withColumn("before", F.coalesce(rare, F.lit(0))).where(F.col("before") <= F.floor(0.1 * F.col("n")) + 2)
+    near = probes.select("sentence_id", "word").join(held, "word").select("sentence_id", "block_id").distinct()
+    short = keyed.where(F.size("words") <= 3).where("s <> ''").select("sentence_id", "sentence", "s")
+    found = near.join(sentences, "sentence_id").join(blocks, "block_id").select("sentence_id", "block_id", "sentence", "text")
+    plain = short.join(blocks.select("block_id", "text", evidence_key(F.col("text")).alias("b")), F.expr("contains(b, s)")).select("sentence_id", "block_id", "sentence", "text")
+    pairs = found.union(plain)
+    return pairs.select("sentence_id", "block_id", match_ladder(F.col("sentence"), F.col("text")).alias("status")).where("status <> 'unresolved'").distinct()
 
 
 def recover_block(sentences: DataFrame, blocks: DataFrame, probe_words: int = 6) -> DataFrame:
     """sentence_id, matches, block_id (where one block holds the sentence) and status.
 
     Sentences (sentence_id, sentence) are normalised, and so are blocks (block_id, text). Candidates come from
-    an equality on the hash of the sentence's first words with the runs of as many words of a block, and the
-    containment is tested on them: no sentence meets every block.
+    an equality on the hash of the sentence's inner words (its first and last may be parts of longer words
+    there), at most ``probe_words`` of them, with the runs of as many words of a block, and the containment is
+    tested on them. Only sentences of two words or fewer, which have no inner word, are looked for block by block.
     """
-    words = lambda c: F.split(evidence_key(F.col(c)), " ")
-    asked = sentences.select("sentence_id", evidence_key(F.col("sentence")).alias("s"), F.slice(words("sentence"), 2, probe_words).alias("probe")).where("s <> ''")
-    long_enough = F.size("probe") == probe_words
-    asked = asked.withColumn("probe", F.when(long_enough, F.xxhash64("probe")))
-    texts = blocks.select("block_id", evidence_key(F.col("text")).alias("b"), words("text").alias("w"))
-    runs = texts.where(F.size("w") >= probe_words).select("block_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - probe_words + 1), lambda i: F.xxhash64(F.slice("w", i, probe_words))))).alias("probe"))
-    probed = asked.where("probe IS NOT NULL").join(runs, "probe").select("sentence_id", "s", "block_id").distinct()
+    words = lambda c: F.split(F.col(c), " ")
+    asked = sentences.select("sentence_id", evidence_key(F.col("sentence")).alias("s")).where("s <> ''")
+    inner = F.slice(words("s"), 2, F.least(F.lit(probe_words), F.greatest(F.size(words("s")) - 2, F.lit(0))))
+    asked = cut(asked.withColumn("n", F.size(inner)).withColumn("probe", F.when(F.col("n") > 0, F.xxhash64("n", inner))))
+    lengths = [r["n"] for r in asked.where("n > 0").select("n").distinct().collect()]  # probe_words numbers at most
+    texts = blocks.select("block_id", evidence_key(F.col("text")).alias("b")).withColumn("w", words("b"))
+    run = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.xxhash64(F.lit(n), F.slice("w", i, n))))
+    runs = F.array_distinct(F.flatten(F.array_compact(F.array(*[run(n) for n in lengths])))) if lengths else F.array().cast("array<bigint>")
+    probed = asked.where("probe IS NOT NULL").join(texts.select("block_id", F.explode(runs).alias("probe")), "probe").select("sentence_id", "s", "block_id").distinct()
     short = asked.where("probe IS NULL").select("sentence_id", "s").join(texts.select("block_id", "b"), F.expr("contains(b, s)")).select("sentence_id", "block_id")
     held = probed.join(texts.select("block_id", "b"), "block_id").where(F.expr("contains(b, s)")).select("sentence_id", "block_id").union(short)
     per = held.distinct().groupBy("sentence_id").agg(F.count("*").alias("matches"), F.min("block_id").alias("first"))

@@ -12,9 +12,43 @@ from strataquery.sources.shared import cut
 
 
 def nodes(parts: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
-    """id, type, label of (type, rows, key, label); ids are type:key, first type wins."""
+    """id, type, label of (type, rows, key, label); ids are type:key, each once: of several rows the least label counts."""
     made = [df.select(F.concat_ws(":", F.lit(kind), F.col(key).cast("string")).alias("id"), F.lit(kind).alias("type"), F.col(label).cast("string").alias("label")) for kind, df, key, label in parts]
-    return reduce(DataFrame.unionByName, made)
+    return reduce(DataFrame.unionByName, made).groupBy("id", "type").agg(F.min("label").alias("label"))
+
+
+def first_nodes(parts: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """id, type, label of (type, rows, key, label), where keys are shared by all types: the first type in the order given wins."""
+    made = [df.select(F.col(key).cast("string").alias("id"), F.struct(F.lit(i).alias("order"), F.col(label).cast("string").alias("label"), F.lit(kind).alias("type")).alias("row")) for i, (kind, df, key, label) in enumerate(parts)]
+    return reduce(DataFrame.unionByName, made).groupBy("id").agg(F.min("row").alias("row")).select("id", "row.type", "row.label")
+
+
+def core_subgraph(node_rows: DataFrame, edge_rows: DataFrame, core: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes whose id is in core (id), and the edges between two of them."""
+    kept = node_rows.join(core.select("id").distinct(), "id", "left_semi")
+    ends = kept.select("id")
+    inside = edge_rows.join(ends.withColumnRenamed("id", "a"), "a", "left_semi").join(ends.withColumnRenamed("id", "b"), "b", "left_semi")
+    return kept, inside
+
+
+def collapsed_edges(edge_rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Edges (a, b, kind) with the members of groups (id, group) replaced by their group, without self-loops and repeats."""
+    out = edge_rows
+    for end in ("a", "b"):
+        named = groups.select(F.col("id").alias(end), F.col("group").alias("__group"))
+        out = out.join(named, end, "left").withColumn(end, F.coalesce("__group", end)).drop("__group")
+    return out.where("a <> b").select("a", "b", "kind").distinct()
+
+
+def star_edges(rows: DataFrame, group: Sequence[str], key: str, order: str) -> DataFrame:
+    """a, b: the first member of each group linked to every later one."""
+    first = rows.groupBy(*group).agg(F.min_by(key, F.struct(order, key)).alias("a"))
+    return rows.join(first, list(group)).select(*group, "a", F.col(key).alias("b")).where("a <> b").distinct()
+
+
+def incident(edge_rows: DataFrame, node: str) -> DataFrame:
+    """Edges of one node, with the node at the other end."""
+    return edge_rows.where((F.col("a") == node) | (F.col("b") == node)).withColumn("other", F.when(F.col("a") == node, F.col("b")).otherwise(F.col("a")))
 
 
 def edges(parts: Sequence[tuple[str, DataFrame, str, str, str, str]]) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterator, Mapping
 from html.parser import HTMLParser
@@ -18,29 +17,30 @@ CELLS = "block_id string, cell_id string, row_index long, column_index long, row
 
 
 class _Grid(HTMLParser):
-    """Places cells in the first free slot of their row, and marks the slots that spans take."""
+    """Places cells in the first free slot of their row. Spans are kept as column intervals with the row before which they end, whatever their size."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.cells: list[list] = []
         self.row = -1
-        self.taken: set[tuple[int, int]] = set()
+        self.column = 0
+        self.spans: list[tuple[int, int, int]] = []
         self.open: list | None = None
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "tr":
             self.close_cell()
-            self.row += 1
+            self.row, self.column = self.row + 1, 0
+            self.spans = [x for x in self.spans if x[2] > self.row]
         elif tag in ("td", "th"):
             self.close_cell()
             self.row = max(self.row, 0)
-            spans = {k: int(v) if (v or "").strip().isdigit() and int(v) > 0 else 1 for k, v in attrs if k in ("rowspan", "colspan")}
-            column = 0
-            while (self.row, column) in self.taken:
-                column += 1
-            rows, columns = spans.get("rowspan", 1), spans.get("colspan", 1)
-            self.taken |= {(self.row + i, column + j) for i in range(rows) for j in range(columns)}
-            self.open = [self.row, column, rows, columns, [], tag == "th"]
+            rows, columns = (_span(dict(attrs).get(k)) for k in ("rowspan", "colspan"))
+            while ends := [end for start, end, last in self.spans if last > self.row and start <= self.column < end]:
+                self.column = max(ends)
+            self.open = [self.row, self.column, rows, columns, [], tag == "th"]
+            self.spans.append((self.column, self.column + columns, self.row + rows))
+            self.column += columns
         elif tag == "br" and self.open:
             self.open[4].append(" ")
 
@@ -59,21 +59,29 @@ class _Grid(HTMLParser):
             self.open = None
 
 
+def _span(value: str | None) -> int:
+    """A span of 1 at least, and no more than a long holds; what is no number in ASCII digits is 1."""
+    given = re.fullmatch(r"\s*\+?([0-9]{1,9})\s*", value or "")
+    return max(1, int(given[1])) if given else 1
+
+
 def _markdown(body: str) -> list[list]:
-    lines = [x.strip() for x in body.split("\n") if x.strip().startswith("|")]
-    rows = [[html.unescape(c.strip()) for c in x.strip("|").split("|")] for x in lines if not re.fullmatch(r"\|?(?:\s*:?-+:?\s*\|)*\s*:?-+:?\s*\|?", x)]
+    """Lines with a bar, without those of three dashes or more in each cell; the first is the header."""
+    rows = [[c.strip() for c in x.strip().strip("|").split("|")] for x in body.splitlines() if "|" in x]
+    rows = [row for row in rows if not all(re.fullmatch(":?-{3,}:?", c.replace(" ", "")) for c in row)]
     return [[r, c, 1, 1, text, r == 0] for r, row in enumerate(rows) for c, text in enumerate(row)]
 
 
 def cells_of(body: str) -> list[list]:
-    """Cells of one table body: HTML where it has a table or row tag, else Markdown."""
-    if not re.search(r"(?i)<t(?:able|r|d|h)\b", body):
-        return _markdown(body)
-    grid = _Grid()
-    grid.feed(body)
-    grid.close()
-    grid.close_cell()
-    return grid.cells
+    """Cells of one table body: HTML where a table, row or cell tag gives any, else Markdown."""
+    if re.search(r"(?i)<t(?:able|r|d|h)\b", body):
+        grid = _Grid()
+        grid.feed(body)
+        grid.close()
+        grid.close_cell()
+        if grid.cells:
+            return grid.cells
+    return _markdown(body)
 
 
 def table_cells(tables: DataFrame) -> DataFrame:

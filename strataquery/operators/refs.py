@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataquery.functions.numeric import ratio
+from strataquery.sources.shared import cut
 
 
 def dangling(refs: DataFrame, key: str, known: DataFrame, known_key: str) -> DataFrame:
@@ -38,12 +39,19 @@ def first_seen_ids(rows: DataFrame, key: Column, order: str, prefix: str, digits
     all rows: ranges come from a sort, their totals (one row a partition) are summed before numbering.
     """
     firsts = rows.groupBy(key.alias("key")).agg(F.min(order).alias("first"))
-    placed = firsts.orderBy("first", "key").withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id())
+    # written once, so that the numbers and the totals see the same ranges
+    placed = cut(firsts.orderBy("first", "key").withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()))
     placed = placed.withColumn("own", F.col("place").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+    # a row for each range
     totals = placed.groupBy("part").agg(F.count("*").alias("n"))
-    before = totals.alias("a").join(totals.alias("b"), F.col("b.part") < F.col("a.part"), "left").groupBy(F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
-    number = F.col("before") + F.col("own")
-    return placed.join(before, "part").select("key", "first", F.concat(F.lit(prefix), F.lpad(number.cast("string"), digits, "0")).alias("ref_id"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    return placed.join(before, "part").select("key", "first", numbered_id(prefix, F.col("before") + F.col("own"), digits).alias("ref_id"))
+
+
+def numbered_id(prefix: str, number: Column, digits: int) -> Column:
+    """prefix and a number in as many digits at least; larger numbers keep all of theirs."""
+    return F.concat(F.lit(prefix), F.format_string(f"%0{digits}d", number.cast("long")))
 
 
 def dedup_issues(issues: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -54,18 +62,29 @@ def dedup_issues(issues: DataFrame, keys: Sequence[str], order: str) -> DataFram
 def cascade(tables: Mapping[str, DataFrame], links: Sequence[tuple[str, str, str, str]], rejected: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Rejects rows and whatever refers to them, until nothing changes.
 
-    tables: name to rows; links: (child, its column, parent, its key); rejected: name to rows of a ``key``.
-    Children follow parents in the order of the links, once for each level: the depth of the links bounds the
-    rounds, so the plan is declared whole and no state is collected.
+    tables: name to rows; links: (child, its column, parent, its key) in any order, cycles included; rejected:
+    name to rows of a ``key``. A null reference is none. Rounds are the longest chain of references at most; each
+    is an anti-join a link on what is left, written to cut the lineage.
     """
-    survivors = {n: df.join(rejected[n].select(F.col("key").alias("__key")), F.col(key) == F.col("__key"), "left_anti") if n in rejected and (key := _key_of(n, links)) else df for n, df in tables.items()}
-    for child, column, parent, key in links:
-        survivors[child] = survivors[child].join(survivors[parent].select(F.col(key).alias("__key")), F.col(column) == F.col("__key"), "left_semi")
-    return survivors
-
-
-def _key_of(name: str, links: Sequence[tuple[str, str, str, str]]) -> str | None:
-    return next((key for _, _, parent, key in links if parent == name), None)
+    keys = {parent: key for _, _, parent, key in links}
+    left = {n: df.join(rejected[n].select(F.col("key").alias("__key")), F.col(keys[n]) == F.col("__key"), "left_anti") if n in rejected else df for n, df in tables.items()}
+    counts = {n: df.count() for n, df in left.items()}
+    moved = set(left)
+    while moved:
+        changed = set()
+        for child in {c for c, _, p, _ in links if p in moved}:
+            now = left[child]
+            for _, column, parent, key in (x for x in links if x[0] == child):
+                known = left[parent].select(F.col(key).alias("__key"), F.lit(True).alias("__known")).distinct()
+                now = now.join(known, F.col(column) == F.col("__key"), "left").where(F.col("__known") | F.col(column).isNull()).drop("__key", "__known")
+            now = cut(now)
+            n = now.count()
+            left[child] = now
+            if n != counts[child]:
+                counts[child] = n
+                changed.add(child)
+        moved = changed
+    return left
 
 
 def conservation(tables: Mapping[str, DataFrame], survivors: Mapping[str, DataFrame]) -> DataFrame:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataquery.operators.refs import numbered_id
+
 Repair = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 
@@ -69,19 +71,27 @@ def single_producer(code: str, steps: DataFrame, step: str, outputs: str) -> tup
 
 
 def renumber(df: DataFrame, order: str, prefix: str, digits: int = 3, key: str = "new_id") -> DataFrame:
-    """Ids by position in each document: prefix001, prefix002, ..."""
+    """Ids by position in each document: prefix001, prefix002, ..., and more digits past 999."""
     n = F.row_number().over(Window.partitionBy("document_id").orderBy(order))
-    return df.withColumn(key, F.concat(F.lit(prefix), F.lpad(n.cast("string"), digits, "0")))
+    return df.withColumn(key, numbered_id(prefix, n, digits))
+
+
+def number_after(df: DataFrame, existing: DataFrame, column: str, order: str, prefix: str, digits: int = 3, key: str = "new_id") -> DataFrame:
+    """Ids that go on after the highest number that a document's existing ids of the prefix have."""
+    last = existing.select("document_id", F.regexp_extract(column, f"^{prefix}([0-9]+)$", 1).try_cast("long").alias("n")).groupBy("document_id").agg(F.max("n").alias("__last"))
+    n = F.row_number().over(Window.partitionBy("document_id").orderBy(order)) + F.coalesce("__last", F.lit(0))
+    return df.join(last, "document_id", "left").withColumn(key, numbered_id(prefix, n, digits)).drop("__last")
 
 
 def remap(df: DataFrame, column: str, ids: DataFrame, old: str, new: str) -> DataFrame:
-    """An array of ids under their new names; unknown ones stay."""
-    row = F.monotonically_increasing_id()
-    keyed = df.withColumn("__row", row)
-    flat = keyed.select("__row", "document_id", F.posexplode(column).alias("__at", "__id"))
+    """An array of ids under their new names; unknown ones stay. Each array is remapped once, whatever the rows that hold it."""
+    lists = df.select("document_id", F.col(column).alias("__old")).where("__old IS NOT NULL").distinct()
+    flat = lists.select("document_id", "__old", F.posexplode("__old").alias("__at", "__id"))
     named = flat.join(ids.select("document_id", F.col(old).alias("__id"), F.col(new).alias("__new")), ["document_id", "__id"], "left")
-    back = named.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("__at", F.coalesce("__new", "__id").alias("v")))).alias("__list"))
-    return keyed.join(back, "__row", "left").withColumn(column, F.coalesce(F.transform("__list", lambda x: x["v"]), F.col(column))).drop("__row", "__list")
+    back = named.groupBy("document_id", "__old").agg(F.array_sort(F.collect_list(F.struct("__at", F.coalesce("__new", "__id").alias("v")))).alias("__list"))
+    back = back.select(F.col("document_id").alias("__doc"), "__old", "__list")
+    met = df.join(back, (F.col("document_id") == F.col("__doc")) & (F.col(column) == F.col("__old")), "left")
+    return met.withColumn(column, F.coalesce(F.transform("__list", lambda x: x["v"]), F.col(column))).drop("__doc", "__old", "__list")
 
 
 def inherit_confidence(series: DataFrame, points: DataFrame, cap: float = 0.5) -> tuple[DataFrame, DataFrame]:

@@ -3,33 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataquery.functions import numeric, text
 from strataquery.operators import align, evidence, graph, grid, ordered, refs, runlog
+from strataquery.plans.register import ORACLE_SQL, QUERIES, query
 from strataquery.sources.documents import table
 from strataquery.sources.shared import shared_folder
 from strataquery.streaming.ingest import event_stream, run_available
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable:
-    """Registers a query under its function's name, with the SQL of the same rows."""
-
-    def register(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
 def total(column: str) -> Column:
     """An exact sum of money or quantities, whatever the order of addition."""
     return F.sum(F.col(column).cast("decimal(20,4)")).cast("double")
@@ -91,7 +75,7 @@ def q04_unique_label_binding(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
     WITH k AS (SELECT sha256(text) AS key, min(doc_id) AS first FROM documents GROUP BY 1)
-    SELECT key, first, 'ev' || lpad(CAST(row_number() OVER (ORDER BY first, key) AS VARCHAR), 7, '0') AS ref_id FROM k""")
+    SELECT key, first, 'ev' || printf('%07d', row_number() OVER (ORDER BY first, key)) AS ref_id FROM k""")
 def q05_first_seen_ids(spark: SparkSession, d: str) -> DataFrame:
     return refs.first_seen_ids(table(spark, d, "documents"), F.sha2("text", 256), "doc_id", "ev", 7)
 
@@ -174,7 +158,7 @@ def q15_max_by_tiebreak(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    SELECT doc_id, regexp_replace(lower(substr(text, 1, 400)), '[^0-9a-z]+', '', 'g') AS key, trim(regexp_replace(lower(text), '[^0-9a-z]+', ' ', 'g')) AS name FROM documents""")
+    SELECT doc_id, regexp_replace(lower(text), '[^0-9a-z]+', '', 'g') AS key, trim(regexp_replace(lower(text), '[^0-9a-z]+', ' ', 'g')) AS name FROM documents""")
 def q16_text_normalise(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents")
     return rows.select("doc_id", F.regexp_replace(F.lower("text"), "[^0-9a-z]+", "").alias("key"), text.canonical_name(F.col("text")).alias("name"))
@@ -291,7 +275,7 @@ def q28_projected_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    WITH RECURSIVE e AS (SELECT DISTINCT s_suppkey AS a, (s_suppkey * 7 + 3) % 31 AS b FROM supplier WHERE s_suppkey <= 30),
+    WITH RECURSIVE e AS (SELECT DISTINCT s_suppkey AS a, (s_suppkey * 7 + 3) % 31 AS b FROM supplier),
         r(start, node, path) AS (SELECT a, b, [b] FROM e UNION ALL SELECT start, e.b, list_append(path, e.b) FROM r JOIN e ON r.node = e.a WHERE node <> start AND NOT list_contains(path, e.b)),
         c AS (SELECT DISTINCT start AS node FROM r WHERE node = start)
     SELECT DISTINCT start AS node FROM r WHERE node IN (SELECT node FROM c) UNION SELECT node FROM c""")
@@ -322,7 +306,8 @@ def q31_conservation(spark: SparkSession, d: str) -> DataFrame:
     return refs.conservation(*_salvage(spark, d))
 
 
-@query()
+@query("""
+    SELECT p.p_partkey AS node, b.p_brand AS value FROM part p LEFT JOIN part b ON b.p_partkey = p.p_partkey - ((p.p_partkey - 1) % 16 + 16) % 16""")
 def q32_type_inheritance(spark: SparkSession, d: str) -> DataFrame:
     parts = table(spark, d, "part").select(F.col("p_partkey").alias("node"), F.when(F.col("p_partkey") % 16 == 1, F.col("p_brand")).alias("value"))
     steps = table(spark, d, "part").select(F.col("p_partkey").alias("a"), (F.col("p_partkey") + 1).alias("b"))
@@ -392,28 +377,64 @@ def q39_chunk_budget(spark: SparkSession, d: str) -> DataFrame:
     return ordered.chunk_by_budget(rows, "conv_id", "turn", "n", 2000).select("conv_id", "turn", "chunk")
 
 
-TABLE_BODIES = [
-    ("T1", "<table><tr><th rowspan=2>Sample</th><th colspan=2>Thermal</th></tr><tr><th>Tg (K)</th><th>Tm (K)</th></tr><tr><td>PE-1</td><td>350</td><td>412</td></tr><tr><td>PE-2</td><td>361.5</td><td></td></tr></table>"),
-    ("T2", "| Sample | Mn (kDa) | Time (h) |\n|---|:-:|---|\n| A | 12.5 | 24 |\n| B | 30 &plusmn; 2 | 48 |"),
-    ("T3", "<table><tr><td>Entry</td><td>Yield (%)</td></tr><tr><td>S-1</td><td>88</td></tr></table>"),
-]
 PROPERTIES = {"glass_transition": r"\btg\b", "melting_point": r"\btm\b|melting", "molar_mass": r"\bm[nw]\b", "yield": "yield"}
 
 
-def _cells(spark: SparkSession) -> DataFrame:
-    return grid.table_cells(spark.createDataFrame(TABLE_BODIES, "block_id string, table_body string"))
+def _bodies(spark: SparkSession, d: str) -> DataFrame:
+    """A table body for each order with lines: HTML with spans for even keys, Markdown for odd ones; a row for each line."""
+    row = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+    rows = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    quantity = lambda x: x["l_quantity"].cast("int").cast("string")
+    time = lambda x: F.when(x["l_returnflag"] == "N", "").otherwise(F.concat(x["l_linenumber"].cast("string"), F.lit(" h")))
+    label = lambda x: F.concat(F.lit("PE-"), x["l_partkey"].cast("string"))
+    html = F.array_join(F.transform("rows", lambda x: F.concat(F.lit("<tr><td>"), label(x), F.lit("</td><td>"), quantity(x), F.lit("<br> MPa</td><td>"), time(x), F.lit("</td></tr>"))), "")
+    markdown = F.array_join(F.transform("rows", lambda x: F.concat(F.lit("\n| "), label(x), F.lit(" | "), quantity(x), F.lit(" MPa | "), time(x), F.lit(" |"))), "")
+    head = F.lit("<table><tr><th rowspan=2>Sample</th><th colspan='2'>Thermal</th></tr><tr><th>Tg (MPa)</th><th>Time (h)</th></tr>")
+    body = F.when(F.col("l_orderkey") % 2 == 0, F.concat(head, html, F.lit("</table>"))).otherwise(F.concat(F.lit("| Sample | Tg (MPa) | Time (h) |\n|---|:---:|---|"), markdown))
+    return rows.select(F.col("l_orderkey").cast("string").alias("block_id"), body.alias("table_body"))
 
 
-@query()
+_CELLS = """
+    WITH r AS (SELECT l_orderkey, l_partkey, l_quantity, l_returnflag, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag) - 1 + CASE WHEN l_orderkey % 2 = 0 THEN 2 ELSE 1 END AS y FROM lineitem),
+         h AS (SELECT DISTINCT l_orderkey FROM lineitem),
+         c AS (SELECT l_orderkey, y, unnest([0, 1, 2]) AS x, 1 AS row_span, 1 AS column_span, unnest(['PE-' || l_partkey, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ' MPa', CASE WHEN l_returnflag = 'N' THEN '' ELSE l_linenumber || ' h' END]) AS text, false AS is_header FROM r
+               UNION ALL SELECT l_orderkey, unnest([0, 0, 1, 1]), unnest([0, 1, 1, 2]), unnest([2, 1, 1, 1]), unnest([1, 2, 1, 1]), unnest(['Sample', 'Thermal', 'Tg (MPa)', 'Time (h)']), true FROM h WHERE l_orderkey % 2 = 0
+               UNION ALL SELECT l_orderkey, 0, unnest([0, 1, 2]), 1, 1, unnest(['Sample', 'Tg (MPa)', 'Time (h)']), true FROM h WHERE l_orderkey % 2 = 1),
+         cells AS (SELECT CAST(l_orderkey AS VARCHAR) AS block_id, l_orderkey || printf(':r%04d:c%04d', y, x) AS cell_id, y AS row_index, x AS column_index, row_span, column_span, text, is_header FROM c)"""
+
+
+@query(_CELLS + " SELECT * FROM cells")
 def q40_table_grid(spark: SparkSession, d: str) -> DataFrame:
-    return _cells(spark)
+    return grid.table_cells(_bodies(spark, d))
 
 
-@query()
+_AUDIT = _CELLS + """,
+    n AS (SELECT block_id, cell_id, column_index, column_index = 1 AS wanted, (row_index + CAST(block_id AS BIGINT)) % 3 = 0 AS hit FROM cells WHERE NOT is_header AND regexp_matches(text, '[0-9]'))"""
+
+
+def _classified(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    cells = grid.table_cells(_bodies(spark, d))
+    covered = cells.where((F.col("row_index") + F.col("block_id").cast("long")) % 3 == 0).select("cell_id")
+    return grid.classify(grid.header_context(cells), PROPERTIES, r"\btime\b|temperature"), covered
+
+
+@query(_AUDIT + """
+    SELECT block_id, count(*) AS numeric_cells, count(*) FILTER (hit) AS represented, count(*) FILTER (wanted) AS candidates, count(*) FILTER (wanted AND hit) AS covered, coalesce(string_agg(cell_id, ',' ORDER BY cell_id) FILTER (wanted AND NOT hit), '') AS missing,
+        round(count(*) FILTER (hit) / count(*), 6) AS representation, round(count(*) FILTER (wanted AND hit) / count(*) FILTER (wanted), 6) AS coverage, round(count(*) FILTER (wanted AND hit) / count(*) FILTER (wanted), 6) < 0.8 AS needs_recovery FROM n GROUP BY block_id""")
 def q41_recall_audit(spark: SparkSession, d: str) -> DataFrame:
-    classified = grid.classify(grid.header_context(_cells(spark)), PROPERTIES, r"\btime\b|temperature")
-    covered = spark.createDataFrame([("T1:r0002:c0001",), ("T2:r0001:c0001",)], "cell_id string")
-    return grid.recall_audit(classified, covered)
+    return grid.recall_audit(*_classified(spark, d)).withColumn("missing", F.array_join("missing", ","))
+
+
+@query(_AUDIT + """
+    SELECT count(DISTINCT block_id) AS tables, count(*) AS numeric_cells, count(*) FILTER (hit) AS represented, count(*) FILTER (wanted) AS candidates, count(*) FILTER (wanted AND hit) AS covered, round(count(*) FILTER (hit) / count(*), 6) AS representation, round(count(*) FILTER (wanted AND hit) / count(*) FILTER (wanted), 6) AS coverage FROM n""")
+def q41b_batch_audit(spark: SparkSession, d: str) -> DataFrame:
+    return grid.batch_audit(grid.recall_audit(*_classified(spark, d)))
+
+
+@query(_AUDIT + """
+    SELECT column_index, CASE WHEN column_index = 0 THEN 'identifier' WHEN column_index = 1 THEN 'property' ELSE 'condition' END AS role, CASE WHEN column_index = 1 THEN 'glass_transition' END AS property, count(*) AS n FROM n GROUP BY 1""")
+def q41c_cell_roles(spark: SparkSession, d: str) -> DataFrame:
+    return _classified(spark, d)[0].groupBy("column_index", "role", "property").agg(F.count("*").alias("n"))
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or where it is unset (tests) a new folder that is then set."""
+    """spark.checkpoint.dir, or where it is unset in local mode (tests) a new folder that is then set."""
     if not (at := spark.conf.get("spark.checkpoint.dir", None)):
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = f"file://{tempfile.mkdtemp(prefix='checkpoints-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
