@@ -60,9 +60,9 @@ class _Grid(HTMLParser):
 
 
 def _span(value: str | None) -> int:
-    """A span of 1 at least, and no more than a long holds; what is no number in ASCII digits is 1."""
-    given = re.fullmatch(r"\s*\+?([0-9]{1,9})\s*", value or "")
-    return max(1, int(given[1])) if given else 1
+    """A span of 1 at least and of what an int holds at most; what is no number in ASCII digits is 1."""
+    given = re.fullmatch(r"\s*\+?([0-9]{1,18})\s*", value or "")
+    return min(max(1, int(given[1])), (1 << 31) - 1) if given else 1
 
 
 def _markdown(body: str) -> list[list]:

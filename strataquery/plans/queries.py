@@ -456,7 +456,14 @@ def q43_surface_key(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.heading_key(F.split("text", "\n")[0]).alias("heading"))
 
 
-@query()
+@query(r"""
+    WITH x AS (SELECT 's' AS side, item_id AS id, text FROM benchmark UNION ALL SELECT 'b', doc_id, text FROM documents),
+         y AS (SELECT *, lower(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F]', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[‐-―−]', '-', 'g'), '([0-9])\s*\.\s*([0-9])', '\1.\2', 'g'), '\s*([/(),;:])\s*', '\1', 'g'), '\s+', ' ', 'g'))) AS key FROM x),
+         w AS (SELECT side, id, word, count(*) AS n FROM (SELECT side, id, unnest(regexp_extract_all(key, '[a-z0-9]+')) AS word FROM y) GROUP BY 1, 2, 3), t AS (SELECT id, sum(n) AS words FROM w WHERE side = 's' GROUP BY 1),
+         h AS (SELECT s.id AS sentence_id, b.id AS block_id, sum(least(s.n, b.n)) AS hits FROM w s JOIN w b ON s.word = b.word AND s.side = 's' AND b.side = 'b' GROUP BY 1, 2),
+         p AS (SELECT sentence_id, block_id, CASE WHEN contains(b.text, s.text) THEN 'strict' WHEN contains(b.key, s.key) THEN 'normalised' WHEN hits / words >= 0.98 THEN 'near' WHEN hits / words >= 0.9 THEN 'partial' END AS status
+               FROM h JOIN t ON t.id = sentence_id JOIN y s ON s.side = 's' AND s.id = sentence_id JOIN y b ON b.side = 'b' AND b.id = block_id)
+    SELECT * FROM p WHERE status IS NOT NULL""")
 def q44_evidence_ladder(spark: SparkSession, d: str) -> DataFrame:
     asked = table(spark, d, "benchmark").select(F.col("item_id").alias("sentence_id"), F.col("text").alias("sentence"))
     return evidence.match_all(asked, table(spark, d, "documents").select(F.col("doc_id").alias("block_id"), "text"))

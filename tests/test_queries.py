@@ -9,7 +9,10 @@ import duckdb
 import pandas as pd
 import pytest
 
-from strataquery.plans.queries import ORACLE_SQL, QUERIES
+import strataquery.plans.checks
+import strataquery.plans.families
+import strataquery.plans.queries
+from strataquery.plans.register import ORACLE_SQL, QUERIES
 
 SF = Path("/root/testdata/sf0.001")
 
