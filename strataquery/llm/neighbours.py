@@ -26,7 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import about, drop_written, written
@@ -123,12 +123,19 @@ class Trees:
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """vec_id and vec (array<double>) of the rows that take part, one for each id and vector."""
+    """vec_id and vec (array<double>) of the rows that take part; shorter vectors are filled up with zeros."""
     vec = F.col(vec_col).cast("array<double>")
     fine = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vec, lambda x: x != 0)
     rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec")).where(F.col("vec_id").isNotNull() & fine)
-    lengths = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return rows.where(F.size("vec") == (lengths["n"] if lengths else 0))
+    longest = rows.agg(F.max(F.size("vec"))).first()[0] or 0
+    return rows.select("vec_id", F.when(F.size("vec") == longest, F.col("vec")).otherwise(F.concat("vec", F.array_repeat(F.lit(0.0), F.lit(longest) - F.size("vec")))).alias("vec"))
+
+
+def _near_one(vec: Column) -> Column:
+    """The vector times the power of two that brings its largest component near 1: no rounding, and no sum of squares leaves the range of doubles."""
+    exponent = F.floor(F.log2(F.array_max(F.transform(vec, F.abs))))
+    power = F.pow(F.lit(2.0), F.greatest(F.lit(-1000), F.least(F.lit(1000), -exponent)).cast("double"))
+    return F.transform(vec, lambda x: x * power)
 
 
 def _units(payload: pd.Series) -> np.ndarray:
@@ -466,7 +473,7 @@ def nearest(rows: DataFrame, is_query: str, k: int = 5, id_col: str = "vec_id",
     queries = written(index.rows.where(is_query).dropDuplicates(["vec_id", "vec"]).join(index.nodes, "vec").select(F.col("vec_id").alias("query_id"), "node_id"), "queries")
     found = index.search(queries, found=2 * k + 6).select("node_id", "near_id")
     found = found.union(queries.select("node_id", F.col("node_id").alias("near_id")).distinct())
-    vectors = index.nodes.select("node_id", "vec")
+    vectors = index.nodes.select("node_id", _near_one(F.col("vec")).alias("vec"))
     scored = found.join(vectors, "node_id").join(vectors.select(F.col("node_id").alias("near_id"), F.col("vec").alias("near_vec")), "near_id")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     cosine = dot("vec", "near_vec") / (F.sqrt(dot("vec", "vec")) * F.sqrt(dot("near_vec", "near_vec")))
