@@ -182,14 +182,24 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPI
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES, fan_in: int = FAN_IN, seed: int = SEED, trials: int = TRIALS) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it, with their columns."""
+    """The rows of docs, each as often as the mix takes it, with their columns.
+
+    How often is settled on hashes of rows, so texts travel once, to the rows that are taken. Of rows that differ in
+    nothing the first in any order are taken more often.
+    """
     items, _ = _item_copies(docs, weights, most, fan_in, seed, trials)
-    items = written(items.where("copies > 0"), "copies")
-    key = [F.col("doc_id").cast("long"), F.col("source").cast("string"), words_in(F.col("text"))]
     plain = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(*plain).alias("order"), *[k.alias(f"k{i}") for i, k in enumerate(key)])
-    same = F.col("d.k0").eqNullSafe(F.col("i.doc_id")) & F.col("d.k1").eqNullSafe(F.col("i.source")) & (F.col("d.k2") == F.col("i.size"))
-    met = rows.alias("d").join(items.alias("i"), same)
-    place = F.row_number().over(Window.partitionBy("i.doc_id", "i.source", "i.size").orderBy("d.order")) - 1
-    times = met.select("d.row", "i.rows", "i.copies", place.alias("place")).withColumn("times", _share(F.col("place")))
-    return times.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))).alias("copy")).select("row.*")
+    rows = docs.select(F.xxhash64(*plain).alias("__hash"), words_in(F.col("text")).alias("__size"), F.struct(*docs.columns).alias("__row"))
+    key = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in(F.col("text")).alias("size"), F.xxhash64(*plain).alias("hash")]
+    alike = docs.select(*key).groupBy("doc_id", "source", "size", "hash").agg(F.count("*").alias("alike"))
+    # the rows of an item take its copies in the order of their hashes
+    earlier = F.coalesce(F.sum("alike").over(Window.partitionBy("doc_id", "source", "size").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    met = alike.withColumn("earlier", earlier).alias("d").join(items.where("copies > 0").alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")) & F.col("d.source").eqNullSafe(F.col("i.source")) & (F.col("d.size") == F.col("i.size")))
+    more = F.least(F.greatest(F.col("i.copies") % F.col("i.rows") - F.col("d.earlier"), F.lit(0)), F.col("d.alike"))
+    times = met.select(F.col("d.hash").alias("__hash"), F.col("d.size").alias("__size"), "alike", (F.col("alike") * F.expr("i.copies div i.rows") + more).alias("times"))
+    times = written(times.where("times > 0").groupBy("__hash", "__size").agg(F.sum("alike").alias("__alike"), F.sum("times").alias("__times")), "times")
+    taken = rows.join(times, ["__hash", "__size"])
+    place = F.row_number().over(Window.partitionBy("__hash", "__size").orderBy("__hash")) - 1
+    share = F.expr("__times div __alike") + (place < F.col("__times") % F.col("__alike")).cast("long")
+    taken = taken.select("__row", share.cast("int").alias("__n"))
+    return taken.select("__row", F.explode(F.array_repeat(F.lit(0), F.col("__n"))).alias("__copy")).select("__row.*")
