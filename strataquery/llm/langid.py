@@ -42,15 +42,23 @@ BLOCK = 64
 CACHE_WORDS = 300_000
 
 
+_WORD = re.compile(r"[^\W\d_]+")
+
+
 @functools.cache
-def _word() -> re.Pattern[str]:
-    """Letters: what \\w takes besides them are digits, the underscore and other numerals, such as fractions and Roman ones."""
-    numerals = "".join(map(re.escape, filter(lambda c: c.isalnum() and not c.isalpha(), map(chr, range(sys.maxunicode + 1)))))
-    return re.compile(rf"[^\W\d_{numerals}]{{1,{WORD_LETTERS}}}")
+def _numerals() -> frozenset[str]:
+    """Besides letters, decimal digits and the underscore \\w takes other numerals, such as fractions and Roman ones."""
+    return frozenset(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
 
 
 def words_of(text: str) -> list[str]:
-    return _word().findall(text.lower())
+    text = text.lower()
+    if not text.isascii() and (found := _numerals().intersection(text)):
+        text = text.translate(dict.fromkeys(map(ord, found), " "))
+    words = _WORD.findall(text)
+    if max(map(len, words), default=0) > WORD_LETTERS:
+        words = [w[i : i + WORD_LETTERS] for w in words for i in range(0, len(w), WORD_LETTERS)]
+    return words
 
 
 def features(word: str, lexicon: dict[str, list[int]]) -> list[int]:
