@@ -11,6 +11,7 @@ import pytest
 
 import strataquery.plans.checks
 import strataquery.plans.families
+import strataquery.plans.intake
 import strataquery.plans.queries
 from strataquery.plans.register import ORACLE_SQL, QUERIES
 
