@@ -89,6 +89,13 @@ def _line_keys(df: DataFrame, depth: int) -> DataFrame:
     return df.withColumn("id", _line_id(F.col("w"), F.col("m_line")))
 
 
+def _leaves(df: DataFrame, depth: int) -> DataFrame:
+    """df (line, ...) without blank lines, with w, n and leaf as _line_keys() gives them: masking keeps spaces, so the path is that of the masked first tokens."""
+    df = df.where(_has(F.col("line"), f"[^ {_SPACES}]")).withColumn("w", _spaced(F.col("line"))).withColumn("n", _tokens(F.col("w")))
+    path = F.substring_index("w", " ", depth)
+    return df.withColumn("leaf", F.xxhash64("n", F.when(_has(F.col("w"), _LETTER), F.regexp_replace(path, "[0-9]+", "<*>")).otherwise(path)))
+
+
 def _line_id(spaced: Column, masked_line: Column) -> Column:
     """Equals the hash of the masked line where there is nothing to mask."""
     return F.when(spaced == masked_line, F.xxhash64(masked_line)).otherwise(F.xxhash64(spaced, F.lit("line")))
@@ -107,7 +114,6 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
     keys = ["own", "leaf", "n"]
     if exact_docs:
         keyed = _line_keys(lines, depth)
-        text = keyed.select("n", "leaf", "own", "m_line")
         # most lines have no digits: their id is null here and costs nothing
         keyed = keyed.withColumn("other", F.when(F.col("id") != F.col("own"), F.col("id")))
         keys = [*keys, "other"]
@@ -124,7 +130,12 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
     mixed = written(mixed.select("leaf", "m"), "mixed")
     # lower bits of the leaves first: 2**FILTER_BITS rows at most, so this side may always be broadcast, and few texts are shuffled
     low = F.col("leaf").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("low")
-    text = text.withColumn("low", low).join(F.broadcast(mixed.select(low).distinct()), "low", "left_semi").drop("low")
+    sift = lambda df: df.withColumn("low", low).join(F.broadcast(mixed.select(low).distinct()), "low", "left_semi").drop("low")
+    if exact_docs:
+        # the leaf from the path alone; whole lines are masked where their leaf may be one
+        text = sift(_leaves(lines, depth)).withColumn("m_line", _mask(F.col("w"))).select("n", "leaf", F.xxhash64("m_line").alias("own"), "m_line")
+    else:
+        text = sift(text)
     fields = text.join(mixed.select("leaf"), "leaf", "left_semi").groupBy("leaf", "own", "n").agg(F.min("m_line").alias("m_line"))
     fields = written(fields.select("leaf", "own", "n", F.posexplode(F.split("m_line", " ")).alias("at", "token")), "fields")
     after = depth if exact_docs else 0
@@ -132,7 +143,7 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
     first = written(_followers(fields.withColumnRenamed("leaf", "node"), constant, after, least_similar), "general")
     # a leaf of several templates: what follows none yet goes one level down, by the token that most of the others share and that is no constant yet
     rest = written(fields.join(first, "own", "left_anti"), "rest")
-    words = rest.where(F.col("at") >= depth).where(F.col("token").rlike(_LETTER)).join(constant.withColumnRenamed("node", "leaf"), ["leaf", "at", "token"], "left_anti")
+    words = rest.where(F.col("at") >= depth).where(F.col("token").rlike(_LETTER)).join(constant.withColumnRenamed("node", "leaf").hint("merge"), ["leaf", "at", "token"], "left_anti")
     shared = words.groupBy("leaf", "at", "token").agg(F.count("*").alias("c")).where("c > 1")
     branch = rest.join(shared, ["leaf", "at", "token"]).groupBy("leaf", "own").agg(F.max(F.struct("c", (-F.col("at")).alias("at"), "token")).alias("best"))
     branch = written(branch.select("own", F.xxhash64("leaf", "best.at", "best.token").alias("node")), "branches")
@@ -158,7 +169,8 @@ def _followers(fields: DataFrame, constant: DataFrame, after: int, least_similar
 
     All lines of a leaf agree on its path: with ``after`` the fields from there on tell, of which one must be a word.
     """
-    same = fields.join(constant, ["node", "at", "token"]).where(F.col("at") >= after)
+    # both sides are large: tokens of all lines, and what many of them share
+    same = fields.join(constant.hint("merge"), ["node", "at", "token"]).where(F.col("at") >= after)
     word = F.max(F.col("token").rlike(_LETTER)) if after else F.lit(True)
     same = same.groupBy("node", "own", "n").agg(F.count("*").alias("same"), word.alias("word"))
     return same.where((F.col("same") >= (F.col("n") - after) * least_similar) & F.col("word")).select("own", F.col("node").alias("template"))
