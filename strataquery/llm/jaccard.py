@@ -45,7 +45,7 @@ from .common import bitmap_of, drop_written, in_bitmap, low_bits, written
 from .components import connected_components
 from .shingles import mix, set_key, shingle_sets
 
-SKETCH_BITS = 18
+SKETCH_BITS = 20
 #: Shingles that the members of a region may hold together, and members, for one task; a member counts as some shingles by itself.
 REGION_SHINGLES = 1_000_000
 REGION_MEMBERS = 8_000
@@ -64,7 +64,7 @@ LEAST_SHARED, SHARED_ROUNDS = 6, 2
 #: Classes of sizes that a mask tells apart.
 SIZE_BITS = 63
 #: Bits of the filters that carry shared pivots and wanted documents to passes over all documents; they let more pass, never fewer.
-FILTER_BITS = 24
+PIVOT_BITS, FILTER_BITS = 27, 24
 #: The mask bits of the two blocks of a pair; lower bits belong to levels.
 BLOCK_BITS = (1 << 61, 1 << 62)
 EDGE = 1e-9
@@ -88,12 +88,22 @@ def signature(values: np.ndarray) -> np.ndarray:
     the Jaccard distance.
     """
     bits = min(max(len(values) // CLASS_SHINGLES, CLASSES), MOST_CLASSES).bit_length() - 1
-    return np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+    return np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the highest needs, 1, 2 or 4, which the first byte tells."""
+    width = 1 if (top := counts.max()) < 1 << 8 else 2 if top < 1 << 16 else 4
+    return bytes([width]) + counts.astype(f"u{width}").tobytes()
+
+
+def classes_of(data: bytes) -> int:
+    return (len(data) - 1) // data[0]
 
 
 def folded(data: bytes, classes: int) -> np.ndarray:
-    """A signature with so many classes, which are fewer."""
-    return np.frombuffer(data, np.uint32).reshape(classes, -1).sum(1, dtype=np.uint32)
+    """A packed signature with so many classes, which are fewer."""
+    return np.frombuffer(data, f"u{data[0]}", offset=1).reshape(classes, -1).sum(1, dtype=np.uint32)
 
 
 def describe(docs: DataFrame, n: int) -> DataFrame:
@@ -113,7 +123,7 @@ def describe(docs: DataFrame, n: int) -> DataFrame:
             columns = [pa.array(np.zeros(len(size), np.int32)), batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(size), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
         if sketch.any():
-            parts = sketch.reshape(64, -1)
+            parts = np.minimum(sketch, (1 << 32) - 1).astype(np.uint32).reshape(64, -1)
             none = pa.nulls(len(parts), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(parts), np.int32)), none, none, pa.array(np.arange(len(parts))), none, pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
@@ -124,7 +134,7 @@ def sketch_of(described: DataFrame) -> np.ndarray:
     """The counters of all documents; their number is fixed, whatever the corpus."""
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"a": [key[0]], "data": [sum(np.frombuffer(c, np.int64) for c in rows["data"]).tobytes()]})
+        return pd.DataFrame({"a": [key[0]], "data": [sum(np.frombuffer(c, np.uint32).astype(np.int64) for c in rows["data"]).tobytes()]})
 
     parts = described.where("kind = 1").groupBy("a").applyInPandas(add, "a long, data binary").orderBy("a").collect()
     return np.concatenate([np.frombuffer(p["data"], np.int64) for p in parts]) if parts else np.zeros(1 << SKETCH_BITS, np.int64)
@@ -132,7 +142,7 @@ def sketch_of(described: DataFrame) -> np.ndarray:
 
 def windows(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> DataFrame:
     """pivot, a, b, size: the regions that each document's set enters, once a task."""
-    sent = docs.sparkSession.sparkContext.broadcast(sketch)
+    sent = docs.sparkSession.sparkContext.broadcast(np.minimum(sketch, (1 << 32) - 1).astype(np.uint32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sent.value
@@ -167,7 +177,7 @@ def _plausible_links(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
     def of_region(keys: np.ndarray, size: np.ndarray, data: list[bytes], left: list[np.ndarray], right: list[np.ndarray]) -> None:
         """Rows are sorted by size, so their signatures have more and more classes."""
-        label, classes = np.arange(len(keys)), np.fromiter((len(x) // 4 for x in data), np.int64, len(data))
+        label, classes = np.arange(len(keys)), np.fromiter(map(classes_of, data), np.int64, len(data))
         counts = np.empty((0, 0), np.uint32)
         for i in range(len(keys) - 1):
             if counts.shape[1] != classes[i]:
@@ -581,12 +591,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
     # regions that two sets of near sizes enter at least, or copies in several tasks
     shared = entered.groupBy("pivot").agg(F.bit_or("bit").alias("mask"), F.count("*").alias("n"))
     shared = written(shared.where(f"n > 1 AND (n > bit_count(mask) OR (mask & {_TURNED}) <> 0)"), "shared")
-    low = f"& {(1 << FILTER_BITS) - 1}"
-    marked = spark.sparkContext.broadcast(bitmap_of(shared.select(F.expr(f"pivot {low}").alias("i")).distinct(), FILTER_BITS))
+    low = f"pivot & {(1 << PIVOT_BITS) - 1}"
+    marked = spark.sparkContext.broadcast(bitmap_of(shared.select(F.expr(low).alias("i")).distinct(), PIVOT_BITS))
 
     def pass_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(in_bitmap(marked.value, low_bits(batch.column("pivot").to_numpy().view(np.uint64), FILTER_BITS))))
+            yield batch.filter(pa.array(in_bitmap(marked.value, low_bits(batch.column("pivot").to_numpy().view(np.uint64), PIVOT_BITS))))
 
     several = entered.mapInArrow(pass_shared, entered.schema).join(shared, "pivot").where(_NEAR_SIZE).select("pivot", "a", "b", "size").distinct()
     several = written(several.join(classes.select("a", "b", "size", "c"), ["a", "b", "size"]).select(F.col("pivot").alias("region"), "c", "size"), "entered")
@@ -595,7 +605,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
     several = _well_shared(several, percent)
     kept = _distinct_regions(several)
     drop_written(several)
-    signatures = _of_classes(read, classes.join(kept, "c", "left_semi"), n, lambda x: signature(x).tobytes())
+    signatures = _of_classes(read, classes.join(kept, "c", "left_semi"), n, lambda x: packed(signature(x)))
     groups = _candidate_groups(kept, signatures, percent)
     drop_written(kept)
     sets = _of_classes(read, classes.join(groups, "c", "left_semi"), n, lambda x: x.tobytes())
