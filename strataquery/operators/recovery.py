@@ -156,7 +156,7 @@ def match_cells(locators: DataFrame, cells: DataFrame) -> DataFrame:
     by_place = placed.alias("l").join(held.alias("c"), (F.col("l.table_id") == F.col("c.table_id")) & at, "left").select("locator_id", compare.alias("status"), "id", F.lit("place").alias("by"))
     asked = free.where(F.trim("cell_value") != "").select("locator_id", "table_id", key(value).alias("v"), "cell_value")
     found = asked.join(held.select("table_id", "id", key(F.col("text")).alias("v")), ["table_id", "v"]).groupBy("locator_id").agg(F.count("*").alias("n"), F.min("id").alias("id"))
-    parts = asked.select("locator_id", "table_id", F.explode(F.filter(F.transform(F.split("cell_value", ","), F.trim), lambda p: p != "")).alias("p"))
+    parts = asked.select("locator_id", "table_id", F.explode(F.filter(F.transform(F.split("cell_value", ","), lambda t: F.trim(t)), lambda p: p != "")).alias("p"))
     texts = held.select("table_id", key(F.col("text")).alias("pk")).distinct().withColumn("hit", F.lit(True))
     several = parts.withColumn("pk", key(F.col("p"))).join(texts, ["table_id", "pk"], "left").groupBy("locator_id").agg((F.count("*") >= 2).alias("several"), F.bool_and(F.coalesce("hit", F.lit(False))).alias("all_held"))
     told = free.select("locator_id").join(found, "locator_id", "left").join(several, "locator_id", "left")
