@@ -12,6 +12,7 @@ import pytest
 import strataquery.plans.checks
 import strataquery.plans.families
 import strataquery.plans.intake
+import strataquery.plans.policies
 import strataquery.plans.queries
 import strataquery.plans.texts
 from strataquery.plans.register import ORACLE_SQL, QUERIES
