@@ -2,6 +2,9 @@
 
 All stages but the last return the columns of documents; the last returns pieces with their places in
 sequences. Each works on all rows that its predecessor kept.
+
+Defined cases of every stage: nulls in any column are kept where a stage keeps the row; other columns of its
+input are dropped; an empty table gives an empty one with the same columns.
 """
 
 from __future__ import annotations
@@ -22,18 +25,30 @@ LEAST_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters, and those in which no language prevails."""
+    """Rejects documents without letters (null and empty texts among them), and those in which no language prevails.
+
+    Repeated rows are judged alike; a tie of two languages goes to the first by name. Without any labelled row nothing
+    can be told, and all documents go.
+    """
     return predict(docs, train(docs)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops recurring lines; a document of which nothing is left goes."""
+    """Drops recurring lines; a document of which nothing is left goes.
+
+    The document with the smallest id keeps a line; repeated rows of one id are one document and keep it in each; rows
+    without an id are documents by their text. Null texts have no lines and stay.
+    """
     kept = drop_recurring_lines(docs, exact_docs=EXACT_DOCS).where("n_dropped = 0 OR n_dropped < n_lines")
     return kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*COLUMNS)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates, the one with the smallest id. Documents without words or id stay."""
+    """Keeps one document of each group of near duplicates, the one with the smallest id. Documents without words or id stay.
+
+    Rows that agree in id and text are one. Several texts under one id are documents of their own, but ids are all that
+    names them: each stays if any of them is the smallest of its group.
+    """
     groups = near_duplicates(docs, n=5, percent=80)
     stay = groups.where("doc_id = component_id OR (n_shingles = 0 AND doc_id IS NOT NULL)").select("doc_id")
     one = docs.join(stay, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
@@ -41,12 +56,16 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target weight asks."""
+    """Each document as often as its source's target weight asks, three times at most.
+
+    A null source is a source, last in order; documents without words are taken 0 times; rows that differ in nothing
+    share their copies. Reruns agree.
+    """
     return mixed_documents(docs).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 1024 tokens."""
+    """Pieces of documents in sequences of at most 1024 tokens. Each row is packed, copies too; a null or empty text is the end token alone."""
     import public_tokenizers
 
     return pack(tokenize(docs, public_tokenizers.path("byte_bpe_50k.json"))).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
