@@ -162,11 +162,14 @@ def cells_match(cell: Column, asked: Column) -> Column:
 def glued_coverage(needle: Column, haystack: Column) -> Column:
     """The share of needle's words, with repetition, that haystack has; a word of letters alone may also be part of such a word there, digits never. Arguments are arrays of words."""
     count = lambda words, w: F.size(words) - F.size(F.array_remove(words, w))
-    letters = F.filter(F.array_distinct(haystack), lambda w: ~w.rlike("[0-9]"))
 
-    def hits(acc: Column, w: Column) -> Column:
-        n, m = count(needle, w), count(haystack, w)
-        glued = F.when(~w.rlike("[0-9]") & F.exists(letters, lambda x: F.contains(x, w)), n)
-        return acc + F.greatest(F.least(n, m), F.coalesce(glued, F.lit(0)))
+    def share(x: Column) -> Column:
+        def hits(acc: Column, w: Column) -> Column:
+            n, m = count(x["a"], w), count(x["b"], w)
+            glued = F.when(~w.rlike("[0-9]") & F.exists(x["b"], lambda y: ~y.rlike("[0-9]") & F.contains(y, w)), n)
+            return acc + F.greatest(F.least(n, m), F.coalesce(glued, F.lit(0)))
 
-    return F.when(F.size(needle) > 0, F.aggregate(F.array_distinct(needle), F.lit(0), hits) / F.size(needle)).otherwise(0.0)
+        return F.when(F.size(x["a"]) > 0, F.aggregate(F.array_distinct(x["a"]), F.lit(0), hits) / F.size(x["a"])).otherwise(0.0)
+
+    # computed once: in a lambda an outer expression is computed for each element
+    return F.get(F.transform(F.array(F.struct(needle.alias("a"), haystack.alias("b"))), share), F.lit(0))

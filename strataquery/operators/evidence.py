@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,11 +11,17 @@ from strataquery.functions.text import evidence_key, tokens
 from strataquery.sources.shared import cut
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once: in a lambda an outer expression is computed for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def word_coverage(needle: Column, haystack: Column) -> Column:
     """The share of needle's words, with repetition, that haystack has; null without words. Arguments are arrays of words."""
     count = lambda words, w: F.size(words) - F.size(F.array_remove(words, w))
-    hits = F.aggregate(F.array_distinct(needle), F.lit(0), lambda acc, w: acc + F.least(count(needle, w), count(haystack, w)))
-    return F.when(F.size(needle) > 0, hits / F.size(needle))
+    hits = lambda x: F.aggregate(F.array_distinct(x["a"]), F.lit(0), lambda acc, w: acc + F.least(count(x["a"], w), count(x["b"], w)))
+    share = lambda x: F.when(F.size(x["a"]) > 0, hits(x) / F.size(x["a"]))
+    return bound(F.struct(needle.alias("a"), haystack.alias("b")), share)
 
 
 def match_ladder(sentence: Column, source: Column) -> Column:
@@ -67,9 +73,10 @@ def recover_block(sentences: DataFrame, blocks: DataFrame, probe_words: int = 6)
     inner = F.slice(words("s"), 2, F.least(F.lit(probe_words), F.greatest(F.size(words("s")) - 2, F.lit(0))))
     asked = cut(asked.withColumn("n", F.size(inner)).withColumn("probe", F.when(F.col("n") > 0, F.xxhash64("n", inner))))
     lengths = [r["n"] for r in asked.where("n > 0").select("n").distinct().collect()]  # probe_words numbers at most
-    texts = blocks.select("block_id", evidence_key(F.col("text")).alias("b")).withColumn("w", words("b"))
-    run = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.xxhash64(F.lit(n), F.slice("w", i, n))))
-    runs = F.array_distinct(F.flatten(F.array_compact(F.array(*[run(n) for n in lengths])))) if lengths else F.array().cast("array<bigint>")
+    texts = blocks.select("block_id", evidence_key(F.col("text")).alias("b"))
+    run = lambda w, n: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(F.lit(n), F.slice(w, i, n))))
+    all_runs = lambda w: F.array_distinct(F.flatten(F.array_compact(F.array(*[run(w, n) for n in lengths]))))
+    runs = bound(words("b"), all_runs) if lengths else F.array().cast("array<bigint>")
     probed = asked.where("probe IS NOT NULL").join(texts.select("block_id", F.explode(runs).alias("probe")), "probe").select("sentence_id", "s", "block_id").distinct()
     short = asked.where("probe IS NULL").select("sentence_id", "s").join(texts.select("block_id", "b"), F.expr("contains(b, s)")).select("sentence_id", "block_id")
     held = probed.join(texts.select("block_id", "b"), "block_id").where(F.expr("contains(b, s)")).select("sentence_id", "block_id").union(short)
