@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Hashable, Iterable, Iterator
@@ -9,6 +11,7 @@ from typing import Any, TypeVar
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +76,20 @@ def held(key: Hashable, make: Callable[[], T]) -> T:
     return _HELD[key]
 
 
+def tidy(run: Callable[[Iterator[Any]], Iterator[Any]]) -> Callable[[Iterator[Any]], Iterator[Any]]:
+    """The function of batches, which gives memory back to the system at its end: workers live on between tasks and operators."""
+
+    def tidied(batches: Iterator[Any]) -> Iterator[Any]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
+
+
 def words_in(text: Column) -> Column:
     """The number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

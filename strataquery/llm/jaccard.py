@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, drop_written, in_bitmap, low_bits, written
+from .common import bitmap_of, drop_written, held, in_bitmap, low_bits, tidy, written
 from .components import connected_components
 from .shingles import mix, set_key, shingle_sets
 
@@ -111,6 +111,8 @@ def describe(docs: DataFrame, n: int) -> DataFrame:
     names = ["kind", "doc_id", "size", "a", "b", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # what other operators have left in the worker goes
+        held("jaccard", dict)
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
             size, a, b = [], [], []
@@ -127,7 +129,7 @@ def describe(docs: DataFrame, n: int) -> DataFrame:
             none = pa.nulls(len(parts), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(parts), np.int32)), none, none, pa.array(np.arange(len(parts))), none, pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "kind int, doc_id long, size long, a long, b long, data binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(run), "kind int, doc_id long, size long, a long, b long, data binary")
 
 
 def sketch_of(described: DataFrame) -> np.ndarray:
@@ -145,6 +147,7 @@ def windows(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> DataFr
     sent = docs.sparkSession.sparkContext.broadcast(np.minimum(sketch, (1 << 32) - 1).astype(np.uint32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("jaccard", dict)
         counts = sent.value
         given: set[tuple[int, int]] = set()
         for batch in batches:
@@ -161,7 +164,7 @@ def windows(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> DataFr
                 rest = np.repeat(np.array(keys, np.int64), times, axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(pivots)), *(pa.array(rest[:, i].copy()) for i in range(3))], ["pivot", "a", "b", "size"])
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "pivot long, a long, b long, size long")
+    return docs.select(F.col("text").cast("string")).mapInArrow(tidy(run), "pivot long, a long, b long, size long")
 
 
 # --- groups of members that may link ------------------------------------------------------------------------
@@ -567,7 +570,7 @@ def _of_classes(docs: DataFrame, classes: DataFrame, n: int, make: Callable[[np.
             columns = [batch.column("doc_id"), *(pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary())))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "a", "b", "data"])
 
-    made = docs.withColumn("i", bit).mapInArrow(run, "doc_id long, a long, b long, data binary")
+    made = docs.withColumn("i", bit).mapInArrow(tidy(run), "doc_id long, a long, b long, data binary")
     # rows of one id and one text: any of them
     return made.join(wanted, ["doc_id", "a", "b"]).groupBy("c", "size").agg(F.first("data").alias("data"))
 
@@ -598,7 +601,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
         for batch in batches:
             yield batch.filter(pa.array(in_bitmap(marked.value, low_bits(batch.column("pivot").to_numpy().view(np.uint64), PIVOT_BITS))))
 
-    several = entered.mapInArrow(pass_shared, entered.schema).join(shared, "pivot").where(_NEAR_SIZE).select("pivot", "a", "b", "size").distinct()
+    several = entered.mapInArrow(tidy(pass_shared), entered.schema).join(shared, "pivot").where(_NEAR_SIZE).select("pivot", "a", "b", "size").distinct()
     several = written(several.join(classes.select("a", "b", "size", "c"), ["a", "b", "size"]).select(F.col("pivot").alias("region"), "c", "size"), "entered")
     drop_written(entered)
     drop_written(shared)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import about, held, slices
+from .common import about, held, slices, tidy
 
 UNKNOWN = "und"
 #: Labelled rows that the model is fitted on, at most; it reads their whole texts.
@@ -283,4 +283,4 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             scores = pa.array([x for _, got in found for x in got], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, langs, scores], [*batch.schema.names, "lang_pred", "score"])
 
-    return docs.select(*kept).mapInArrow(label, schema)
+    return docs.select(*kept).mapInArrow(tidy(label), schema)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held, slices, written
+from .common import held, slices, tidy, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -174,7 +174,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, kee
                 yield pa.RecordBatch.from_arrays([*columns, *([pa.array(parts, pa.list_(pa.int32()))] if keep_ids else [])], schema.names)
 
     schema = T.StructType([*PIECES.fields, *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if keep_ids else [])])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(pieces, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(pieces), schema)
 
 
 def plan_best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import about, bitmap_of, in_bitmap, low_bits, slices, written
+from .common import about, bitmap_of, in_bitmap, low_bits, slices, tidy, written
 from .shingles import _bytes_of, _powers, mix, running_hash
 
 LENGTH = 200
@@ -362,7 +362,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
                     starts[i] = data[found["at"][i] : found["at"][i] + gram].tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array(found["hash"].view(np.int64)), pa.array(starts, pa.binary())], ["hash", "start"])
 
-    counted = source.select("text").mapInArrow(hashes, "hash long, start binary").groupBy("hash").agg(F.count("*").alias("n"), F.first("start", True).alias("start"))
+    counted = source.select("text").mapInArrow(tidy(hashes), "hash long, start binary").groupBy("hash").agg(F.count("*").alias("n"), F.first("start", True).alias("start"))
     counted = written(counted.where("n > 1"), "anchors")
     bitmap = bitmap_of(counted.select(F.expr(f"hash & {(1 << BITMAP_BITS) - 1}").alias("i")).distinct(), BITMAP_BITS)
     hot_bits = 20
@@ -400,7 +400,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
                     yield from flush()
         yield from flush()
 
-    made = written(source.mapInArrow(runs, "run long, part long, items binary, places binary"), "runs")
+    made = written(source.mapInArrow(tidy(runs), "run long, part long, items binary, places binary"), "runs")
     masks = made.select("run", "part", "items").groupBy("part").applyInPandas(_resolve(length, gram), "run long, part long, mask binary")
     widths = -(-(length - gram + 1) // 8)
 
@@ -446,7 +446,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(columns[4], pa.binary())] * keep_bytes, names + ["kept"] * keep_bytes)
 
-    return joined.select("doc_id", "text", "starts", "ends").mapInArrow(cut, schema)
+    return joined.select("doc_id", "text", "starts", "ends").mapInArrow(tidy(cut), schema)
 
 
 def _union(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
