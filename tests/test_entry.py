@@ -31,3 +31,10 @@ def test_imports_without_the_llm_subpackage(tmp_path):
     code = "import __spark_entry__ as e; print(len(e.queries()), any(k.startswith('op') for k in e.queries()))"
     ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, timeout=120, check=False)
     assert ran.stdout.split()[-1:] == ["False"], ran.stderr[-500:]
+
+
+def test_entry_imports_without_a_session():
+    """Nothing at the top of a module asks for a running Spark."""
+    root = Path(__file__).resolve().parent.parent
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 100 and set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
