@@ -76,6 +76,13 @@ def held(key: Hashable, make: Callable[[], T]) -> T:
     return _HELD[key]
 
 
+def trim() -> None:
+    """Gives memory that is no longer needed back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def tidy(run: Callable[[Iterator[Any]], Iterator[Any]]) -> Callable[[Iterator[Any]], Iterator[Any]]:
     """The function of batches, which gives memory back to the system at its end: workers live on between tasks and operators."""
 
@@ -83,9 +90,7 @@ def tidy(run: Callable[[Iterator[Any]], Iterator[Any]]) -> Callable[[Iterator[An
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
-                ctypes.CDLL(None).malloc_trim(0)
+            trim()
 
     return tidied
 

@@ -11,6 +11,7 @@ are kept; an empty table gives no rows; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held, slices, tidy, written
+from .common import held, slices, tidy, trim, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -42,7 +43,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Texts that the word cache can't treat: other white space than single spaces and line feeds, the marker.
 _RARE = r"[ \n][ \n]|[\t\x0b\f\r\x1c-\x1f\x00]|[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Bytes of text that are looked up at a time: the more, the fewer distinct words a byte; a worker holds about 20 times this.
-SLICE = 4_000_000
+SLICE = 2_000_000
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -76,11 +77,8 @@ class WordCache:
     """
 
     def __init__(self, path: str, most: int = CACHE_WORDS):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.path = path
+        self.special = [t["content"] for t in json.loads(Path(path).read_text(encoding="utf-8")).get("added_tokens") or []]
         self.most = most
         self.index: dict[str, int] = {}
         self.flat = np.empty(0, np.uint32)
@@ -91,6 +89,16 @@ class WordCache:
 
             encode = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
             self._words = lambda words: [*map(encode, words)]
+        # the file as read is some times the ranks
+        trim()
+
+    @functools.cached_property
+    def tokenizer(self) -> Tokenizer:
+        """Read with the first text that needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def _rows(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = self._words([k[1:] if k[:1] == "\0" else " " + k for k in keys])
