@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataquery.functions.numeric import ratio
 from strataquery.functions.text import evidence_key, has_number, is_value_like, looks_like_identifier
 
+ARROW = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
 CELLS = "block_id string, cell_id string, row_index long, column_index long, row_span int, column_span int, text string, is_header boolean"
+CONTEXT = CELLS + ", headers long, column_headers array<string>, row_headers array<string>"
+#: Bodies of these tags alone, without references, are read by a pattern, with the parser's cells in a fraction of its time.
+PLAIN = re.compile(r"""[^&<>\x00]*(?:<(?:/?(?:table|thead|tbody|tr|td|th)|br|t[dh](?: (?:row|col)span=(?:[0-9]{1,18}|'[0-9]{1,18}'|"[0-9]{1,18}"))+)>[^&<>\x00]*)*""")
+TAG = re.compile("<(/?[a-z]+)([^>]*)>([^<]*)")
+SPAN = re.compile("((?:row|col)span)=.?([0-9]+)")
+NUMBER = re.compile("[0-9]")
 
 
 class _Grid(HTMLParser):
@@ -72,27 +79,122 @@ def _markdown(body: str) -> list[list]:
     return [[r, c, 1, 1, text, r == 0] for r, row in enumerate(rows) for c, text in enumerate(row)]
 
 
+def _plain(body: str) -> list[list]:
+    """The cells that _Grid gives for a body of PLAIN; a cell of one row can't stand in the way of a later row, so only taller ones are kept as spans."""
+    cells, spans, cell, row, column = [], [], None, -1, 0
+    for tag, attributes, text in TAG.findall(body):
+        if tag == "td" or tag == "th":
+            if row < 0:
+                row = 0
+            rows = columns = 1
+            if attributes:
+                given = dict(SPAN.findall(attributes))
+                rows, columns = _span(given.get("rowspan")), _span(given.get("colspan"))
+            while spans and (ends := [end for start, end, last in spans if last > row and start <= column < end]):
+                column = max(ends)
+            cell = [row, column, rows, columns, text, tag == "th"]
+            cells.append(cell)
+            if rows > 1:
+                spans.append((column, column + columns, row + rows))
+            column += columns
+        elif tag == "br":
+            if cell:
+                cell[4] += " " + text
+        elif tag == "tr":
+            row, column, cell = row + 1, 0, None
+        elif tag == "/thead" or tag == "/tbody" or tag == "table" or tag == "thead" or tag == "tbody":
+            if cell:
+                cell[4] += text
+        else:
+            cell = None
+    for cell in cells:
+        cell[4] = " ".join(cell[4].split())
+    return cells
+
+
 def cells_of(body: str) -> list[list]:
     """Cells of one table body: HTML where a table, row or cell tag gives any, else Markdown."""
     if re.search(r"(?i)<t(?:able|r|d|h)\b", body):
-        grid = _Grid()
-        grid.feed(body)
-        grid.close()
-        grid.close_cell()
-        if grid.cells:
-            return grid.cells
+        if PLAIN.fullmatch(body):
+            cells = _plain(body)
+        else:
+            grid = _Grid()
+            grid.feed(body)
+            grid.close()
+            grid.close_cell()
+            cells = grid.cells
+        if cells:
+            return cells
     return _markdown(body)
 
 
-def table_cells(tables: DataFrame) -> DataFrame:
-    """Cells of (block_id, table_body); ids are block:rROW:cCOLUMN in four digits."""
+def _mapped(tables: DataFrame, schema: str, rows_of: Callable[[str], list[tuple]]) -> DataFrame:
+    """Rows (block_id, cell_id, ..) of each table, by its own body alone."""
+    names, types = zip(*[x.split() for x in schema.split(", ")], strict=True)
+    target = pa.schema([(n, ARROW[t]) for n, t in zip(names, types, strict=True)])
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(b, f"{b}:r{r:04d}:c{c:04d}", r, c, rs, cs, text, head) for b, body in zip(batch["block_id"], batch["table_body"], strict=True) for r, c, rs, cs, text, head in cells_of(body or "")]
-            yield pd.DataFrame(rows, columns=[x.split()[0] for x in CELLS.split(", ")])
+            pairs = zip(batch.column("block_id").to_pylist(), batch.column("table_body").to_pylist(), strict=True)
+            rows = [(b, f"{b}:r{x[0]:04d}:c{x[1]:04d}", *x) for b, body in pairs for x in rows_of(body or "")]
+            columns = list(zip(*rows, strict=True)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, target.types, strict=True)], schema=target)
 
-    return tables.select("block_id", "table_body").mapInPandas(parse, CELLS)
+    return tables.select(F.col("block_id").cast("string").alias("block_id"), "table_body").mapInArrow(parse, schema)
+
+
+def table_cells(tables: DataFrame) -> DataFrame:
+    """Cells of (block_id, table_body); ids are block:rROW:cCOLUMN in four digits."""
+    return _mapped(tables, CELLS, cells_of)
+
+
+def _with_context(body: str) -> list[tuple]:
+    """The rows of header_context for one body: its numeric cells below the headers, each with the texts above and left of it."""
+    cells = cells_of(body)
+    numbers, filled, seen = {}, {}, []
+    for x in cells:
+        row, text = x[0], x[4]
+        number = text != "" and NUMBER.search(text) is not None
+        seen.append(number)
+        if number:
+            numbers[row] = numbers.get(row, 0) + 1
+        if text:
+            filled[row] = filled.get(row, 0) + 1
+    if not numbers:
+        return []
+    headers = min((y for y, n in numbers.items() if n >= 0.4 * filled[y]), default=None)
+    if headers is None:
+        return []
+    above, beside, tall = [], {}, []
+    for x, number in zip(cells, seen, strict=True):
+        if x[4]:
+            if x[0] < headers:
+                above.append((x[0], x[1], x[4], x[1] + x[3]))
+            elif not number:
+                if x[2] == 1:
+                    beside.setdefault(x[0], []).append((x[1], x[4]))
+                else:
+                    tall.append((x[1], x[4], x[0], x[0] + x[2]))
+    above.sort()
+    over, out = {}, []
+    for x, number in zip(cells, seen, strict=True):
+        row, column = x[0], x[1]
+        if number and row >= headers:
+            if column not in over:
+                over[column] = [h[2] for h in above if h[1] <= column < h[3]]
+            left = beside.get(row, ())
+            if tall:
+                left = [*left, *(c[:2] for c in tall if c[2] <= row < c[3])]
+            out.append((*x, headers, over[column], [t for y, t in sorted(left) if y < column] if left else []))
+    return out
+
+
+def table_context(tables: DataFrame) -> DataFrame:
+    """header_context(table_cells(tables)) in one pass: a cell's context stands in its own body, so nothing is shuffled or parsed twice.
+
+    Of repeated block ids each body is a table of its own.
+    """
+    return _mapped(tables, CONTEXT, _with_context)
 
 
 def header_rows(cells: DataFrame) -> DataFrame:
@@ -123,24 +225,25 @@ def classify(context: DataFrame, properties: Mapping[str, str], conditions: str)
     columns = F.lower(F.array_join("column_headers", " "))
     name = F.coalesce(*[F.when(heads.rlike(p), F.lit(n)) for n, p in properties.items()])
     text = F.col("text")
-    role = (
-        F.when(looks_like_identifier(text), "identifier")
-        .when(~is_value_like(text), "unknown")
-        .when(columns.rlike(conditions), "condition")
-        .when(name.isNotNull(), "property")
-        .otherwise("unknown")
-    )
-    reason = F.when(role == "identifier", "looks_like_identifier").when(role == "condition", "condition_header").when(role == "property", "header_pattern").when(~is_value_like(text), "not_value_like").otherwise("no_header_match")
-    return context.withColumns({"role": role, "reason": reason, "property": F.when(role == "property", name)})
+    # what is used more than once is a column of its own, so that it is computed once
+    told = context.withColumns({"__value": is_value_like(text), "__name": name})
+    value, name = F.col("__value"), F.col("__name")
+    role = F.when(looks_like_identifier(text), "identifier").when(~value, "unknown").when(columns.rlike(conditions), "condition").when(name.isNotNull(), "property").otherwise("unknown")
+    reason = F.when(F.col("role") == "identifier", "looks_like_identifier").when(F.col("role") == "condition", "condition_header").when(F.col("role") == "property", "header_pattern").when(~value, "not_value_like").otherwise("no_header_match")
+    return told.withColumn("role", role).withColumns({"reason": reason, "property": F.when(F.col("role") == "property", name)}).drop("__value", "__name")
 
 
 def recall_audit(classified: DataFrame, covered: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """For each table numeric cells, property candidates, covered ones (cell_id in covered), shares, and whether it needs recovery."""
-    marked = classified.join(covered.select("cell_id").distinct().withColumn("hit", F.lit(True)), "cell_id", "left")
-    hit, wanted = F.coalesce("hit", F.lit(False)), F.col("role") == "property"
-    rows = marked.groupBy("block_id").agg(
-        F.count("*").alias("numeric_cells"), F.count_if(hit).alias("represented"), F.count_if(wanted).alias("candidates"), F.count_if(wanted & hit).alias("covered"),
-        F.array_sort(F.collect_list(F.when(wanted & ~hit, F.col("cell_id")))).alias("missing"),
+    """For each table numeric cells, property candidates, covered ones (block_id, cell_id in covered), shares, and whether it needs recovery.
+
+    Both sides meet by their table in one shuffle: a group of a cell's rows stays within the partition of its table.
+    """
+    asked = classified.select("block_id", "cell_id", (F.col("role") == "property").alias("wanted"), F.lit(1).alias("asked"))
+    told = covered.select("block_id", "cell_id", F.lit(None).cast("boolean").alias("wanted"), F.lit(0).alias("asked"))
+    met = asked.union(told).repartition("block_id").groupBy("block_id", "cell_id").agg(F.sum("asked").alias("n"), F.count_if("wanted").alias("wanted"), F.bool_or(F.col("asked") == 0).alias("hit")).where("n > 0")
+    rows = met.groupBy("block_id").agg(
+        F.sum("n").alias("numeric_cells"), F.sum(F.when(F.col("hit"), F.col("n")).otherwise(0)).alias("represented"), F.sum("wanted").alias("candidates"), F.sum(F.when(F.col("hit"), F.col("wanted")).otherwise(0)).alias("covered"),
+        F.array_sort(F.flatten(F.collect_list(F.when(~F.col("hit") & (F.col("wanted") > 0), F.array_repeat("cell_id", F.col("wanted").cast("int")))))).alias("missing"),
     )
     share = ratio(F.col("covered"), F.col("candidates"), "audit")
     return rows.select("*", ratio(F.col("represented"), F.col("numeric_cells"), "audit").alias("representation"), share.alias("coverage"), F.coalesce(share < threshold, F.lit(False)).alias("needs_recovery"))

@@ -11,7 +11,7 @@ from strataquery.functions import numeric, text
 from strataquery.operators import align, evidence, graph, grid, ordered, refs, runlog
 from strataquery.plans.register import ORACLE_SQL, QUERIES, query
 from strataquery.sources.documents import table
-from strataquery.sources.shared import shared_folder
+from strataquery.sources.shared import cut, shared_folder
 from strataquery.streaming.ingest import event_stream, run_available
 
 def total(column: str) -> Column:
@@ -412,29 +412,32 @@ _AUDIT = _CELLS + """,
     n AS (SELECT block_id, cell_id, column_index, column_index = 1 AS wanted, (row_index + CAST(block_id AS BIGINT)) % 3 = 0 AS hit FROM cells WHERE NOT is_header AND regexp_matches(text, '[0-9]'))"""
 
 
-def _classified(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    cells = grid.table_cells(_bodies(spark, d))
-    covered = cells.where((F.col("row_index") + F.col("block_id").cast("long")) % 3 == 0).select("cell_id")
-    return grid.classify(grid.header_context(cells), PROPERTIES, r"\btime\b|temperature"), covered
+def _classified(spark: SparkSession, d: str) -> DataFrame:
+    return grid.classify(grid.table_context(_bodies(spark, d)), PROPERTIES, r"\btime\b|temperature")
+
+
+def _audited(spark: SparkSession, d: str) -> DataFrame:
+    cells = cut(_classified(spark, d).select("block_id", "cell_id", "row_index", "role"))
+    return grid.recall_audit(cells, cells.where((F.col("row_index") + F.col("block_id").cast("long")) % 3 == 0))
 
 
 @query(_AUDIT + """
     SELECT block_id, count(*) AS numeric_cells, count(*) FILTER (hit) AS represented, count(*) FILTER (wanted) AS candidates, count(*) FILTER (wanted AND hit) AS covered, coalesce(string_agg(cell_id, ',' ORDER BY cell_id) FILTER (wanted AND NOT hit), '') AS missing,
         round(count(*) FILTER (hit) / count(*), 6) AS representation, round(count(*) FILTER (wanted AND hit) / count(*) FILTER (wanted), 6) AS coverage, round(count(*) FILTER (wanted AND hit) / count(*) FILTER (wanted), 6) < 0.8 AS needs_recovery FROM n GROUP BY block_id""")
 def q41_recall_audit(spark: SparkSession, d: str) -> DataFrame:
-    return grid.recall_audit(*_classified(spark, d)).withColumn("missing", F.array_join("missing", ","))
+    return _audited(spark, d).withColumn("missing", F.array_join("missing", ","))
 
 
 @query(_AUDIT + """
     SELECT count(DISTINCT block_id) AS tables, count(*) AS numeric_cells, count(*) FILTER (hit) AS represented, count(*) FILTER (wanted) AS candidates, count(*) FILTER (wanted AND hit) AS covered, round(count(*) FILTER (hit) / count(*), 6) AS representation, round(count(*) FILTER (wanted AND hit) / count(*) FILTER (wanted), 6) AS coverage FROM n""")
 def q41b_batch_audit(spark: SparkSession, d: str) -> DataFrame:
-    return grid.batch_audit(grid.recall_audit(*_classified(spark, d)))
+    return grid.batch_audit(_audited(spark, d))
 
 
 @query(_AUDIT + """
     SELECT column_index, CASE WHEN column_index = 0 THEN 'identifier' WHEN column_index = 1 THEN 'property' ELSE 'condition' END AS role, CASE WHEN column_index = 1 THEN 'glass_transition' END AS property, count(*) AS n FROM n GROUP BY 1""")
 def q41c_cell_roles(spark: SparkSession, d: str) -> DataFrame:
-    return _classified(spark, d)[0].groupBy("column_index", "role", "property").agg(F.count("*").alias("n"))
+    return _classified(spark, d).groupBy("column_index", "role", "property").agg(F.count("*").alias("n"))
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
