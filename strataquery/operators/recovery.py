@@ -31,10 +31,12 @@ def row_labels(cells: DataFrame, targets: DataFrame) -> DataFrame:
     """target_id, label, basis for targets (target_id, table_id, row_index, column_index): the texts left of a target in its row, and for columns that are blank there the nearest text above."""
     at = targets.select("target_id", "table_id", F.col("row_index").alias("y"), F.col("column_index").alias("x"))
     left = at.join(cells.select("table_id", "row_index", "row_span", "column_index", F.trim("text").alias("text")), "table_id").where("column_index < x AND text <> ''")
-    direct = left.where("row_index <= y AND y < row_index + row_span").select("target_id", "column_index", F.col("text").alias("label"), F.lit(BASES[1]).alias("basis"))
-    above = left.where("row_index + row_span <= y").join(direct.select("target_id", "column_index"), ["target_id", "column_index"], "left_anti")
-    filled = above.groupBy("target_id", "column_index").agg(F.max_by("text", "row_index").alias("label")).withColumn("basis", F.lit(BASES[2]))
-    return direct.unionByName(filled).select("target_id", "column_index", "label", "basis")
+    here, above = F.expr("row_index <= y AND y < row_index + row_span"), F.expr("row_index + row_span <= y")
+    # rows stay where their table's are: groups lie within it
+    per = left.where(here | above).groupBy("table_id", "target_id", "column_index").agg(F.collect_list(F.when(here, F.col("text"))).alias("direct"), F.max_by(F.when(above, F.col("text")), F.when(above, F.col("row_index"))).alias("filled"))
+    told = F.when(F.size("direct") > 0, F.col("direct")).otherwise(F.array("filled"))
+    basis = F.when(F.size("direct") > 0, BASES[1]).otherwise(BASES[2])
+    return per.select("target_id", "column_index", F.explode(told).alias("label"), basis.alias("basis"))
 
 
 def row_entities(rows: DataFrame, names: DataFrame, samples: DataFrame, bound: DataFrame) -> DataFrame:
@@ -155,10 +157,10 @@ def match_cells(locators: DataFrame, cells: DataFrame) -> DataFrame:
     at = (F.col("row_index") == F.col("y")) & (F.col("column_index") == F.col("x"))
     by_place = placed.alias("l").join(held.alias("c"), (F.col("l.table_id") == F.col("c.table_id")) & at, "left").select("locator_id", compare.alias("status"), "id", F.lit("place").alias("by"))
     asked = free.where(F.trim("cell_value") != "").select("locator_id", "table_id", key(value).alias("v"), "cell_value")
-    found = asked.join(held.select("table_id", "id", key(F.col("text")).alias("v")), ["table_id", "v"]).groupBy("locator_id").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    texts = held.select("table_id", "id", key(F.col("text")).alias("v")).groupBy("table_id", "v").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    found = asked.join(texts, ["table_id", "v"]).groupBy("locator_id").agg(F.sum("n").alias("n"), F.min("id").alias("id"))
     parts = asked.select("locator_id", "table_id", F.explode(F.filter(F.transform(F.split("cell_value", ","), lambda t: F.trim(t)), lambda p: p != "")).alias("p"))
-    texts = held.select("table_id", key(F.col("text")).alias("pk")).distinct().withColumn("hit", F.lit(True))
-    several = parts.withColumn("pk", key(F.col("p"))).join(texts, ["table_id", "pk"], "left").groupBy("locator_id").agg((F.count("*") >= 2).alias("several"), F.bool_and(F.coalesce("hit", F.lit(False))).alias("all_held"))
+    several = parts.withColumn("v", key(F.col("p"))).join(texts, ["table_id", "v"], "left").groupBy("locator_id").agg((F.count("*") >= 2).alias("several"), F.bool_and(F.col("n").isNotNull()).alias("all_held"))
     told = free.select("locator_id").join(found, "locator_id", "left").join(several, "locator_id", "left")
     status = F.when(F.col("n") == 1, "normalised").when(F.col("n") > 1, "ambiguous").when(F.col("several") & F.col("all_held"), "parts").otherwise("unresolved")
     by_value = told.select("locator_id", status.alias("status"), F.when(F.col("n") == 1, F.col("id")).alias("id"), F.lit("value").alias("by"))
