@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, drop_written, held, in_bitmap, low_bits, tidy, written
+from .common import bitmap_of, drop_written, held, in_bitmap, low_bits, relieve, tidy, written
 from .components import connected_components
 from .shingles import mix, set_key, shingle_sets
 
@@ -583,6 +583,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
     n_links counts the other classes that a document's class links to.
     """
     spark = docs.sparkSession
+    relieve()
     described = written(describe(docs, n), "described")
     rows = described.where("kind = 0").select("doc_id", "size", "a", "b")
     classes = rows.where("size > 0").groupBy("a", "b", "size").agg(F.min("doc_id").alias("class_id"))
@@ -596,6 +597,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, limit: int =
     shared = written(shared.where(f"n > 1 AND (n > bit_count(mask) OR (mask & {_TURNED}) <> 0)"), "shared")
     low = f"pivot & {(1 << PIVOT_BITS) - 1}"
     marked = spark.sparkContext.broadcast(bitmap_of(shared.select(F.expr(low).alias("i")).distinct(), PIVOT_BITS))
+    relieve()
 
     def pass_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import about, held, slices, tidy
+from .common import about, held, relieve, slices, tidy
 
 UNKNOWN = "und"
 #: Labelled rows that the model is fitted on, at most; it reads their whole texts.
@@ -265,7 +265,10 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     near = rows.select("doc_id", "lang", "text").where(about(F.col("doc_id"), train_rows * 5 // 4, of))
     picked = near.orderBy(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) * of, "doc_id", "text").limit(train_rows).select("text", "lang").collect()
     texts, langs = [r["text"] for r in picked], [r["lang"] for r in picked]
-    return fit(texts, langs)
+    model = fit(texts, langs)
+    del picked, texts, langs
+    relieve()
+    return model
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
