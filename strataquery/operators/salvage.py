@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataquery.functions.numeric import ratio
-from strataquery.sources.shared import cut
+from strataquery.sources.shared import cut, drop_cut
 
 RULES = ("required", "any", "optional", "parent")
 MISSING, ORPHAN, EMPTY = "missing_required_reference", "parent_rejected", "without_valid_members"
@@ -43,7 +43,7 @@ def prune_links(links: DataFrame, objects: DataFrame) -> tuple[DataFrame, DataFr
 
 
 def _fallen(alive: DataFrame, links: DataFrame) -> DataFrame:
-    """object_id, code of what falls next."""
+    """object_id, code of what falls first."""
     here = alive.select("object_id")
     own = links.join(here, "object_id", "left_semi")
     known = here.select(F.col("object_id").alias("ref_id"), F.lit(True).alias("held"))
@@ -57,24 +57,42 @@ def _fallen(alive: DataFrame, links: DataFrame) -> DataFrame:
     return falls.union(parents.join(kept, "object_id", "left_anti").select("object_id", F.lit(EMPTY).alias("code")))
 
 
+def _follow(alive: DataFrame, links: DataFrame, gone: DataFrame) -> DataFrame:
+    """object_id, code of what falls after the objects that went in the last round: only what they held or belonged to can."""
+    here = alive.select("object_id")
+    lost = links.join(gone.select(F.col("object_id").alias("ref_id")).distinct(), "ref_id", "left_semi").join(here, "object_id", "left_semi")
+    falls = lost.where("rule IN ('required', 'parent')").select("object_id", F.when(F.col("rule") == "parent", ORPHAN).otherwise(MISSING).alias("code"))
+    some = links.where("rule = 'any'").join(lost.where("rule = 'any'").select("object_id", "field").distinct(), ["object_id", "field"], "left_semi")
+    left = some.join(here.withColumnRenamed("object_id", "ref_id"), "ref_id", "left_semi").select("object_id", "field")
+    falls = falls.union(some.select("object_id", "field").distinct().join(left, ["object_id", "field"], "left_anti").select("object_id", F.lit(MISSING).alias("code")))
+    members = links.where("rule = 'parent'").select("object_id", "ref_id")
+    parents = members.join(gone.select("object_id"), "object_id", "left_semi").select(F.col("ref_id").alias("object_id")).distinct().join(here, "object_id", "left_semi")
+    kept = members.join(parents.withColumnRenamed("object_id", "ref_id"), "ref_id", "left_semi").join(here, "object_id", "left_semi").select(F.col("ref_id").alias("object_id"))
+    return falls.union(parents.join(kept, "object_id", "left_anti").select("object_id", F.lit(EMPTY).alias("code")))
+
+
 def salvage(objects: DataFrame, links: DataFrame, errors: DataFrame) -> dict[str, DataFrame]:
     """published, rejected (object_id, object_type, codes), links (those left), pruned (those cut) and document_errors.
 
     objects: object_id, object_type; links: object_id, field, ref_id, rule; errors: object_id, code, message. Rounds
     are the longest chain of references at most; each is joins of flat tables, written to cut the lineage.
+    Objects, links and errors are written once; rounds after the first follow what the last one took, and drop its tables.
     """
-    objects, links = objects.select("object_id", "object_type"), links.where("ref_id IS NOT NULL").select("object_id", "field", "ref_id", "rule").distinct()
+    objects = cut(objects.select("object_id", "object_type"))
+    links = cut(links.where("ref_id IS NOT NULL").select("object_id", "field", "ref_id", "rule").distinct())
     bound, unbound = partition_errors(errors, objects)
-    links, dangling = prune_links(links, objects)
-    links = cut(links)
-    verdicts = [bound.select("object_id", "code")]
+    bound = cut(bound.select("object_id", "code").distinct())
+    firm = links.where("rule <> 'optional'")
+    optional, dangling = prune_links(links.where("rule = 'optional'"), objects)
+    links = firm.union(cut(optional))
+    verdicts = [bound]
     alive = cut(objects.join(bound, "object_id", "left_anti"))
-    while True:
-        falls = cut(_fallen(alive, links))
-        if falls.isEmpty():
-            break
+    falls = cut(_fallen(alive, firm))
+    while not falls.isEmpty():
         verdicts.append(falls)
-        alive = cut(alive.join(falls, "object_id", "left_anti"))
+        before, alive = alive, cut(alive.join(falls, "object_id", "left_anti"))
+        drop_cut(before)
+        falls = cut(_follow(alive, firm, falls))
     codes = reduce(DataFrame.unionByName, verdicts).groupBy("object_id").agg(F.array_sort(F.collect_set("code")).alias("codes"))
     here = alive.select("object_id")
     own = links.join(here, "object_id", "left_semi")
