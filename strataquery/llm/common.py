@@ -90,6 +90,15 @@ def relieve() -> None:
     trim()
 
 
+def relieve_executors(spark: SparkSession) -> None:
+    """For executors between steps: each JVM collects its heap and gives what is free back to the system, which else stays with it beside its Python workers.
+
+    One short task for each core, all at once, so that each executor gets some; an executor that gets none only keeps its heap.
+    """
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.java_method(F.lit("java.lang.System"), F.lit("gc"))).write.format("noop").mode("overwrite").save()
+
+
 def tidy(run: Callable[[Iterator[Any]], Iterator[Any]]) -> Callable[[Iterator[Any]], Iterator[Any]]:
     """The function of batches, which gives memory back to the system at its end: workers live on between tasks and operators."""
 
