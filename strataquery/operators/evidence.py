@@ -39,22 +39,30 @@ def match_ladder(sentence: Column, source: Column) -> Column:
 def match_all(sentences: DataFrame, blocks: DataFrame) -> DataFrame:
     """sentence_id, block_id, status for pairs that are not unresolved.
 
-    A block that holds 90 % of a sentence's words less two (a contained sentence can miss its first and last
-    word there) holds one of its rarest tenth and two more: sentences (the stated query set) meet blocks on these
-    words alone, and the ladder is climbed by the pairs that meet. Sentences of three words or fewer, or without
-    Latin words, are looked for as they are, block by block.
+    A block that holds 90 % of a sentence's words, or all but two (a contained sentence can miss its first and last
+    word there), holds one of its rarest tenth and two more: sentences (the stated query set) meet blocks on these
+    words alone. Pairs that meet count the sentence's words that the block has, each as often as the sentence asks, and
+    only those that can still reach 90 % or miss two meet the texts and climb the ladder. Words are compared by hashes
+    there, which can only let more pairs pass; a block with tags counts with the words in them too, as a sentence can
+    stand there as it is, but a pair without a common word outside tags is none. Sentences of three words or fewer, or
+    without Latin words, are looked for as they are, block by block.
     """
-    keyed = cut(sentences.select("sentence_id", "sentence", evidence_key(F.col("sentence")).alias("s"))).withColumn("words", tokens(F.col("s")))
-    asked = keyed.select("sentence_id", F.size("words").alias("n"), F.explode("words").alias("word")).groupBy("sentence_id", "n", "word").agg(F.count("*").alias("times"))
-    held = blocks.select("block_id", F.explode(F.array_distinct(tokens(evidence_key(F.col("text"))))).alias("word"))
-    wanted = cut(asked.select("word").distinct())
-    held = cut(held.join(wanted, "word"))
-    often = held.groupBy("word").agg(F.count("*").alias("df"))
-    rare = F.sum("times").over(Window.partitionBy("sentence_id").orderBy(F.coalesce("df", F.lit(0)), "word").rowsBetween(Window.unboundedPreceding, -1))
-    probes = asked.join(often, "word", "left").withColumn("before", F.coalesce(rare, F.lit(0))).where(F.col("before") <= F.floor(0.1 * F.col("n")) + 2)
-    near = probes.select("sentence_id", "word").join(held, "word").select("sentence_id", "block_id").distinct()
+    keyed = cut(sentences.select("sentence_id", "sentence", evidence_key(F.col("sentence")).alias("s")).distinct().withColumn("asked", F.monotonically_increasing_id())).withColumn("words", tokens(F.col("s")))
+    asked = cut(keyed.select("asked", F.size("words").alias("n"), F.explode("words").alias("word")).groupBy("asked", "n", "word").agg(F.count("*").alias("times")))
+    wanted = cut(asked.select("word", F.hash("word").alias("h")).distinct())
+    asked = asked.groupBy("asked", "n", F.hash("word").alias("h")).agg(F.sum("times").alias("times"))
+    plainly = tokens(evidence_key(F.col("text")))
+    words = F.when(F.col("text").rlike("<[^>]*>"), F.concat(plainly, tokens(F.col("text")))).otherwise(plainly)
+    held = cut(blocks.select("block_id", F.explode(F.array_distinct(words)).alias("word")).join(wanted, "word").select("block_id", "h"))
+    often = held.groupBy("h").agg(F.count("*").alias("df"))
+    rare = F.sum("times").over(Window.partitionBy("asked").orderBy(F.coalesce("df", F.lit(0)), "h").rowsBetween(Window.unboundedPreceding, -1))
+    probes = asked.join(often, "h", "left").withColumn("before", F.coalesce(rare, F.lit(0))).where(F.col("before") <= F.floor(0.1 * F.col("n")) + 2)
+    near = probes.select("asked", "h").join(held, "h").select("asked", "block_id").distinct()
+    hits = near.join(asked, "asked").join(held, ["block_id", "h"]).groupBy("asked", "block_id", "n").agg(F.sum("times").alias("hits"))
+    may = cut(hits.where("10 * (n - hits) <= greatest(n, 20)").select("asked", "block_id"))
     short = keyed.where(F.size("words") <= 3).where("s <> ''").select("sentence_id", "sentence", "s")
-    found = near.join(sentences, "sentence_id").join(blocks, "block_id").select("sentence_id", "block_id", "sentence", "text")
+    found = blocks.join(may, "block_id").join(keyed.select("asked", "sentence_id", "sentence", "words"), "asked")
+    found = found.where(F.arrays_overlap("words", plainly)).select("sentence_id", "block_id", "sentence", "text")
     plain = short.join(blocks.select("block_id", "text", evidence_key(F.col("text")).alias("b")), F.expr("contains(b, s)")).select("sentence_id", "block_id", "sentence", "text")
     pairs = found.union(plain)
     return pairs.select("sentence_id", "block_id", match_ladder(F.col("sentence"), F.col("text")).alias("status")).where("status <> 'unresolved'").distinct()
