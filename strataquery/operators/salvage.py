@@ -11,7 +11,11 @@ objects are then cleaned, or isolate their owners, until nothing changes:
 
 Each object has one verdict with all its codes. What goes in equals what is published and what is isolated.
 
-Defined cases: null references are none; an error without an object, or with an unknown one, belongs to the
+Objects that have one parent and that nothing names, such as the points of a series, can be given as members instead: rows
+(parent_id, object_type, code, and columns that make the member's key). Those of one parent without an error of their own
+share its fate, so rounds need no more of them than whether a parent has had some and has some left.
+
+Defined cases: a member without a parent, or with one that is no object, falls by its own errors alone; null references are none; an error without an object, or with an unknown one, belongs to the
 document; repeated errors and links count once; empty tables give empty ones.
 """
 
@@ -23,10 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataquery.functions.numeric import ratio
-from strataquery.sources.shared import cut, drop_cut
+from strataquery.sources.shared import drop_cut, settle
 
 RULES = ("required", "any", "optional", "parent")
 MISSING, ORPHAN, EMPTY = "missing_required_reference", "parent_rejected", "without_valid_members"
+#: Rules of rows (ref_id alone) that stand in the links for all members of a parent: some are without an error, or none is.
+LIVE, SPENT = "live_members", "spent_members"
 
 
 def partition_errors(errors: DataFrame, objects: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -52,8 +58,8 @@ def _fallen(alive: DataFrame, links: DataFrame) -> DataFrame:
     broken = per.where("(rule IN ('required', 'parent') AND held < `all`) OR (rule = 'any' AND held = 0)")
     falls = broken.select("object_id", F.when(F.col("rule") == "parent", ORPHAN).otherwise(MISSING).alias("code"))
     # parents that have had members
-    parents = links.where("rule = 'parent'").select(F.col("ref_id").alias("object_id")).distinct().join(here, "object_id", "left_semi")
-    kept = own.where("rule = 'parent'").select(F.col("ref_id").alias("object_id")).distinct()
+    parents = links.where(f"rule IN ('parent', '{LIVE}', '{SPENT}')").select(F.col("ref_id").alias("object_id")).distinct().join(here, "object_id", "left_semi")
+    kept = own.where("rule = 'parent'").union(links.where(F.col("rule") == LIVE)).select(F.col("ref_id").alias("object_id")).distinct()
     return falls.union(parents.join(kept, "object_id", "left_anti").select("object_id", F.lit(EMPTY).alias("code")))
 
 
@@ -68,37 +74,63 @@ def _follow(alive: DataFrame, links: DataFrame, gone: DataFrame) -> DataFrame:
     members = links.where("rule = 'parent'").select("object_id", "ref_id")
     parents = members.join(gone.select("object_id"), "object_id", "left_semi").select(F.col("ref_id").alias("object_id")).distinct().join(here, "object_id", "left_semi")
     kept = members.join(parents.withColumnRenamed("object_id", "ref_id"), "ref_id", "left_semi").join(here, "object_id", "left_semi").select(F.col("ref_id").alias("object_id"))
+    kept = kept.union(links.where(F.col("rule") == LIVE).select("ref_id"))
     return falls.union(parents.join(kept, "object_id", "left_anti").select("object_id", F.lit(EMPTY).alias("code")))
 
 
-def salvage(objects: DataFrame, links: DataFrame, errors: DataFrame) -> dict[str, DataFrame]:
-    """published, rejected (object_id, object_type, codes), links (those left), pruned (those cut) and document_errors.
+def each_member(members: DataFrame) -> DataFrame:
+    """Each member once, with wrong: how many of its rows have a code. Members of one parent lie together."""
+    return members.repartition("parent_id").groupBy(*[c for c in members.columns if c != "code"]).agg(F.count("code").alias("wrong"))
+
+
+def salvage(objects: DataFrame, links: DataFrame, errors: DataFrame, members: DataFrame | None = None) -> dict[str, DataFrame]:
+    """published, rejected (object_id, object_type, codes), links (those left), pruned (those cut), document_errors, fallen
+    (object_id of what was rejected) and members (parent_id, object_type, members, live: without an error, fell: with the parent).
 
     objects: object_id, object_type; links: object_id, field, ref_id, rule; errors: object_id, code, message. Rounds
     are the longest chain of references at most; each is joins of flat tables, written to cut the lineage.
-    Objects, links and errors are written once; rounds after the first follow what the last one took, and drop its tables.
+    Members are counted by parent first; objects, links and errors are written once. Rounds after the first follow what
+    the last one took, and drop its tables; what was shuffled for a table is deleted when it stands.
     """
-    objects = cut(objects.select("object_id", "object_type"))
-    links = cut(links.where("ref_id IS NOT NULL").select("object_id", "field", "ref_id", "rule").distinct())
+    if members is None:
+        held = objects.where(F.lit(False)).select(F.col("object_id").alias("parent_id"), "object_type", F.lit(0).cast("long").alias("members"), F.lit(0).cast("long").alias("live"))
+    else:
+        held = settle(each_member(members).groupBy("parent_id", "object_type").agg(F.count("*").alias("members"), F.count_if(F.col("wrong") == 0).alias("live")))
+    objects = settle(objects.select("object_id", "object_type"))
+    links = settle(links.where("ref_id IS NOT NULL").select("object_id", "field", "ref_id", "rule").distinct())
     bound, unbound = partition_errors(errors, objects)
-    bound = cut(bound.select("object_id", "code").distinct())
+    bound = settle(bound.select("object_id", "code").distinct())
     firm = links.where("rule <> 'optional'")
     optional, dangling = prune_links(links.where("rule = 'optional'"), objects)
-    links = firm.union(cut(optional))
+    weak = firm.where("rule = 'any'").union(settle(optional))
+    nothing = lambda name: F.lit(None).cast(links.schema[name].dataType).alias(name)
+    stand = held.groupBy("parent_id").agg(F.max("live").alias("live")).select(nothing("object_id"), nothing("field"), F.col("parent_id").alias("ref_id"), F.when(F.col("live") > 0, LIVE).otherwise(SPENT).alias("rule"))
+    tied = firm if members is None else firm.union(stand.where("ref_id IS NOT NULL"))
     verdicts = [bound]
-    alive = cut(objects.join(bound, "object_id", "left_anti"))
-    falls = cut(_fallen(alive, firm))
+    alive = settle(objects.join(bound, "object_id", "left_anti"))
+    falls = settle(_fallen(alive, tied))
     while not falls.isEmpty():
         verdicts.append(falls)
-        before, alive = alive, cut(alive.join(falls, "object_id", "left_anti"))
+        before, alive = alive, settle(alive.join(falls, "object_id", "left_anti"))
         drop_cut(before)
-        falls = cut(_follow(alive, firm, falls))
-    codes = reduce(DataFrame.unionByName, verdicts).groupBy("object_id").agg(F.array_sort(F.collect_set("code")).alias("codes"))
+        falls = settle(_follow(alive, tied, falls))
+    fallen = reduce(DataFrame.unionByName, verdicts)
+    codes = fallen.groupBy("object_id").agg(F.array_sort(F.collect_set("code")).alias("codes"))
     here = alive.select("object_id")
+    there = here.withColumnRenamed("object_id", "ref_id")
+    # an owner that is left has all its required references and parents
     own = links.join(here, "object_id", "left_semi")
-    kept = own.join(here.withColumnRenamed("object_id", "ref_id"), "ref_id", "left_semi").select(links.columns)
-    pruned = own.join(here.withColumnRenamed("object_id", "ref_id"), "ref_id", "left_anti").select(links.columns).union(dangling.join(here, "object_id", "left_semi").select(links.columns))
-    return {"published": alive, "rejected": objects.join(codes, "object_id"), "links": kept, "pruned": pruned, "document_errors": unbound}
+    kept = own.where("rule IN ('required', 'parent')").union(own.where("rule NOT IN ('required', 'parent')").join(there, "ref_id", "left_semi").select(links.columns))
+    pruned = weak.join(there, "ref_id", "left_anti").select(links.columns).union(dangling.select(links.columns)).join(here, "object_id", "left_semi").select(links.columns)
+    gone = fallen.select(F.col("object_id").alias("parent_id"), F.lit(True).alias("gone")).distinct()
+    held = held.join(gone, "parent_id", "left").select("parent_id", "object_type", "members", "live", F.when(F.col("gone"), F.col("live")).otherwise(0).alias("fell"))
+    return {"published": alive, "rejected": objects.join(codes, "object_id"), "links": kept, "pruned": pruned, "document_errors": unbound, "fallen": fallen.select("object_id"), "members": held}
+
+
+def published_members(members: DataFrame, result: dict[str, DataFrame]) -> DataFrame:
+    """Members without an error whose parent has not fallen; the columns of their key."""
+    whole = each_member(members).where("wrong = 0").drop("wrong")
+    return whole.join(result["fallen"].select(F.col("object_id").alias("parent_id")), "parent_id", "left_anti").select(whole.columns)
 
 
 def object_counts(objects: DataFrame) -> DataFrame:
@@ -107,10 +139,12 @@ def object_counts(objects: DataFrame) -> DataFrame:
 
 def publication_summary(objects: DataFrame, result: dict[str, DataFrame]) -> DataFrame:
     """object_type, input, published, rejected, pruned (references cut from what is published) and conserved."""
-    parts = [("input", objects), ("published", result["published"]), ("rejected", result["rejected"])]
-    rows = reduce(DataFrame.unionByName, [df.select("object_type", F.lit(name).alias("part")) for name, df in parts])
-    rows = rows.union(result["pruned"].join(objects, "object_id").select("object_type", F.lit("pruned").alias("part")))
-    counts = rows.groupBy("object_type").agg(*[F.count_if(F.col("part") == n).alias(n) for n in ("input", "published", "rejected", "pruned")])
+    names = ("input", "published", "rejected", "pruned")
+    parts = [("input", objects), ("published", result["published"]), ("rejected", result["rejected"]), ("pruned", result["pruned"].join(result["published"], "object_id"))]
+    n = lambda name, part: (F.col("n") if name == part else F.lit(0).cast("long")).alias(name)
+    rows = [object_counts(df).select("object_type", *[n(name, part) for name in names]) for part, df in parts]
+    members = result["members"].select("object_type", F.col("members").alias("input"), (F.col("live") - F.col("fell")).alias("published"), (F.col("members") - F.col("live") + F.col("fell")).alias("rejected"), F.lit(0).cast("long").alias("pruned"))
+    counts = reduce(DataFrame.unionByName, [*rows, members]).groupBy("object_type").agg(*[F.sum(name).alias(name) for name in names])
     return counts.withColumn("conserved", F.col("input") == F.col("published") + F.col("rejected"))
 
 
